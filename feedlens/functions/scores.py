@@ -26,6 +26,19 @@ def softmax(logits) -> Column:
     return F.transform(e, lambda x: x / total)
 
 
+def softmax_cols(logits: list) -> Column:
+    """X1 for a fixed number of classes given as scalar Columns: closed form
+    ``exp(l_i - max) / sum_j exp(l_j - max)`` with no lambda, so it stays in
+    generated code and every term is evaluated once."""
+    ls = [_c(x) for x in logits]
+    m = F.greatest(*ls)
+    es = [F.exp(x - m) for x in ls]
+    total = es[0]
+    for e in es[1:]:
+        total = total + e
+    return F.array(*[e / total for e in es])
+
+
 def confidence(scores) -> Column:
     """The largest class probability."""
     return F.array_max(_c(scores))

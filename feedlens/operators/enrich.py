@@ -96,7 +96,7 @@ def enrich(df: DataFrame, scorer, emotion: bool = True, toxicity: bool = True,
     scored = scorer.class_scores(base, "_score_text", emotion=emotion)
     resp = response_fields(scored, emotion=emotion, toxicity=toxicity, keywords=keywords,
                            text="_score_text")
-    ok = F.col("_sent_scores").isNotNull()
+    ok = F.col("_scored")
     ts = F.current_timestamp() if processed_at is None else F.lit(processed_at).cast("timestamp")
     fields = {
         "sentiment_score": F.when(ok, F.col("sentiment_score")).otherwise(F.lit(0.0)),
@@ -110,8 +110,14 @@ def enrich(df: DataFrame, scorer, emotion: bool = True, toxicity: bool = True,
         "inference_time_ms": F.when(ok, F.col("inference_time_ms")).otherwise(F.lit(0.0)),
         "processing_timestamp": ts,
     }
-    cols = [fields[c].alias(c) if c in fields else F.col(c) for c in PROCESSED_FIELDS]
-    return resp.select(*cols, *[F.col(c) for c in keep], ok.alias("scored_ok"))
+    # The score fields leave through a one-row ``inline`` (a Generate node): a
+    # later filter on a score (``churn_risk > 0.7``) stays above it instead of
+    # being pushed down with the whole scoring expression substituted into the
+    # filter condition. Filters on pass-through columns still reach the scan.
+    scores = F.struct(*[fields[c].alias(c) for c in fields], ok.alias("scored_ok"))
+    passthrough = [c for c in PROCESSED_FIELDS if c not in fields] + keep
+    out = resp.select(*passthrough, F.inline(F.array(scores)))
+    return out.select(*PROCESSED_FIELDS, *keep, "scored_ok")
 
 
 def score_only(df: DataFrame, scorer, text_col: str = "text", emotion: bool = True) -> DataFrame:

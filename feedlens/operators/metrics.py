@@ -205,7 +205,7 @@ def progress(df: DataFrame, ts_col: str, total: int | None = None) -> DataFrame:
     remaining against an expected total."""
     out = df.agg(F.count(F.lit(1)).alias("processed"),
                  F.min(ts_col).alias("first_ts"), F.max(ts_col).alias("last_ts"))
-    span = F.col("last_ts").cast("double") - F.col("first_ts").cast("double")
+    span = F.timestamp_diff("MICROSECOND", F.col("first_ts"), F.col("last_ts")) / F.lit(1e6)
     out = out.withColumn("span_sec", span) \
         .withColumn("rate_per_sec", F.when(span > 0, F.col("processed") / span))
     if total is not None:

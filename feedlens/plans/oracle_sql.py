@@ -52,7 +52,7 @@ tok AS (
                  THEN regexp_split_to_array(lower(text), '[^\\p{{L}}]+') END AS toks
   FROM clean
 ),
-hits AS (
+hits AS MATERIALIZED (
   SELECT *,
          CASE WHEN toks IS NOT NULL THEN len(list_filter(toks, lambda x: x IN ({_words(FIXTURE_NEGATIVE_WORDS)}))) END AS neg_hits,
          CASE WHEN toks IS NOT NULL THEN len(list_filter(toks, lambda x: x IN ({_words(FIXTURE_POSITIVE_WORDS)}))) END AS pos_hits
@@ -126,12 +126,20 @@ def with_messages(body: str) -> str:
     return f"WITH messages AS ({messages_sql()}\n)\n" + body
 
 
-METRIC_SQL = """count(*) AS count,
-       round(sum(coalesce(sentiment_score, 0.0)) / count(*), 6) AS avg_sentiment,
+def metric_sql(digits: int | None = 6) -> str:
+    """A1 in SQL; ``digits=None`` leaves the means unrounded."""
+    def r(x):
+        return f"round({x}, {digits})" if digits is not None else x
+    return f"""count(*) AS count,
+       {r('sum(coalesce(sentiment_score, 0.0)) / count(*)')} AS avg_sentiment,
        count(*) FILTER (WHERE sentiment_label = 'positive') AS positive_count,
        count(*) FILTER (WHERE sentiment_label = 'negative') AS negative_count,
        count(*) - count(*) FILTER (WHERE sentiment_label = 'positive')
                 - count(*) FILTER (WHERE sentiment_label = 'negative') AS neutral_count,
-       round(sum(coalesce(churn_risk, 0.0)) / count(*), 6) AS avg_churn_risk,
+       {r('sum(coalesce(churn_risk, 0.0)) / count(*)')} AS avg_churn_risk,
        count(*) FILTER (WHERE coalesce(churn_risk, 0.0) > 0.7) AS high_churn_count,
-       round(sum(coalesce(toxicity, 0.0)) / count(*), 6) AS avg_toxicity"""
+       {r('sum(coalesce(toxicity, 0.0)) / count(*)')} AS avg_toxicity"""
+
+
+METRIC_SQL = metric_sql(6)
+METRIC_SQL_RAW = metric_sql(None)

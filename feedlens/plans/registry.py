@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from feedlens.plans import catalog
-from feedlens.plans import rollups  # noqa: F401
+from feedlens.plans import reports_q, rollups, rows_q  # noqa: F401
 
 
 def queries():

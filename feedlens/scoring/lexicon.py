@@ -10,15 +10,34 @@ every engine. Everything runs in the JVM: no Python worker is started.
 from __future__ import annotations
 
 import functools
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlens.constants import FIXTURE_NEGATIVE_WORDS, FIXTURE_POSITIVE_WORDS
-from feedlens.functions.scores import softmax
+from feedlens.functions.scores import softmax_cols
 
 TOKEN_SPLIT = r"[^\p{L}]+"
 
+
+def tokens(text: Column) -> Column:
+    """Maximal runs of letters of the lower-cased text (array form)."""
+    return F.split(F.lower(text), TOKEN_SPLIT)
+
+
+def word_pattern(words: list[str]) -> str:
+    """A regex matching any of ``words`` as a whole run of letters."""
+    alts = "|".join(re.escape(w.lower()) for w in words)
+    return rf"(?<!\p{{L}})(?:{alts})(?!\p{{L}})"
+
+
+def count_words(text: Column, words: list[str]) -> Column:
+    """Number of tokens of the lower-cased text equal to one of ``words``.
+    One regex pass over the whole text; only the matches are materialised."""
+    return F.size(F.regexp_extract_all(F.lower(text), F.lit(word_pattern(words)), 0))
+
+
 # Logit weights. Sentiment: (negative, neutral, positive).
 SENTIMENT_WEIGHTS = {"neg": 2.0, "neutral_bias": 1.0, "pos": 0.5}
 # Emotion: (anger, disgust, fear, joy, neutral, sadness, surprise) as
@@ -27,18 +46,16 @@ EMOTION_WEIGHTS = [(1.0, 0.0, 0.0), (0.75, 0.0, 0.0), (0.0, 0.0, 0.0), (0.0, 0.2
                    (0.0, 0.0, 1.0), (0.5, 0.0, 0.0), (0.0, 0.0, 0.0)]
 
 
-def tokens(text: Column) -> Column:
-    return F.split(F.lower(text), TOKEN_SPLIT)
-
-
-def count_in(toks: Column, words: list[str]) -> Column:
-    return F.size(F.filter(toks, lambda t: t.isin(*words)))
-
-
 class LexiconScorer:
     """Scorer protocol: ``class_scores(df, text_col)`` adds ``_sent_scores``
-    (array<double>, 3 classes) and ``_emo_scores`` (array<double>, 7 classes, or
-    NULL when emotion is off). A NULL text yields NULL scores (scoring failed)."""
+    (array<double>, 3 classes), ``_emo_scores`` (array<double>, 7 classes, or
+    NULL when emotion is off), ``_scored`` (boolean) and ``_latency_ms``. A
+    NULL text is not scored (``_scored`` false, NULL class scores).
+
+    The two hit counts are produced by a one-row ``inline`` (a Generate node).
+    Catalyst does not push a filter on generated columns below a Generate, so
+    a later filter on a derived score (``churn_risk > 0.7``) cannot inline the
+    text scan into the filter condition: each text is scanned exactly once."""
 
     kind = "lexicon"
 
@@ -47,32 +64,33 @@ class LexiconScorer:
         self.positive_words = list(positive_words or FIXTURE_POSITIVE_WORDS)
 
     def hit_counts(self, text: Column) -> tuple[Column, Column]:
-        toks = tokens(text)
-        neg = F.when(text.isNotNull(), count_in(toks, self.negative_words))
-        pos = F.when(text.isNotNull(), count_in(toks, self.positive_words))
+        neg = F.when(text.isNotNull(), count_words(text, self.negative_words))
+        pos = F.when(text.isNotNull(), count_words(text, self.positive_words))
         return neg, pos
 
     def class_scores(self, df: DataFrame, text_col: str, emotion: bool = True) -> DataFrame:
-        hit_cols, score_cols = self._exprs(text_col, emotion)
-        # Materialise the counts once; the array expressions below reuse them.
-        df = df.select("*", *hit_cols)
+        hits, score_cols = self._exprs(text_col, emotion)
+        df = df.select("*", F.inline(F.array(hits)))
         keep = [c for c in df.columns if c not in ("_neg_hits", "_pos_hits")]
         return df.select(*keep, *score_cols)
 
     @functools.lru_cache(maxsize=None)
     def _exprs(self, text_col: str, emotion: bool):
-        """The scorer's Column trees, built once per (scorer, text column)."""
+        """The scorer's Column trees, built once per (scorer, text column).
+
+        No CASE WHEN around the softmax: a NULL hit count propagates NULL
+        through the logits, and keeping the maths unconditional lets
+        subexpression elimination compute each exp() once (inside a CASE
+        branch it would be expanded per reference)."""
         neg, pos = self.hit_counts(F.col(text_col))
-        hit_cols = (neg.alias("_neg_hits"), pos.alias("_pos_hits"))
+        hits = F.struct(neg.alias("_neg_hits"), pos.alias("_pos_hits"))
         n, p = F.col("_neg_hits").cast("double"), F.col("_pos_hits").cast("double")
         w = SENTIMENT_WEIGHTS
-        ok = F.col("_neg_hits").isNotNull()
-        sent_logits = F.array(n * w["neg"], F.lit(w["neutral_bias"]), p * w["pos"])
+        sent = softmax_cols([n * w["neg"], n * 0.0 + F.lit(w["neutral_bias"]), p * w["pos"]])
         if emotion:
-            emo_logits = F.array(*[n * a + p * b + F.lit(c) for a, b, c in EMOTION_WEIGHTS])
-            emo = F.when(ok, softmax(emo_logits))
+            emo = softmax_cols([n * a + p * b + F.lit(c) for a, b, c in EMOTION_WEIGHTS])
         else:
             emo = F.lit(None).cast("array<double>")
-        return hit_cols, (F.when(ok, softmax(sent_logits)).alias("_sent_scores"),
-                          emo.alias("_emo_scores"),
-                          F.lit(None).cast("double").alias("_latency_ms"))
+        return hits, (sent.alias("_sent_scores"), emo.alias("_emo_scores"),
+                      F.col("_neg_hits").isNotNull().alias("_scored"),
+                      F.lit(None).cast("double").alias("_latency_ms"))
