@@ -67,6 +67,7 @@ def segment_metrics(df: DataFrame, keys: list[str] | str | None = None,
                     ts_col: str | None = "processing_timestamp", emotions: bool = True) -> DataFrame:
     """A1/A5: metrics grouped by ``keys`` (no keys: one overall row)."""
     keys = [keys] if isinstance(keys, str) else list(keys or [])
+    ts_col = ts_col if ts_col in df.columns else None
     src = _rollup_input(df, keys + ([ts_col] if ts_col else []))
     g = src.groupBy(*keys) if keys else src.groupBy()
     return g.agg(*metric_aggs(ts_col, emotions))
@@ -93,6 +94,7 @@ def multi_segment_metrics(df: DataFrame, ts_col: str | None = "processing_timest
     """A2: geo, product, channel, platform and overall in one aggregation
     (GROUPING SETS -> one Expand + one partial/final HashAggregate, one shuffle)."""
     cols = [c for _, c in dims]
+    ts_col = ts_col if ts_col in df.columns else None
     extra = cols + ([ts_col] if ts_col else []) + ([window_col] if window_col else [])
     src = _rollup_input(df, extra)
     lead = [window_col] if window_col else []
@@ -119,6 +121,7 @@ def explode_segments(df: DataFrame, dims=SEGMENT_DIMS) -> DataFrame:
 def exploded_segment_metrics(df: DataFrame, ts_col: str | None = "processing_timestamp",
                              emotions: bool = True, dims=SEGMENT_DIMS) -> DataFrame:
     """A2 by explicit fan-out; same rows as ``multi_segment_metrics``."""
+    ts_col = ts_col if ts_col in df.columns else None
     src = _rollup_input(df, [c for _, c in dims] + ([ts_col] if ts_col else []))
     return explode_segments(src, dims).groupBy("dim", "key").agg(*metric_aggs(ts_col, emotions))
 
