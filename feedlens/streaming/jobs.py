@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from feedlens.operators import filters as FL
 from feedlens.operators.enrich import enrich
@@ -67,7 +68,7 @@ def parse_raw(df: DataFrame, value_col: str = "value", mode: str = "quarantine")
     text is kept in ``_corrupt_record`` for those rows. ``mode='quarantine'``
     keeps them flagged, ``'drop'`` removes them, ``'failfast'`` makes the query
     fail on the first one (as the reference's deserializer does)."""
-    schema = RAW_SCHEMA.add("_corrupt_record", "string")
+    schema = T.StructType(RAW_SCHEMA.fields + [T.StructField("_corrupt_record", T.StringType())])
     opts = {"columnNameOfCorruptRecord": "_corrupt_record",
             "mode": "FAILFAST" if mode == "failfast" else "PERMISSIVE"}
     parsed = df.filter(F.col(value_col).isNotNull()) \
