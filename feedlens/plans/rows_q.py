@@ -357,3 +357,45 @@ def normalize_comments(spark, sf_dir):
                               "_t", ["the", "la"])
     return N.normalize_comments(comments, matched).select(
         "id", "parent_post_id", "author", F.length("text").alias("n_chars"))
+
+
+# ---------------------------------------------------------------------------
+# Other scorer kinds (U1 b/c, U4, U6).
+# ---------------------------------------------------------------------------
+
+def _scorer_response(spark, sf_dir, scorer):
+    from feedlens.operators.enrich import response_fields, scorable
+    base = FL.clean(messages(spark, sf_dir)).filter(scorable("text")).select("id", "text")
+    return response_fields(scorer.class_scores(base, "text"))
+
+
+@register("score_pandas", with_scored(f"""
+SELECT id, {_SCORE_COLS}, round(sentiment_score, 6) AS sentiment_score, sentiment_label,
+       round(confidence, 6) AS confidence, emotion,
+       {', '.join(f'round(emo_{e}, 6) AS emo_{e}' for e in EMOTION_LABELS)}
+FROM scored WHERE scored_ok"""))
+def score_pandas(spark, sf_dir):
+    """U1(c) + U4: the lexicon as a Python model under mapInPandas, batches of
+    100 texts; same response as the Column scorer."""
+    from feedlens.scoring.pandas_model import PandasScorer
+    resp = _scorer_response(spark, sf_dir, PandasScorer())
+    es = F.col("emotion_scores")
+    raw = X.raw_scores("_sent_scores")
+    return rounded(resp.select(
+        "id", *[F.element_at(raw, F.lit(c)).alias(f"p_{c}")
+                for c in ["negative", "neutral", "positive"]],
+        "sentiment_score", "sentiment_label", "confidence", "emotion",
+        *[F.element_at(es, F.lit(e)).alias(f"emo_{e}") for e in EMOTION_LABELS]))
+
+
+@register("score_mllib")
+def score_mllib(spark, sf_dir):
+    """U1(b): TF-IDF + multinomial logistic regression trained on ``labels``
+    (toxic -> negative, quality -> positive), applied to every scorable
+    message. Iterative training: checked on rows only."""
+    from feedlens.scoring.mllib import MLlibScorer, labelled_documents
+    train = labelled_documents(read_table(spark, sf_dir, "documents"),
+                               read_table(spark, sf_dir, "labels"))
+    scorer = MLlibScorer(max_iter=20).fit(train)
+    resp = _scorer_response(spark, sf_dir, scorer)
+    return rounded(resp.select("id", "sentiment_label", "sentiment_score", "confidence"))

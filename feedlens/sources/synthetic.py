@@ -1,0 +1,117 @@
+"""Deterministic labelled message table and paced stream.
+
+Every attribute is a pure function of (row id, seed) through ``xxhash64``, so
+the table is generated in parallel by ``spark.range`` partitions, reproducibly,
+with no driver loop. The texts are our own short sentences per polarity.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from feedlens.constants import (CHANNELS, CITIES, DEVICES, IMPRESSIONS_PER_LIKE, PLATFORMS,
+                                PRODUCTS, SYNTHETIC_MAX_AGE_DAYS, SYNTHETIC_MIX)
+
+# Our own sentence stems per polarity ({p} is replaced by the product).
+SENTENCES = {
+    "positive": ["Really happy with my {p}, the service was quick.",
+                 "The {p} team sorted everything out in minutes, thank you.",
+                 "Great experience opening the {p}, very smooth."],
+    "negative": ["Still waiting on my {p} after two weeks, this is unacceptable.",
+                 "The {p} fees keep going up and nobody answers the phone.",
+                 "Very disappointed with how my {p} complaint was handled."],
+    "neutral": ["Does the {p} have a monthly fee?",
+                "I updated the address on my {p} today.",
+                "What documents are needed for a {p}?"],
+}
+
+
+def _u(id_col: Column, seed: int, salt: str, n: int) -> Column:
+    """Uniform integer in [0, n) from (id, seed, salt)."""
+    return F.pmod(F.xxhash64(id_col, F.lit(seed), F.lit(salt)), F.lit(n)).cast("int")
+
+
+def _pick(values: list[str], idx: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(v) for v in values]), idx + 1)
+
+
+def _between(id_col, seed, salt, lo: int, hi: int) -> Column:
+    return F.lit(lo) + _u(id_col, seed, salt, hi - lo + 1)
+
+
+def synthetic_columns(id_col: Column, seed: int, now: Column, source: str = "synthetic",
+                      dims: dict | None = None) -> list[Column]:
+    dims = dims or {}
+    products = dims.get("product", PRODUCTS)
+    cities = dims.get("city", CITIES)
+    channels = dims.get("channel", CHANNELS)
+    platforms = dims.get("platform", [p.capitalize() for p in PLATFORMS])
+    devices = dims.get("device", DEVICES)
+    bucket = _u(id_col, seed, "label", 1000)
+    label = F.lit(SYNTHETIC_MIX[-1][0])
+    edge = 0
+    edges = []
+    for name, share, *_ in SYNTHETIC_MIX:
+        edge += int(round(share * 1000))
+        edges.append((name, edge))
+    for name, e in reversed(edges[:-1]):
+        label = F.when(bucket < e, F.lit(name)).otherwise(label)
+    product = _pick(products, _u(id_col, seed, "product", len(products)))
+
+    def by_label(idx: int, salt: str) -> Column:
+        out = None
+        for name, _, *ranges in SYNTHETIC_MIX:
+            lo, hi = ranges[idx]
+            v = _between(id_col, seed, salt, lo, hi)
+            out = F.when(label == name, v) if out is None else out.when(label == name, v)
+        return out
+
+    likes = by_label(0, "likes")
+    shares = by_label(1, "shares")
+    replies = by_label(2, "replies")
+    impressions = likes * _between(id_col, seed, "impr", *IMPRESSIONS_PER_LIKE)
+    age_sec = _u(id_col, seed, "days", SYNTHETIC_MAX_AGE_DAYS + 1) * 86400 \
+        + _u(id_col, seed, "hours", 24) * 3600 + _u(id_col, seed, "minutes", 60) * 60
+    text = F.lit(None).cast("string")
+    for name, stems in SENTENCES.items():
+        t = F.replace(_pick(stems, _u(id_col, seed, "text", len(stems))), F.lit("{p}"), product)
+        text = F.when(label == name, t).otherwise(text)
+    ts = F.timestamp_add("SECOND", -age_sec, now)
+    return [
+        F.concat(F.lit("syn_"), id_col.cast("string")).alias("id"),
+        text.alias("text"),
+        F.lower(_pick(platforms, _u(id_col, seed, "platform", len(platforms)))).alias("platform"),
+        F.concat(F.lit("user_"), _u(id_col, seed, "author", 100000).cast("string")).alias("author"),
+        _u(id_col, seed, "author", 100000).cast("string").alias("author_id"),
+        F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
+        _pick(cities, _u(id_col, seed, "city", len(cities))).alias("location"),
+        _pick(cities, _u(id_col, seed, "city", len(cities))).alias("city"),
+        product.alias("product"),
+        _pick(channels, _u(id_col, seed, "channel", len(channels))).alias("channel"),
+        _pick(devices, _u(id_col, seed, "device", len(devices))).alias("device"),
+        F.lit("en").alias("language"),
+        F.create_map(F.lit("likes"), likes.cast("double"), F.lit("shares"), shares.cast("double"),
+                     F.lit("replies"), replies.cast("double"),
+                     F.lit("impressions"), impressions.cast("double")).alias("metrics"),
+        F.create_map(F.lit("sentiment_hint"), label, F.lit("generated"), F.lit("true"))
+        .alias("metadata"),
+        F.lit(source).alias("source"),
+        F.date_format(now, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("ingestion_timestamp"),
+    ]
+
+
+def synthetic_messages(spark: SparkSession, n: int, seed: int = 42, now=None,
+                       dims: dict | None = None, partitions: int | None = None) -> DataFrame:
+    """``n`` labelled raw messages (40/30/30 positive/negative/neutral)."""
+    now_col = F.current_timestamp() if now is None else F.lit(now).cast("timestamp")
+    ids = spark.range(0, n, numPartitions=partitions) if partitions else spark.range(0, n)
+    return ids.select(*synthetic_columns(F.col("id"), seed, now_col, dims=dims))
+
+
+def synthetic_stream(spark: SparkSession, rows_per_second: int = 100, seed: int = 42,
+                     dims: dict | None = None) -> DataFrame:
+    """A paced stream of the same rows (rate source; stop the query after
+    the wanted total, or bound it with a trigger)."""
+    rate = spark.readStream.format("rate").option("rowsPerSecond", rows_per_second).load()
+    return rate.select(*synthetic_columns(F.col("value"), seed, F.col("timestamp"), dims=dims))
