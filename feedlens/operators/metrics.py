@@ -141,15 +141,16 @@ def zero_metrics_values() -> dict:
 
 def fill_zero_metrics(df: DataFrame) -> DataFrame:
     """Coalesce every metric of a missing group to zero; empty histogram."""
-    out = df
-    for c, z in zero_metrics_values().items():
-        if c in out.columns:
-            out = out.withColumn(c, F.coalesce(F.col(c), F.lit(z)))
-    if "emotion_distribution" in out.columns:
-        out = out.withColumn("emotion_distribution",
-                             F.coalesce(F.col("emotion_distribution"),
-                                        F.create_map().cast("map<string,bigint>")))
-    return out
+    zeros = zero_metrics_values()
+    cols = []
+    for c in df.columns:
+        if c in zeros:
+            cols.append(F.coalesce(F.col(c), F.lit(zeros[c])).alias(c))
+        elif c == "emotion_distribution":
+            cols.append(F.coalesce(F.col(c), F.create_map().cast("map<string,bigint>")).alias(c))
+        else:
+            cols.append(F.col(c))
+    return df.select(*cols)
 
 
 def open_emotion_distribution(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -15,18 +15,21 @@ def segment_report(spark: SparkSession, metrics: DataFrame, dim: str, values: li
                    with_histogram: bool = False) -> DataFrame:
     """J3 + A7: every spine value appears, zero metrics when there is no data.
 
-    ``metrics`` holds one row per (dim, key) (e.g. ``latest_metrics``). The
-    spine is bounded by its parameter list and is the broadcast (build) side
-    of a right outer join, so the metrics table is never shuffled."""
+    ``metrics`` holds one row per (dim, key) (e.g. ``latest_metrics``). Its
+    rows are first cut to the spine's keys by a left semi join against the
+    broadcast spine (bounded by the parameter list), which leaves at most one
+    row per spine value; that bounded side is then broadcast into the
+    spine-preserving left join. No shuffle of the metrics table."""
     sp = spine(spark, values, "key")
     cols = ["key", *[c for c in METRIC_VALUE_FIELDS if c in metrics.columns]]
     for extra in ("last_updated", "emotion_distribution"):
         if extra in metrics.columns and (with_histogram or extra == "last_updated"):
             cols.append(extra)
-    m = metrics.filter(F.col("dim") == dim).select(*cols)
-    out = m.join(sp, "key", "right")
+    m = metrics.filter(F.col("dim") == dim).select(*cols) \
+        .join(F.broadcast(sp.select("key")), "key", "left_semi")
+    out = sp.join(F.broadcast(m), "key", "left")
     out = M.fill_zero_metrics(out)
-    return out.select(F.lit(dim).alias("dim"), *[c for c in out.columns])
+    return out.select(F.lit(dim).alias("dim"), *out.columns)
 
 
 def get_metrics_or_zero(spark: SparkSession, metrics: DataFrame, dim: str,

@@ -50,8 +50,21 @@ def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     return df.select(*cols)
 
 
+_SCORED: dict = {}
+
+
 def scored_messages(spark: SparkSession, sf_dir: str, scorer=None, processed_at=None,
                     **kw) -> DataFrame:
-    """messages -> F1 clean -> enrich (lexicon scorer by default)."""
-    return enrich(clean(messages(spark, sf_dir)), scorer or DEFAULT_SCORER,
-                  keep=["value"], processed_at=processed_at, **kw)
+    """messages -> F1 clean -> enrich (lexicon scorer by default).
+
+    The DataFrame (a lazy plan, not data) is reused by the queries of one
+    session, like a view: building and analysing the scoring plan costs about
+    a second of driver time, which would otherwise be paid per query."""
+    key = (id(spark), sf_dir, id(scorer or DEFAULT_SCORER), processed_at,
+           tuple(sorted(kw.items())))
+    df = _SCORED.get(key)
+    if df is None:
+        df = enrich(clean(messages(spark, sf_dir)), scorer or DEFAULT_SCORER,
+                    keep=["value"], processed_at=processed_at, **kw)
+        _SCORED[key] = df
+    return df
