@@ -16,7 +16,11 @@ from pyspark.sql import functions as F
 from feedlens.operators.enrich import enrich
 from feedlens.operators.filters import clean
 from feedlens.scoring.lexicon import LexiconScorer
-from feedlens.sources.tables import messages
+from feedlens.schemas import PROCESSED_FIELDS
+from feedlens.sources.tables import document_columns, message_base, messages  # noqa: F401
+
+SCORE_FIELDS = ["sentiment_score", "sentiment_label", "confidence", "emotion", "emotion_scores",
+                "toxicity", "churn_risk", "inference_time_ms", "processing_timestamp"]
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -64,7 +68,21 @@ def scored_messages(spark: SparkSession, sf_dir: str, scorer=None, processed_at=
            tuple(sorted(kw.items())))
     df = _SCORED.get(key)
     if df is None:
-        df = enrich(clean(messages(spark, sf_dir)), scorer or DEFAULT_SCORER,
-                    keep=["value"], processed_at=processed_at, **kw)
+        df = _score_then_join(spark, sf_dir, scorer or DEFAULT_SCORER, processed_at, **kw)
         _SCORED[key] = df
     return df
+
+
+def _score_then_join(spark, sf_dir, scorer, processed_at, **kw) -> DataFrame:
+    """Same rows as ``enrich(clean(messages))``, planned for scale: documents
+    are cleaned (F1) and scored right after their scan, and only then joined
+    to the narrow event-side columns. The text never crosses a shuffle unless
+    the query itself selects it; rollups move a few score columns per row."""
+    docs = clean(document_columns(spark, sf_dir))
+    scored_docs = enrich(docs, scorer, keep=["doc_id"], processed_at=processed_at, **kw) \
+        .select("doc_id", "text", "language", "source", *SCORE_FIELDS, "scored_ok")
+    base = message_base(spark, sf_dir)
+    j = base.join(scored_docs, base.event_id == scored_docs.doc_id, "inner")
+    cols = [F.lit(None).cast("map<string,double>").alias(c) if c == "metrics" else F.col(c)
+            for c in PROCESSED_FIELDS]
+    return j.select(*cols, "value", "scored_ok")

@@ -38,33 +38,31 @@ def _pick(values: list[str], idx) -> F.Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (idx + 1).cast("int"))
 
 
-def messages(spark: SparkSession, sf_dir: str, with_value: bool = True) -> DataFrame:
-    """Raw-message view over events + documents + customer/nation + part.
-
-    Join plan, by size class:
-      * events x documents on doc_id = event_id: both grow with the data, shuffle
-        (sort-merge) join on a unique key, so no skew;
-      * events x customer on user_id: customer grows with the data; a hot user
-        is handled by AQE skew-join splitting of the events side;
+def message_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message column except the document ones (text, language, source),
+    keyed by ``event_id``. Narrow rows: the joins here never move text.
+
+      * events x customer on user_id: customer grows with the data. It is
+        broadcast only while a bounded count proves it small (200k rows);
+        beyond that it is a shuffle join of narrow rows, where a hot user is
+        split by AQE skew-join handling of the events side;
       * nation (25 rows) and the <= 200 product parts: size-checked broadcasts.
     """
     ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type",
                                                    "value")
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = broadcast_if_small(read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
     parts = broadcast_if_small(
         read_table(spark, sf_dir, "part").select("p_partkey", "p_type")
         .filter((F.col("p_partkey") >= 0) & (F.col("p_partkey") < PRODUCT_KEYS)))
-    city_of = cust.join(nation, cust.c_nationkey == nation.n_nationkey, "left") \
-        .select(F.col("c_custkey"), F.col("n_name"))
-
-    j = ev.join(docs, ev.event_id == docs.doc_id, "left") \
-        .join(city_of, ev.user_id == city_of.c_custkey, "left") \
+    city_of = broadcast_if_small(
+        cust.join(nation, cust.c_nationkey == nation.n_nationkey, "left")
+        .select(F.col("c_custkey"), F.col("n_name")))
+    j = ev.join(city_of, ev.user_id == city_of.c_custkey, "left") \
         .join(parts, (ev.event_id % PRODUCT_KEYS) == parts.p_partkey, "left")
-    cols = [
+    return j.select(
+        F.col("event_id"),
         F.concat(F.lit("evt_"), F.col("event_id").cast("string")).alias("id"),
-        F.col("text"),
         _pick(PLATFORMS, F.col("event_id") % 4).alias("platform"),
         F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("author"),
         F.col("ts").alias("timestamp"),
@@ -73,12 +71,30 @@ def messages(spark: SparkSession, sf_dir: str, with_value: bool = True) -> DataF
         F.col("p_type").alias("product"),
         F.col("event_type").alias("channel"),
         _pick(DEVICES, F.col("user_id") % 5).alias("device"),
-        F.col("lang").alias("language"),
-        F.col("source"),
-    ]
-    if with_value:
-        cols.append(F.col("value"))
-    return j.select(*cols)
+        F.col("value"))
+
+
+def document_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The message columns that come from ``documents``, keyed by doc_id."""
+    return read_table(spark, sf_dir, "documents").select(
+        "doc_id", "text", F.col("lang").alias("language"), "source")
+
+
+MESSAGE_COLUMNS = ["id", "text", "platform", "author", "timestamp", "city", "product", "channel",
+                   "device", "language", "source"]
+
+
+def messages(spark: SparkSession, sf_dir: str, with_value: bool = True) -> DataFrame:
+    """Raw-message view over events + documents + customer/nation + part.
+
+    The narrow event-side joins come first; the text-carrying documents join
+    (doc_id = event_id, a unique key on both sides, so no skew) comes last so
+    text is shuffled at most once. When a later filter requires text (F1),
+    Catalyst turns this left join into an inner join."""
+    base = message_base(spark, sf_dir)
+    docs = document_columns(spark, sf_dir)
+    j = base.join(docs, base.event_id == docs.doc_id, "left")
+    return j.select(*MESSAGE_COLUMNS, *(["value"] if with_value else []))
 
 
 def messages_sql(with_value: bool = True) -> str:
