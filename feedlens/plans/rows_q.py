@@ -69,10 +69,11 @@ FROM scored WHERE scored_ok"""), bench=True)
 def lexicon_scores(spark, sf_dir):
     """U1(a) + X1-X5 + K3: scorer response for every scorable text: class
     probabilities, polarity, label, confidence, emotion and its scores."""
-    from feedlens.operators.enrich import response_fields, scorable
     from feedlens.plans.catalog import DEFAULT_SCORER
-    base = FL.clean(messages(spark, sf_dir)).filter(scorable("text")).select("id", "text")
-    resp = response_fields(DEFAULT_SCORER.class_scores(base, "text"))
+    return _response_report(_scorer_response(spark, sf_dir, DEFAULT_SCORER))
+
+
+def _response_report(resp):
     es = F.col("emotion_scores")
     raw = X.raw_scores("_sent_scores")
     return rounded(resp.select(
@@ -82,6 +83,20 @@ def lexicon_scores(spark, sf_dir):
         *[F.element_at(es, F.lit(e)).alias(f"emo_{e}") for e in EMOTION_LABELS]))
 
 
+def _scorer_response(spark, sf_dir, scorer):
+    """Scorer response per scorable message text: documents are scored right
+    after their scan (text is never shuffled), then kept when their event
+    exists (left semi join on the key)."""
+    from feedlens.operators.enrich import response_fields, scorable
+    from feedlens.sources.tables import document_columns
+    docs = FL.clean(document_columns(spark, sf_dir)).filter(scorable("text")) \
+        .select("doc_id", "text")
+    resp = response_fields(scorer.class_scores(docs, "text"))
+    events = read_table(spark, sf_dir, "events").select(F.col("event_id").alias("doc_id"))
+    return resp.join(events, "doc_id", "left_semi") \
+        .withColumn("id", F.concat(F.lit("evt_"), F.col("doc_id").cast("string")))
+
+
 @register("toxicity_churn", with_scored(f"""
 SELECT id, round(toxicity, 6) AS toxicity, round(churn_risk, 6) AS churn_risk,
        ({' + '.join(f"(CASE WHEN contains(lower(text), '{k}') THEN 1 ELSE 0 END)" for k in TOXIC_KEYWORDS)}) AS keyword_hits
@@ -363,12 +378,6 @@ def normalize_comments(spark, sf_dir):
 # Other scorer kinds (U1 b/c, U4, U6).
 # ---------------------------------------------------------------------------
 
-def _scorer_response(spark, sf_dir, scorer):
-    from feedlens.operators.enrich import response_fields, scorable
-    base = FL.clean(messages(spark, sf_dir)).filter(scorable("text")).select("id", "text")
-    return response_fields(scorer.class_scores(base, "text"))
-
-
 @register("score_pandas", with_scored(f"""
 SELECT id, {_SCORE_COLS}, round(sentiment_score, 6) AS sentiment_score, sentiment_label,
        round(confidence, 6) AS confidence, emotion,
@@ -378,14 +387,7 @@ def score_pandas(spark, sf_dir):
     """U1(c) + U4: the lexicon as a Python model under mapInPandas, batches of
     100 texts; same response as the Column scorer."""
     from feedlens.scoring.pandas_model import PandasScorer
-    resp = _scorer_response(spark, sf_dir, PandasScorer())
-    es = F.col("emotion_scores")
-    raw = X.raw_scores("_sent_scores")
-    return rounded(resp.select(
-        "id", *[F.element_at(raw, F.lit(c)).alias(f"p_{c}")
-                for c in ["negative", "neutral", "positive"]],
-        "sentiment_score", "sentiment_label", "confidence", "emotion",
-        *[F.element_at(es, F.lit(e)).alias(f"emo_{e}") for e in EMOTION_LABELS]))
+    return _response_report(_scorer_response(spark, sf_dir, PandasScorer()))
 
 
 @register("score_mllib")
@@ -399,3 +401,34 @@ def score_mllib(spark, sf_dir):
     scorer = MLlibScorer(max_iter=20).fit(train)
     resp = _scorer_response(spark, sf_dir, scorer)
     return rounded(resp.select("id", "sentiment_label", "sentiment_score", "confidence"))
+
+
+@register("toxicity", with_scored(f"""
+SELECT id, round(toxicity, 6) AS toxicity,
+       ({' + '.join(f"(CASE WHEN contains(lower(text), '{k}') THEN 1 ELSE 0 END)" for k in TOXIC_KEYWORDS)}) AS keyword_hits
+FROM scored"""))
+def toxicity(spark, sf_dir):
+    """X6 + X7: keyword hits and toxicity per message."""
+    s = scored_messages(spark, sf_dir)
+    return rounded(s.select("id", "toxicity", X.keyword_hits("text").alias("keyword_hits")))
+
+
+@register("churn_risk", with_scored("""
+SELECT id, round(churn_risk, 6) AS churn_risk, churn_risk > 0.7 AS high_churn FROM scored"""))
+def churn_risk(spark, sf_dir):
+    """Churn risk per message and the high-churn flag."""
+    s = scored_messages(spark, sf_dir)
+    return rounded(s.select("id", "churn_risk", (F.col("churn_risk") > 0.7).alias("high_churn")))
+
+
+@register("search_history", with_scored("""
+SELECT id, platform, CAST(timestamp AS DATE) AS index_date FROM scored
+WHERE CAST(timestamp AS DATE) BETWEEN DATE '2024-01-01' AND DATE '2024-01-02'
+  AND contains(lower(text), 'with') AND platform = 'twitter'"""))
+def search_history(spark, sf_dir):
+    """F10 over a history backfilled from the tables (index_date = event
+    date): date range, text words and field equality."""
+    h = _history_projection(scored_messages(spark, sf_dir)) \
+        .withColumn("index_date", F.to_date("timestamp"))
+    return FL.search_history(h, "2024-01-01", "2024-01-02", ["with"], {"platform": "twitter"}) \
+        .select("id", "platform", "index_date")
