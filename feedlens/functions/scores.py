@@ -127,3 +127,18 @@ def fixed(col, n: int) -> Column:
 def preview(text, n: int = 50) -> Column:
     """First n characters."""
     return F.substring(_c(text), 1, n)
+
+
+def iso_ts(col) -> Column:
+    """ISO-8601 text to TIMESTAMP (UTC session zone)."""
+    return F.to_timestamp(_c(col))
+
+
+def utc_date(col) -> Column:
+    """UTC date part of a timestamp."""
+    return F.to_date(_c(col))
+
+
+def iso_text(col) -> Column:
+    """TIMESTAMP to ISO-8601 text with milliseconds and Z."""
+    return F.date_format(_c(col), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")

@@ -111,13 +111,17 @@ def trend_velocity(windowed: DataFrame, keys: list[str] | None = None,
 
 
 def latest_metrics(windowed: DataFrame, keys: list[str] | None = None,
-                   order_col: str = "window_end") -> DataFrame:
+                   order_col: str | list[str] = "window_end") -> DataFrame:
     """Per key the row of the latest window (``max_by`` over a struct, an
-    algebraic aggregate with partial aggregation; no per-key sort)."""
+    algebraic aggregate with partial aggregation; no per-key sort). Several
+    order columns break ties left to right (e.g. window_end, then batch_id for
+    a window re-emitted by an update-mode stream)."""
     keys = keys or ["dim", "key"]
     rest = [c for c in windowed.columns if c not in keys]
+    orders = [order_col] if isinstance(order_col, str) else list(order_col)
+    order = F.col(orders[0]) if len(orders) == 1 else F.struct(*[F.col(c) for c in orders])
     agg = windowed.groupBy(*keys).agg(
-        F.max_by(F.struct(*[F.col(c) for c in rest]), F.col(order_col)).alias("_last"))
+        F.max_by(F.struct(*[F.col(c) for c in rest]), order).alias("_last"))
     return agg.select(*keys, *[F.col(f"_last.{c}").alias(c) for c in rest])
 
 

@@ -142,6 +142,19 @@ def start(df: DataFrame, name: str, sink: str = "parquet", path: str | None = No
     return w.format(sink).start()
 
 
+def progress_summary(query) -> dict:
+    """A11 on a stream: processed rows, batches, input and processing rates
+    from ``StreamingQueryProgress``; rows dropped as late (T-3)."""
+    ps = [p for p in query.recentProgress]
+    with_rows = [p for p in ps if p["numInputRows"] > 0]
+    busy = sum(p["durationMs"].get("triggerExecution", 0) for p in with_rows) / 1000.0
+    rows = sum(p["numInputRows"] for p in with_rows)
+    dropped = sum(op.get("numRowsDroppedByWatermark", 0) for p in ps
+                  for op in p.get("stateOperators", []))
+    return {"processed": rows, "batches": len(with_rows),
+            "rows_per_sec": rows / busy if busy else None, "late_dropped": dropped}
+
+
 def wire_stream(scored: DataFrame) -> DataFrame:
     """S4 on a stream: key/value JSON rows for a topic sink."""
     return to_wire(scored)

@@ -155,3 +155,33 @@ def test_wire_and_alert_stream_shapes(spark):
     assert J.alert_stream(df, 0.0).first().message.id == "a"
     opts = J.kafka_producer_options("b:9092", "sentiment.processed")
     assert opts["kafka.acks"] == "all" and opts["kafka.compression.type"] == "gzip"
+
+
+def test_update_mode_final_flush_shows_open_window(spark):
+    """T-6: in update mode every window, the still-open last one included,
+    reaches the store; the newest version of each window equals batch."""
+    base = tempfile.mkdtemp(prefix="fl-upd-")
+    src = os.path.join(base, "in")
+    os.makedirs(src)
+    _write_raw_files(spark, src, n_files=3)
+    raw = J.read_raw_stream(spark, "text", src, max_files=1)
+    scored = J.score_stream(raw, LexiconScorer(), processed_at=AT)
+    win = J.windowed_stream(scored, "timestamp", "1 day", "1 hour", emotions=False)
+    path = os.path.join(base, "m")
+
+    def sink(batch, batch_id):
+        ST.append_metrics(batch, path, batch_id)
+
+    q = J.start(win, "upd_test", mode="update", foreach_batch=sink,
+                trigger={"availableNow": True}, checkpoint_location=os.path.join(base, "ck"))
+    q.awaitTermination()
+    summary = J.progress_summary(q)
+    assert summary["processed"] > 0 and summary["batches"] >= 1
+    got = {(r.window_start, r.dim, r.key): r["count"] for r in ST.read_windows(spark, path).collect()}
+    b = enrich(clean(messages(spark, SF001)), LexiconScorer(), processed_at=AT) \
+        .withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    want = {(r.window_start, r.dim, r.key): r["count"]
+            for r in T.windowed_metrics(b, "timestamp", "1 day", emotions=False).collect()}
+    assert got == want
+    latest = ST.read_latest_metrics(spark, path).filter("dim = 'overall'").first()
+    assert latest.window_start == max(k[0] for k in want)
