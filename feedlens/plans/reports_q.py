@@ -177,6 +177,105 @@ def windowed_metrics(spark, sf_dir):
     return rounded(daily_windows(spark, sf_dir))
 
 
+@register("stream_windowed_metrics", _with_win(
+    f"SELECT window_start, window_end, dim, key, {_WIN_ROUNDED}, last_updated FROM win"))
+def stream_windowed_metrics(spark, sf_dir):
+    """T-1/T-4/T-6 as a real stream: ``events`` read by a file stream source,
+    joined to the statically scored documents (stream-static join), windowed
+    rollup with watermark in update mode, drained with availableNow into the
+    replay-safe metrics store under the shared checkpoint folder; the store's
+    newest version of every window is returned. Same rows as the batch
+    ``windowed_metrics``."""
+    import uuid
+
+    from feedlens.plans.catalog import DEFAULT_SCORER
+    from feedlens.session import shared_path
+    from feedlens.sinks import tables as ST
+    from feedlens.sources.tables import events_stream, message_base
+    from feedlens.streaming import jobs as J
+    from feedlens.operators.filters import clean
+    from feedlens.operators.enrich import enrich
+    from feedlens.sources.tables import document_columns
+
+    run = shared_path(spark, "queries", f"stream_windowed_{uuid.uuid4().hex}")
+    base = message_base(spark, sf_dir, events_stream(spark, sf_dir))
+    docs = enrich(clean(document_columns(spark, sf_dir)), DEFAULT_SCORER, keep=["doc_id"]) \
+        .select("doc_id", "sentiment_score", "sentiment_label", "churn_risk", "toxicity",
+                "emotion")
+    scored = base.join(docs, base.event_id == docs.doc_id, "inner")
+    win = J.windowed_stream(scored, "timestamp", "1 day", "1 day", emotions=False)
+    q = J.start(win, f"stream_windowed_{uuid.uuid4().hex[:8]}", mode="update",
+                foreach_batch=lambda b, i: ST.append_metrics(b, f"{run}/metrics", i),
+                trigger={"availableNow": True}, checkpoint_location=f"{run}/checkpoint")
+    q.awaitTermination()
+    out = ST.read_windows(spark, f"{run}/metrics")
+    ntz = {"window_start", "window_end", "last_updated"}
+    cols = ["window_start", "window_end", "dim", "key", *METRIC_VALUES, "last_updated"]
+    return rounded(out.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c in ntz
+                                else F.col(c) for c in cols]))
+
+
+def _stream_scored(spark, sf_dir, keep_text: bool = False):
+    """events as a stream, joined to the statically scored documents."""
+    from feedlens.operators.enrich import enrich
+    from feedlens.operators.filters import clean
+    from feedlens.plans.catalog import DEFAULT_SCORER, SCORE_FIELDS
+    from feedlens.schemas import PROCESSED_FIELDS
+    from feedlens.sources.tables import document_columns, events_stream, message_base
+    base = message_base(spark, sf_dir, events_stream(spark, sf_dir))
+    docs = enrich(clean(document_columns(spark, sf_dir)), DEFAULT_SCORER, keep=["doc_id"]) \
+        .select("doc_id", "text", "language", "source", *SCORE_FIELDS)
+    j = base.join(docs, base.event_id == docs.doc_id, "inner")
+    return j.select(*[c for c in PROCESSED_FIELDS if c != "metrics"])
+
+
+def _run_dir(spark, name):
+    import uuid
+    from feedlens.session import shared_path
+    return shared_path(spark, "queries", f"{name}_{uuid.uuid4().hex}")
+
+
+@register("stream_churn_alerts", with_scored("""
+SELECT id, round(churn_risk, 6) AS churn_risk, channel FROM scored WHERE churn_risk > 0.7"""))
+def stream_churn_alerts(spark, sf_dir):
+    """T-7 as a real stream: alerts appended to a Parquet sink with a
+    checkpoint, drained with availableNow, read back."""
+    from feedlens.streaming import jobs as J
+    run = _run_dir(spark, "stream_alerts")
+    alerts = J.alert_stream(_stream_scored(spark, sf_dir)) \
+        .select("message.id", "message.churn_risk", "message.channel", "alert_timestamp")
+    q = J.start(alerts, f"alerts_{run[-8:]}", sink="parquet", path=f"{run}/out",
+                trigger={"availableNow": True}, checkpoint_location=f"{run}/checkpoint")
+    q.awaitTermination()
+    return rounded(spark.read.parquet(f"{run}/out").select("id", "churn_risk", "channel"))
+
+
+@register("stream_history", with_scored("""
+SELECT id, platform, city, product, channel, sentiment_label, emotion, language, text,
+       round(CAST(sentiment_score AS FLOAT), 6) AS sentiment_score,
+       round(CAST(toxicity AS FLOAT), 6) AS toxicity,
+       round(CAST(churn_risk AS FLOAT), 6) AS churn_risk, timestamp
+FROM scored"""))
+def stream_history(spark, sf_dir):
+    """S7 + S8 as a real stream: every scored message into the date-partitioned
+    history through foreachBatch (one replay-safe partition per micro-batch),
+    read back as typed documents."""
+    from feedlens.sinks import tables as ST
+    from feedlens.streaming import jobs as J
+    run = _run_dir(spark, "stream_history")
+    q = J.start(_stream_scored(spark, sf_dir), f"history_{run[-8:]}",
+                foreach_batch=lambda b, i: ST.write_history(b, f"{run}/history", batch_id=i),
+                trigger={"availableNow": True}, checkpoint_location=f"{run}/checkpoint")
+    q.awaitTermination()
+    h = spark.read.parquet(f"{run}/history")
+    return h.select(*[F.round(F.col(c).cast("double"), 6).alias(c)
+                      if c in ("sentiment_score", "toxicity", "churn_risk")
+                      else (F.col(c).cast("timestamp_ntz").alias(c) if c == "timestamp" else F.col(c))
+                      for c in ["id", "platform", "city", "product", "channel", "sentiment_label",
+                                "emotion", "language", "text", "sentiment_score", "toxicity",
+                                "churn_risk", "timestamp"]])
+
+
 @register("latest_metrics", _with_win("""
 SELECT dim, key, arg_max(window_start, window_end) AS window_start, max(window_end) AS window_end,
        arg_max(count, window_end) AS count, round(arg_max(avg_sentiment, window_end), 6) AS avg_sentiment,

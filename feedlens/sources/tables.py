@@ -38,7 +38,7 @@ def _pick(values: list[str], idx) -> F.Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (idx + 1).cast("int"))
 
 
-def message_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+def message_base(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
     """Every message column except the document ones (text, language, source),
     keyed by ``event_id``. Narrow rows: the joins here never move text.
 
@@ -48,8 +48,8 @@ def message_base(spark: SparkSession, sf_dir: str) -> DataFrame:
         split by AQE skew-join handling of the events side;
       * nation (25 rows) and the <= 200 product parts: size-checked broadcasts.
     """
-    ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type",
-                                                   "value")
+    ev = (events if events is not None else read_table(spark, sf_dir, "events")) \
+        .select("event_id", "ts", "user_id", "event_type", "value")
     cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = broadcast_if_small(read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
     parts = broadcast_if_small(
@@ -74,6 +74,16 @@ def message_base(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("value"))
 
 
+def events_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
+    """The ``events`` table as a streaming source (file source over the
+    table's Parquet file; new files dropped next to it are picked up)."""
+    schema = read_table(spark, sf_dir, "events").schema
+    r = spark.readStream.schema(schema).option("basePath", sf_dir)
+    if max_files:
+        r = r.option("maxFilesPerTrigger", max_files)
+    return r.parquet(f"{sf_dir}/event[s].parquet")
+
+
 def document_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The message columns that come from ``documents``, keyed by doc_id."""
     return read_table(spark, sf_dir, "documents").select(
