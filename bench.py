@@ -13,7 +13,6 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -45,7 +44,10 @@ def stream_throughput(spark) -> dict:
     from feedlens.sources.tables import messages
     from feedlens.streaming import jobs as J
 
-    base = tempfile.mkdtemp(prefix="feedlens-bench-stream-")
+    import uuid
+
+    from feedlens.session import shared_path
+    base = shared_path(spark, "bench", f"stream-{uuid.uuid4().hex}")
     src = os.path.join(base, "in")
     m = messages(spark, SF_DIR).drop("value").withColumn(
         "timestamp", F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
