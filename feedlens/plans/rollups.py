@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from feedlens.constants import EMOTION_LABELS
 from feedlens.operators import metrics as M
 from feedlens.plans.catalog import register, rounded, scored_messages
 from feedlens.plans.oracle_sql import METRIC_SQL, with_scored
@@ -146,5 +145,3 @@ def label_confusion(spark, sf_dir):
     s = scored_messages(spark, sf_dir).select("id", "sentiment_label")
     return M.label_confusion(s.join(lab, "id"), "sentiment_label", "expected")
 
-
-EMOTION_COLS = EMOTION_LABELS

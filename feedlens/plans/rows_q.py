@@ -19,7 +19,6 @@ from feedlens.plans.oracle_sql import with_messages, with_scored
 from feedlens.sinks.encode import history_projection as _history_projection
 from feedlens.sources.tables import messages, read_table
 
-_KW = ", ".join(f"'{k}'" for k in TOXIC_KEYWORDS)
 _KW_OR = " OR ".join(f"contains(lower(text), '{k}')" for k in TOXIC_KEYWORDS)
 
 

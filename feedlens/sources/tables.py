@@ -109,8 +109,6 @@ def messages(spark: SparkSession, sf_dir: str, with_value: bool = True) -> DataF
 
 def messages_sql(with_value: bool = True) -> str:
     """The same view as ANSI SQL (runs on Spark SQL and DuckDB alike)."""
-    plat = ", ".join(f"'{p}'" for p in PLATFORMS)
-    dev = ", ".join(f"'{d}'" for d in DEVICES)
     value = ",\n         e.value AS value" if with_value else ""
     return f"""
   SELECT concat('evt_', CAST(e.event_id AS VARCHAR)) AS id,
