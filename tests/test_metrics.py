@@ -151,3 +151,23 @@ def test_label_confusion_and_progress(spark):
     ev = spark.createDataFrame([(T0,), (T0 + dt.timedelta(seconds=10),)], "ts timestamp")
     p = M.progress(ev, "ts", total=4).first()
     assert (p.processed, p.span_sec, p.rate_per_sec, p.percent, p.remaining) == (2, 10.0, 0.2, 50.0, 2)
+
+
+def test_latency_stats_approx_and_throughput(spark):
+    df = spark.createDataFrame([("a", float(v)) for v in range(1, 101)], "k string, v double")
+    r = ST.latency_stats(df, "v", ["k"], method="approx").first()
+    assert abs(r.p95 - 95.95) <= 1.0 and r["count"] == 100
+    t = ST.throughput(ST.latency_stats(df, "v", ["k"]), batch_size=10).first()
+    assert t.throughput_per_sec == pytest.approx(10 * 1000.0 / 50.5)
+
+
+def test_broadcast_only_with_proven_bound(spark):
+    from feedlens.operators.joins import broadcast_if_small
+    small = spark.range(10)
+    big_for_bound = spark.range(1000)
+    j1 = spark.range(5).join(broadcast_if_small(small, 100), "id")
+    j2 = spark.range(5).join(broadcast_if_small(big_for_bound, 100), "id")
+    p1 = j1._jdf.queryExecution().optimizedPlan().toString()
+    p2 = j2._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" in p1.lower()      # 10 rows <= bound: hinted
+    assert "broadcast" not in p2.lower()  # 1000 rows > bound: left to the planner
