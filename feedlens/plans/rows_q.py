@@ -431,3 +431,33 @@ def search_history(spark, sf_dir):
         .withColumn("index_date", F.to_date("timestamp"))
     return FL.search_history(h, "2024-01-01", "2024-01-02", ["with"], {"platform": "twitter"}) \
         .select("id", "platform", "index_date")
+
+
+@register("normalize_tweets", """
+SELECT CAST(e.event_id AS VARCHAR) AS id, 'twitter' AS platform,
+       coalesce(c.c_name, 'unknown') AS author, coalesce(c.c_acctbal > 5000, false) AS verified,
+       coalesce(d.lang, 'en') AS language, length(d.text) AS n_chars
+FROM events e JOIN documents d ON d.doc_id = e.event_id
+LEFT JOIN customer c ON c.c_custkey = e.user_id""")
+def normalize_tweets(spark, sf_dir):
+    """P1 + J1 on tweets re-aimed from the tables: each event with a document
+    is a tweet by ``user_id``; customers are the user expansion (verified when
+    the account balance is above 5000). Authors join on id, misses default."""
+    ev = read_table(spark, sf_dir, "events")
+    docs = read_table(spark, sf_dir, "documents")
+    tweets = ev.join(docs, ev.event_id == docs.doc_id).select(
+        F.col("event_id").alias("id"), "text", F.col("user_id").alias("author_id"),
+        F.col("ts").cast("timestamp").alias("created_at"), "lang",
+        F.lit(False).alias("is_retweet"),
+        F.struct(F.lit(None).cast("string").alias("place_id")).alias("geo"),
+        F.lit(None).cast("struct<retweet_count:int,reply_count:int,like_count:int,"
+                         "quote_count:int,impression_count:int>").alias("public_metrics"),
+        F.lit(None).cast("struct<hashtags:array<struct<tag:string>>,"
+                         "mentions:array<struct<username:string>>>").alias("entities"))
+    users = read_table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("id"), F.col("c_name").alias("username"),
+        (F.col("c_acctbal") > 5000).alias("verified"),
+        F.struct(F.col("c_nationkey").alias("followers_count")).alias("public_metrics"))
+    out = N.normalize_tweets(tweets, users, ingested_at="2024-02-01 00:00:00")
+    return out.select("id", "platform", "author", "verified", "language",
+                      F.length("text").alias("n_chars"))
