@@ -67,6 +67,32 @@ def recent_trend(df: DataFrame, n: int = RECENT_POINTS, ts_col: str = "timestamp
         F.min(ts_col).over(w).alias("first_ts"), F.max(ts_col).over(w).alias("last_ts"))
 
 
+def recent_trend_scoring_last(candidates: DataFrame, texts: DataFrame, score, n: int = RECENT_POINTS,
+                              ts_col: str = "timestamp", id_col: str = "id",
+                              keys: list[str] | None = None, join_key: str = "event_id",
+                              text_key: str = "doc_id") -> DataFrame:
+    """W1 with the limit below the scorer: the last ``n`` points (per key) are
+    chosen on narrow columns first, and only their texts are scored.
+
+    ``candidates`` holds the messages that have a text (no text column);
+    ``texts`` holds (text_key, text, ...); ``score`` maps a text frame to a
+    frame with ``text_key`` and ``sentiment_score``. Without keys the chosen
+    set has exactly n rows, so broadcasting it is bounded by n; per key it is
+    n x keys rows and goes through the size-checked broadcast."""
+    from feedlens.operators.joins import broadcast_if_small
+    order = [F.col(ts_col).desc(), F.col(id_col).desc()]
+    if keys:
+        chosen = top_n_per_key(candidates, keys, order, n, rank_col="_r").drop("_r")
+        chosen_ids = broadcast_if_small(chosen.select(F.col(join_key).alias(text_key)))
+    else:
+        chosen = candidates.orderBy(*order).limit(n)
+        chosen_ids = F.broadcast(chosen.select(F.col(join_key).alias(text_key)))
+    scored = score(texts.join(chosen_ids, text_key, "left_semi")) \
+        .select(text_key, "sentiment_score")
+    joined = chosen.join(scored, chosen[join_key] == scored[text_key])
+    return recent_trend(joined, n, ts_col, id_col, "sentiment_score", keys)
+
+
 def windowed_metrics(df: DataFrame, ts_col: str = "timestamp", width: str = "60 seconds",
                      emotions: bool = True, last_col: str | None = None) -> DataFrame:
     """T-1: tumbling event-time windows x (dim, key) metrics, batch or stream.

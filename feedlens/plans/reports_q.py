@@ -63,9 +63,22 @@ FROM {_spine_sql(values)}
 LEFT JOIN (SELECT * FROM seg WHERE dim = '{dim}') s ON s.key = sp.key""")
 
 
+DIM_COLUMN = {"geo": "city", "product": "product", "channel": "channel", "platform": "platform"}
+
+
+def dim_table(spark, sf_dir, dim):
+    """(dim, key) metrics of one dimension only (no five-way fan-out)."""
+    col = DIM_COLUMN[dim]
+    m = M.segment_metrics(scored_messages(spark, sf_dir), [col], ts_col="timestamp",
+                          emotions=False)
+    return m.select(F.lit(dim).alias("dim"),
+                    F.coalesce(F.col(col).cast("string"), F.lit(M.NULL_KEY)).alias("key"),
+                    *[c for c in m.columns if c != col])
+
+
 def _report_q(dim, values):
     def q(spark, sf_dir):
-        rep = R.segment_report(spark, segment_table(spark, sf_dir), dim, values)
+        rep = R.segment_report(spark, dim_table(spark, sf_dir, dim), dim, values)
         return rounded(rep.select("dim", "key", "spine_pos", *METRIC_VALUES, "last_updated"))
     return q
 
@@ -98,7 +111,7 @@ def overall_report(spark, sf_dir):
 @register("get_metrics", _report_sql("platform", ["twitter"]))
 def get_metrics(spark, sf_dir):
     """R5 + F9: one (type, key) lookup, here platform 'twitter'."""
-    rep = R.get_metrics_or_zero(spark, segment_table(spark, sf_dir), "platform", "twitter")
+    rep = R.get_metrics_or_zero(spark, dim_table(spark, sf_dir, "platform"), "platform", "twitter")
     return rounded(rep.select("dim", "key", "spine_pos", *METRIC_VALUES, "last_updated"))
 
 
@@ -107,7 +120,7 @@ SELECT sp.key AS key, round(coalesce(s.avg_sentiment, 0.0), 2) AS avg_sentiment_
 FROM {_spine_sql(GEO_REPORT_CITIES)} LEFT JOIN (SELECT * FROM seg WHERE dim = 'geo') s ON s.key = sp.key"""))
 def geo_view(spark, sf_dir):
     """Mean sentiment per listed city, two decimals."""
-    rep = R.geo_report(spark, segment_table(spark, sf_dir))
+    rep = R.geo_report(spark, dim_table(spark, sf_dir, "geo"))
     return R.geo_view(rep)
 
 
@@ -122,7 +135,7 @@ SELECT key, spine_pos, round(avg_sentiment, 6) AS avg_sentiment,
 FROM ({_PRODUCT_REPORT})"""))
 def rank_products(spark, sf_dir):
     """K1: products by mean sentiment, ties in spine order."""
-    rep = R.product_report(spark, segment_table(spark, sf_dir))
+    rep = R.product_report(spark, dim_table(spark, sf_dir, "product"))
     return rounded(T.rank_products(rep.select("key", "spine_pos", "avg_sentiment")))
 
 
@@ -132,7 +145,7 @@ SELECT arg_max(key, spine_pos) FILTER (WHERE avg_sentiment = mx) AS best_product
 FROM (SELECT *, max(avg_sentiment) OVER () AS mx FROM ({_PRODUCT_REPORT}))"""))
 def best_product(spark, sf_dir):
     """K2: best product; on a tie the later one wins."""
-    rep = R.product_report(spark, segment_table(spark, sf_dir))
+    rep = R.product_report(spark, dim_table(spark, sf_dir, "product"))
     return rounded(T.best_product(rep))
 
 
@@ -348,10 +361,26 @@ FROM (SELECT id, timestamp, sentiment_score,
       FROM scored ORDER BY timestamp DESC, id DESC LIMIT 50)""")
 
 
+def _trend_inputs(spark, sf_dir):
+    from feedlens.operators.enrich import enrich
+    from feedlens.operators.filters import clean
+    from feedlens.plans.catalog import DEFAULT_SCORER
+    from feedlens.sources.tables import document_columns, message_base
+    texts = clean(document_columns(spark, sf_dir))
+    base = message_base(spark, sf_dir)
+    candidates = base.join(texts.select("doc_id"), base.event_id == F.col("doc_id"), "left_semi")
+
+    def score(df):
+        return enrich(df, DEFAULT_SCORER, keep=["doc_id"])
+    return candidates, texts, score
+
+
 @register("recent_trend", _RECENT_SQL, bench=True)
 def recent_trend(spark, sf_dir):
-    """W1 + X14: last 50 points by arrival, ascending position, sign flag."""
-    return rounded(T.recent_trend(scored_messages(spark, sf_dir), 50))
+    """W1 + X14: last 50 points by arrival, ascending position, sign flag.
+    The 50 are chosen before scoring, so only 50 texts are scored."""
+    candidates, texts, score = _trend_inputs(spark, sf_dir)
+    return rounded(T.recent_trend_scoring_last(candidates, texts, score, 50))
 
 
 @register("recent_trend_by_channel", with_scored("""
@@ -363,8 +392,10 @@ SELECT channel, id, timestamp, round(sentiment_score, 6) AS sentiment_score,
 FROM (SELECT *, row_number() OVER (PARTITION BY channel ORDER BY timestamp DESC, id DESC) AS recency
       FROM scored) WHERE recency <= 50"""))
 def recent_trend_by_channel(spark, sf_dir):
-    """W1 per key (salted two-stage top-n, skew-safe)."""
-    return rounded(T.recent_trend(scored_messages(spark, sf_dir), 50, keys=["channel"]))
+    """W1 per key (salted two-stage top-n, skew-safe); only the chosen
+    points' texts are scored."""
+    candidates, texts, score = _trend_inputs(spark, sf_dir)
+    return rounded(T.recent_trend_scoring_last(candidates, texts, score, 50, keys=["channel"]))
 
 
 @register("trend_series", with_scored(f"""
