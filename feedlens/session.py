@@ -19,6 +19,9 @@ BASE_CONF = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Commit only the change log per micro-batch; snapshots are uploaded in
+    # the background.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
