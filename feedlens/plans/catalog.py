@@ -64,7 +64,8 @@ def scored_messages(spark: SparkSession, sf_dir: str, scorer=None, processed_at=
     The DataFrame (a lazy plan, not data) is reused by the queries of one
     session, like a view: building and analysing the scoring plan costs about
     a second of driver time, which would otherwise be paid per query."""
-    key = (id(spark), sf_dir, id(scorer or DEFAULT_SCORER), processed_at,
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir, id(scorer or DEFAULT_SCORER),
+           processed_at,
            tuple(sorted(kw.items())))
     df = _SCORED.get(key)
     if df is None:

@@ -313,11 +313,13 @@ SELECT * FROM (
   FROM win GROUP BY dim, key)
 WHERE last_updated > (SELECT max(timestamp) FROM scored) - INTERVAL 24 HOURS"""))
 def live_metrics(spark, sf_dir):
-    """Latest metrics still within 24 h of the newest message."""
-    s = scored_messages(spark, sf_dir)
+    """Latest metrics still within 24 h of the newest message. The newest
+    message time comes from the narrow event columns (no second scoring
+    pass), as a scalar subquery."""
     latest = T.latest_metrics(daily_windows(spark, sf_dir)) \
         .select("dim", "key", "count", "avg_sentiment", "last_updated")
-    as_of = s.agg(F.max("timestamp")).scalar()
+    candidates, _, _ = _trend_inputs(spark, sf_dir)
+    as_of = candidates.agg(F.max("timestamp")).scalar()
     cutoff = as_of - F.expr("INTERVAL 24 HOURS")
     return rounded(latest.filter(F.col("last_updated") > cutoff))
 

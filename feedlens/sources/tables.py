@@ -26,7 +26,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Lazy Parquet scan of one driver table. The DataFrame (not its data) is
     reused within a session so footers are listed and parsed once."""
     path = f"{sf_dir}/{name}.parquet"
-    key = (id(spark), path)
+    key = (id(spark), spark.sparkContext.applicationId, path)
     df = _READS.get(key)
     if df is None:
         df = spark.read.parquet(path)
