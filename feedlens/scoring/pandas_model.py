@@ -82,6 +82,8 @@ class PandasScorer:
         self.batch_size = batch_size
 
     def class_scores(self, df: DataFrame, text_col: str, emotion: bool = True) -> DataFrame:
+        from feedlens.session import ship_package
+        ship_package(df.sparkSession)
         factory, size = self.model_factory, self.batch_size
         out_schema = T.StructType(df.schema.fields + [
             T.StructField("_sent_scores", T.ArrayType(T.DoubleType())),

@@ -41,9 +41,33 @@ def build_session(master: str = "local[*]", app: str = "feedlens",
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``feedlens`` importable in Python workers (the scorer that runs
+    under ``mapInPandas``): the package is zipped once per application on the
+    driver and distributed with ``addPyFile``, the same as ``--py-files``."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    import zipfile
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="feedlens-pyfiles-"), "feedlens.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as zf:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    spark.sparkContext.addPyFile(out)
+    _SHIPPED.add(app)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints, streaming state and written tables.
 
