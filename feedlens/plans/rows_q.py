@@ -461,3 +461,58 @@ def normalize_tweets(spark, sf_dir):
     out = N.normalize_tweets(tweets, users, ingested_at="2024-02-01 00:00:00")
     return out.select("id", "platform", "author", "verified", "language",
                       F.length("text").alias("n_chars"))
+
+
+@register("wire_roundtrip", with_scored("""
+SELECT id, city, sentiment_label, emotion, round(sentiment_score, 6) AS sentiment_score,
+       round(toxicity, 6) AS toxicity, round(churn_risk, 6) AS churn_risk
+FROM scored"""))
+def wire_roundtrip(spark, sf_dir):
+    """S4 + S3 + T-8: every scored message serialised to its wire JSON (NULL
+    fields kept) and parsed back with the processed schema."""
+    from feedlens.sinks.encode import to_wire
+    from feedlens.streaming.jobs import parse_processed
+    wire = to_wire(scored_messages(spark, sf_dir))
+    back = parse_processed(wire)
+    return rounded(back.select("id", "city", "sentiment_label", "emotion", "sentiment_score",
+                               "toxicity", "churn_risk"))
+
+
+@register("raw_roundtrip", with_messages("""
+SELECT platform, count(*) AS n, sum(length(text)) AS chars FROM messages
+WHERE text IS NOT NULL AND text <> '' GROUP BY platform"""))
+def raw_roundtrip(spark, sf_dir):
+    """S2 on whole tables: the message view as raw JSON values, parsed with
+    RAW_SCHEMA (quarantine mode), cleaned and counted."""
+    from feedlens.streaming.jobs import parse_raw
+    m = messages(spark, sf_dir).withColumn(
+        "timestamp", F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+    raw = m.select(F.to_json(F.struct(*m.columns)).alias("value"))
+    parsed = FL.clean(parse_raw(raw).filter(F.col("_corrupt_record").isNull()))
+    return parsed.groupBy("platform").agg(F.count(F.lit(1)).alias("n"),
+                                          F.sum(F.length("text")).alias("chars"))
+
+
+@register("drop_removed_turns", """
+SELECT conv_id, turn FROM conversations
+WHERE text IS NOT NULL AND text NOT IN ('', '[deleted]', '[removed]')""")
+def drop_removed_turns(spark, sf_dir):
+    """F4 on conversation turns as comment bodies."""
+    c = read_table(spark, sf_dir, "conversations")
+    return FL.drop_removed(c, "text").select("conv_id", "turn")
+
+
+@register("page_of_events", """
+SELECT event_id, event_type FROM events ORDER BY event_id LIMIT 100""")
+def page_of_events(spark, sf_dir):
+    """K4: one page (100 rows) of the newest-first listing, here by id."""
+    e = read_table(spark, sf_dir, "events").select("event_id", "event_type")
+    return T.take(e, 100, ["event_id"])
+
+
+@register("message_preview", with_messages("""
+SELECT id, substr(text, 1, 50) AS preview FROM messages WHERE text IS NOT NULL AND text <> ''"""))
+def message_preview(spark, sf_dir):
+    """First 50 characters of every message text."""
+    from feedlens.functions.scores import preview
+    return FL.clean(messages(spark, sf_dir)).select("id", preview("text").alias("preview"))
