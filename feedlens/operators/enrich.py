@@ -18,6 +18,20 @@ def scorable(text, max_chars: int = MAX_SCORABLE_CHARS) -> Column:
     return F.coalesce(F.length(t).between(1, max_chars), F.lit(False))
 
 
+def spread_for_cpu(df: DataFrame) -> DataFrame:
+    """Before a CPU-heavy step: if the input has fewer partitions than the
+    cluster has cores (e.g. a file with few row groups, or one unsplittable
+    file), spread it round-robin over the default parallelism. A large
+    input already has many more splits than cores and is left untouched, so
+    at scale this adds no shuffle."""
+    if df.isStreaming:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def stamp(df: DataFrame, col: str = "processing_timestamp", at=None) -> DataFrame:
     """P10: processing / ingestion time; ``at`` pins it for reproducible runs."""
     value = F.current_timestamp() if at is None else F.lit(at).cast("timestamp")

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlens.operators.enrich import enrich
+from feedlens.operators.enrich import enrich, spread_for_cpu
 from feedlens.operators.filters import clean
 from feedlens.scoring.lexicon import LexiconScorer
 from feedlens.schemas import PROCESSED_FIELDS
@@ -79,7 +79,7 @@ def _score_then_join(spark, sf_dir, scorer, processed_at, **kw) -> DataFrame:
     are cleaned (F1) and scored right after their scan, and only then joined
     to the narrow event-side columns. The text never crosses a shuffle unless
     the query itself selects it; rollups move a few score columns per row."""
-    docs = clean(document_columns(spark, sf_dir))
+    docs = spread_for_cpu(clean(document_columns(spark, sf_dir)))
     scored_docs = enrich(docs, scorer, keep=["doc_id"], processed_at=processed_at, **kw) \
         .select("doc_id", "text", "language", "source", *SCORE_FIELDS, "scored_ok")
     base = message_base(spark, sf_dir)

@@ -86,10 +86,10 @@ def _scorer_response(spark, sf_dir, scorer):
     """Scorer response per scorable message text: documents are scored right
     after their scan (text is never shuffled), then kept when their event
     exists (left semi join on the key)."""
-    from feedlens.operators.enrich import response_fields, scorable
+    from feedlens.operators.enrich import response_fields, scorable, spread_for_cpu
     from feedlens.sources.tables import document_columns
-    docs = FL.clean(document_columns(spark, sf_dir)).filter(scorable("text")) \
-        .select("doc_id", "text")
+    docs = spread_for_cpu(FL.clean(document_columns(spark, sf_dir)).filter(scorable("text"))
+                          .select("doc_id", "text"))
     resp = response_fields(scorer.class_scores(docs, "text"))
     events = read_table(spark, sf_dir, "events").select(F.col("event_id").alias("doc_id"))
     return resp.join(events, "doc_id", "left_semi") \
