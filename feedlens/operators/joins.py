@@ -34,9 +34,12 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
 def spine(spark: SparkSession, values: list, name: str = "key") -> DataFrame:
     """A dimension spine: one row per listed value with its list position.
 
-    Size is bounded by the parameter list, so it is always safe to broadcast."""
-    rows = [(v, i) for i, v in enumerate(values)]
-    return F.broadcast(spark.createDataFrame(rows, f"{name} string, spine_pos int"))
+    Built from literals in the JVM (``inline`` over one row), so no Python
+    worker is involved. Size is bounded by the parameter list, so it is
+    always safe to broadcast."""
+    rows = [F.struct(F.lit(v).cast("string").alias(name), F.lit(i).alias("spine_pos"))
+            for i, v in enumerate(values)]
+    return F.broadcast(spark.range(1).select(F.inline(F.array(*rows))))
 
 
 def left_semi(df: DataFrame, other: DataFrame, on) -> DataFrame:
