@@ -211,7 +211,7 @@ def progress(df: DataFrame, ts_col: str, total: int | None = None) -> DataFrame:
                  F.min(ts_col).alias("first_ts"), F.max(ts_col).alias("last_ts"))
     span = F.timestamp_diff("MICROSECOND", F.col("first_ts"), F.col("last_ts")) / F.lit(1e6)
     out = out.withColumn("span_sec", span) \
-        .withColumn("rate_per_sec", F.when(span > 0, F.col("processed") / span))
+        .withColumn("rate_per_sec", F.when(span > 0, F.try_divide(F.col("processed"), span)))
     if total is not None:
         out = out.withColumn("percent", F.col("processed") * 100.0 / F.lit(total)) \
             .withColumn("remaining", F.greatest(F.lit(total) - F.col("processed"), F.lit(0)))

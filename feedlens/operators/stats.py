@@ -118,6 +118,7 @@ def latency_stats(df: DataFrame, col: str, keys: list[str] | None = None,
 
 
 def throughput(stats: DataFrame, batch_size: int = 1, mean_col: str = "mean") -> DataFrame:
-    """Requests (texts) per second from a mean latency in milliseconds."""
+    """Requests (texts) per second from a mean latency in milliseconds;
+    NULL for a zero mean (``try_divide``: no failure under ANSI mode)."""
     return stats.withColumn("throughput_per_sec",
-                            F.lit(batch_size) * F.lit(1000.0) / F.col(mean_col))
+                            F.try_divide(F.lit(batch_size) * F.lit(1000.0), F.col(mean_col)))

@@ -133,7 +133,7 @@ def trend_velocity(windowed: DataFrame, keys: list[str] | None = None,
     return windowed.select(*keys, "window_start", value_col,
                            (F.col(value_col) - prev_v).alias("delta"),
                            elapsed.alias("elapsed_sec"),
-                           ((F.col(value_col) - prev_v) / elapsed).alias("velocity"))
+                           F.try_divide(F.col(value_col) - prev_v, elapsed).alias("velocity"))
 
 
 def latest_metrics(windowed: DataFrame, keys: list[str] | None = None,

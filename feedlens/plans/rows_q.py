@@ -276,7 +276,7 @@ def throughput(spark, sf_dir):
         .filter(F.col("value").isNotNull())
     mean = e.groupBy("event_type").agg(F.avg("value").alias("mean"))
     out = ST.throughput(mean, 1).withColumn(
-        "batch_throughput_per_sec", F.lit(10) * F.lit(1000.0) / F.col("mean"))
+        "batch_throughput_per_sec", F.try_divide(F.lit(10) * F.lit(1000.0), F.col("mean")))
     return rounded(out.drop("mean"))
 
 
