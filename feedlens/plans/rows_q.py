@@ -145,10 +145,11 @@ def history_projection(spark, sf_dir):
 SELECT min(doc_id) AS doc_id, count(*) AS copies, length(text) AS n_chars
 FROM documents GROUP BY text""", bench=True)
 def dedupe_text(spark, sf_dir):
-    """D3 (content form): one row per distinct text, first id, copy count."""
-    d = read_table(spark, sf_dir, "documents")
-    return D.dedupe_text(d, "text", "doc_id").select(
-        "doc_id", "copies", F.length("text").alias("n_chars"))
+    """D3 (content form): one row per distinct text, first id, copy count.
+    Large inputs go fingerprint-first (only texts whose fingerprint repeats
+    are shuffled); an input that fits in one wave is grouped directly."""
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return D.dedupe_text_adaptive(d, "text", "doc_id")
 
 
 @register("dedupe_by_id", """

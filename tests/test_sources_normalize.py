@@ -163,3 +163,17 @@ class _Failing:
 
 def failing_model_factory():
     return _Failing()
+
+
+def test_dedupe_strategies_agree(spark):
+    """Fingerprint-first and direct exact dedupe give the same rows, also
+    when many rows are copies of one text."""
+    rows = [(i, "same text") for i in range(500)] + [(1000 + i, f"t{i % 37}") for i in range(300)] \
+        + [(5000, None), (5001, None), (5002, "")]
+    df = spark.createDataFrame(rows, "id long, text string").repartition(16)
+    a = D.dedupe_text_fingerprint(df, "text", "id", max_broadcast_rows=10).collect()
+    b = D.dedupe_text(df, "text", "id").select("id", "copies", F.length("text").alias("n_chars")).collect()
+    c = D.dedupe_text_adaptive(df, "text", "id").collect()
+    key = lambda r: (r.id, r.copies, r.n_chars)
+    assert sorted(map(key, a), key=str) == sorted(map(key, b), key=str) == sorted(map(key, c), key=str)
+    assert {r.id: r.copies for r in a}[0] == 500
