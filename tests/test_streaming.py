@@ -203,3 +203,27 @@ def test_dedupe_batch_hot_id_and_replay(spark):
     assert spark.read.parquet(store).count() == 3
     plan = ST.dedupe_batch(b0, 0, store)._jdf.queryExecution().executedPlan().toString()
     assert "partial" in plan.lower()  # map-side collapse before the shuffle
+
+
+def test_reports_over_the_metrics_store(spark):
+    """The report path of the usage example: stream -> metrics store ->
+    live metrics -> spine reports."""
+    from feedlens.operators import reports as R
+    base = tempfile.mkdtemp(prefix="fl-rep-")
+    src = os.path.join(base, "in")
+    os.makedirs(src)
+    _write_raw_files(spark, src, n_files=2)
+    raw = J.read_raw_stream(spark, "text", src)
+    win = J.windowed_stream(J.score_stream(raw, LexiconScorer(), processed_at=AT),
+                            "timestamp", "1 day", "1 hour", emotions=True)
+    path = os.path.join(base, "m")
+    q = J.start(win, "rep_test", mode="update",
+                foreach_batch=lambda b, i: ST.append_metrics(b, path, i),
+                trigger={"availableNow": True}, checkpoint_location=os.path.join(base, "ck"))
+    q.awaitTermination()
+    newest = ST.read_latest_metrics(spark, path).agg(F.max("last_updated")).first()[0]
+    live = ST.live_metrics(spark, path, as_of=newest)
+    geo = R.geo_report(spark, live).collect()
+    assert len(geo) == 4 and all(r["count"] >= 0 for r in geo)
+    one = R.get_metrics_or_zero(spark, live, "overall", None).first()
+    assert one["count"] > 0
