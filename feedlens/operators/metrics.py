@@ -99,8 +99,10 @@ def multi_segment_metrics(df: DataFrame, ts_col: str | None = "processing_timest
     src = _rollup_input(df, extra)
     lead = [window_col] if window_col else []
     sets = [lead + [c] for c in cols] + [lead]
+    # grouping_id() must name every grouping column; the lead (window) column
+    # is in every set, so its bit is always 0 and the dimension codes stay.
     agg = src.groupingSets(sets, *lead, *cols).agg(
-        *metric_aggs(ts_col, emotions), F.grouping_id(*cols).alias("_gid"))
+        *metric_aggs(ts_col, emotions), F.grouping_id(*lead, *cols).alias("_gid"))
     dim, key = _dim_key_from_grouping(F.col("_gid"), dims)
     return agg.select(*lead, dim.alias("dim"), key.alias("key"),
                       *[c for c in agg.columns if c not in cols + lead + ["_gid"]])

@@ -97,9 +97,17 @@ def windowed_metrics(df: DataFrame, ts_col: str = "timestamp", width: str = "60
                      emotions: bool = True, last_col: str | None = None) -> DataFrame:
     """T-1: tumbling event-time windows x (dim, key) metrics, batch or stream.
 
-    Uses the explicit fan-out (P11) so the streaming form has a plain key."""
+    Batch: GROUPING SETS with the window as a lead column (one Expand, one
+    aggregate). Stream: the explicit fan-out (P11), so the state key is a plain
+    (window, dim, key). Same rows either way."""
     src = df.select(*[c for c in M.ROLLUP_INPUTS if c in df.columns],
                     *[c for _, c in M.SEGMENT_DIMS], F.col(ts_col).alias("_ts"))
+    if not df.isStreaming:
+        g = M.multi_segment_metrics(src.withColumn("window", F.window("_ts", width)),
+                                    ts_col="_ts", emotions=emotions, window_col="window")
+        return g.select(F.col("window.start").alias("window_start"),
+                        F.col("window.end").alias("window_end"),
+                        *[c for c in g.columns if c != "window"])
     seg = M.explode_segments(src)
     out = seg.groupBy(F.window("_ts", width).alias("window"), "dim", "key") \
         .agg(*M.metric_aggs("_ts", emotions))
