@@ -6,14 +6,35 @@ from __future__ import annotations
 from feedlens.llm import oracles
 from feedlens.llm.common import table
 from feedlens.llm.op2_jaccard import jaccard_classes
+from feedlens.llm.op7_tokenfile import read_token_files, write_token_files
+from feedlens.llm.op9_packing import cut_pieces, pack
+
+
+def tokenizer(name: str) -> str:
+    """Path of a public tokenizer file; the default of every query here."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def op2_jaccard(spark, sf_dir):
     return jaccard_classes(table(spark, sf_dir, "documents"), words=3, num=9, den=10)
 
 
+def op7_tokenfile(spark, sf_dir):
+    folder, manifest = write_token_files(
+        table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), end_id=1)
+    return read_token_files(spark, folder, manifest)
+
+
+def op9_packing(spark, sf_dir):
+    return pack(cut_pieces(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), end_id=0, size=2048), size=2048)
+
+
 QUERIES = {
     "op2_jaccard": op2_jaccard,
+    "op7_tokenfile": op7_tokenfile,
+    "op9_packing": op9_packing,
 }
 
 ORACLES = {
