@@ -6,6 +6,7 @@ from __future__ import annotations
 from feedlens.llm import oracles
 from feedlens.llm.common import table
 from feedlens.llm.op2_jaccard import jaccard_classes
+from feedlens.llm.op5_lines import drop_recurring
 from feedlens.llm.op7_tokenfile import read_token_files, write_token_files
 from feedlens.llm.op9_packing import cut_pieces, pack
 
@@ -21,6 +22,10 @@ def op2_jaccard(spark, sf_dir):
     return jaccard_classes(table(spark, sf_dir, "documents"), words=3, num=9, den=10)
 
 
+def op5_lines(spark, sf_dir):
+    return drop_recurring(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op7_tokenfile(spark, sf_dir):
     folder, manifest = write_token_files(
         table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), end_id=1)
@@ -33,10 +38,12 @@ def op9_packing(spark, sf_dir):
 
 QUERIES = {
     "op2_jaccard": op2_jaccard,
+    "op5_lines": op5_lines,
     "op7_tokenfile": op7_tokenfile,
     "op9_packing": op9_packing,
 }
 
 ORACLES = {
     "op2_jaccard": oracles.OP2,
+    "op5_lines": oracles.OP5,
 }
