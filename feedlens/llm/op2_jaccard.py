@@ -28,6 +28,7 @@ from feedlens.llm.common import components, width, written
 LIST_ROWS = 4000          # longest list compared in one piece
 FAMILY_TOKENS = 4_000_000  # largest family compared in one piece, in shingles
 TASK_ROWS = 100_000       # list rows dealt to a task together
+SEEN = 1_000_000          # digests that a task remembers; a set listed twice does no harm
 SKETCH = 8                # 64-bit words of the parity sketch
 
 
@@ -43,6 +44,7 @@ def _sketch(tok: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 def _sets(words: int, num: int, den: int):
     def run(batches):
+        seen: set[int] = set()  # digests whose keys this task has listed already
         for batch in batches:
             ids = batch.column(0)
             for d, e, tok, bounds in textbytes.shingle_sets(batch.column(1), words):
@@ -53,7 +55,15 @@ def _sets(words: int, num: int, den: int):
                     at = bounds[:-1][some]
                     digest[0, some] = np.add.reduceat(textbytes.mix(tok), at)
                     digest[1, some] = np.add.reduceat(textbytes.mix(tok ^ np.uint64(0xA5A5A5A5)), at)
-                keys, kb = setrel.block_keys(tok, bounds, num, den)
+                fresh = np.zeros(e - d, bool)
+                for i, x in enumerate(digest[0].tolist()):
+                    if x not in seen:
+                        seen.add(x)
+                        fresh[i] = True
+                if len(seen) > SEEN:
+                    seen.clear()
+                own = np.where(fresh, n, 0)
+                keys, kb = setrel.block_keys(tok[np.repeat(fresh, n)], np.concatenate([[0], np.cumsum(own)]), num, den)
                 sk = _sketch(tok, bounds).reshape(-1)
                 yield pa.RecordBatch.from_arrays([
                     ids.slice(d, e - d), pa.array(n, pa.int64()),
@@ -166,16 +176,18 @@ def jaccard_classes(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5)
     member = sets.select("doc_id", "n", "h1", "h2")
     reps = member.where("n > 0").groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("rep"))
     reps = written(reps, "reps")
-    entry = sets.join(reps, (sets.doc_id == reps.rep) & (sets.n == reps.n) & (sets.h1 == reps.h1)
-                      & (sets.h2 == reps.h2), "left_semi").dropDuplicates(["doc_id"])
+    about = written(sets.select("doc_id", "n", "h1", "h2", "sketch").join(
+        reps.withColumnRenamed("rep", "doc_id"), ["doc_id", "n", "h1", "h2"], "left_semi")
+        .dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("doc"), "n", "h1", "sketch"), "entries")
 
     # lists with two sets at least; lists with the same sets are one
-    post = entry.select(F.explode("keys").alias("key"), F.col("doc_id").alias("doc"))
-    lists = post.groupBy("key").agg(F.count("*").alias("len"), F.min("doc").alias("lead"),
+    post = sets.select(F.explode("keys").alias("key"), "h1")
+    twice = post.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
+    rows = written(post.join(twice, "key").distinct().join(about, "h1").drop("h1"), "postings")
+    lists = rows.groupBy("key").agg(F.count("*").alias("len"), F.min("doc").alias("lead"),
                                     F.bit_xor(F.xxhash64("doc")).alias("x")).where("len > 1")
     lists = written(lists.groupBy("len", "lead", "x").agg(F.min("key").alias("key")), "lists")
-    about = entry.select(F.col("doc_id").alias("doc"), "n", "sketch")
-    rows = written(post.join(lists, "key").join(about, "doc"), "postings")
+    rows = rows.join(lists, "key")
 
     short = rows.where(F.col("len") <= LIST_ROWS).withColumn("i", F.lit(0)).withColumn("j", F.lit(0))
     lead = about.select(F.col("doc").alias("lead"), F.col("n").alias("ln"), F.col("sketch").alias("ls"))
@@ -193,9 +205,8 @@ def jaccard_classes(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5)
     family = components(ties.unionByName(long_ties))
 
     # whole sets, of the families only
-    first = entry.select("doc_id", "n")
-    fam = written(first.join(family.withColumnRenamed("id", "doc_id"), "doc_id")
-                  .withColumnRenamed("component", "family"), "families")
+    fam = written(about.select(F.col("doc").alias("doc_id"), "n").join(
+        family.withColumnRenamed("id", "doc_id"), "doc_id").withColumnRenamed("component", "family"), "families")
     toks = fam.select("doc_id", "family").join(docs, "doc_id") \
         .select("doc_id", "family", "text").mapInArrow(_tokens(words), "doc_id long, family long, toks array<long>")
     size = fam.groupBy("family").agg(F.sum("n").alias("tokens"))
