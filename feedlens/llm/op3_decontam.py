@@ -44,8 +44,6 @@ _DIGIT = np.zeros(256, bool)
 _DIGIT[48:58] = True
 _UPPER = np.zeros(256, bool)
 _UPPER[65:91] = True
-_PUNCT = np.zeros(256, bool)
-_PUNCT[[c for c in range(33, 127) if not chr(c).isalnum()]] = True
 _STOP = np.zeros(256, bool)
 _STOP[[*b".!?:;\"'()[]"]] = True
 
@@ -59,12 +57,6 @@ def _hashes(words: list[str]) -> np.ndarray:
 _NUMBER_HASH, _UNIT_HASH = _hashes(NUMBER_WORDS), _hashes(UNIT_WORDS)
 
 
-def _member(sorted_keys: np.ndarray, h: np.ndarray) -> np.ndarray:
-    if not len(sorted_keys):
-        return np.zeros(len(h), bool)
-    return sorted_keys[np.minimum(np.searchsorted(sorted_keys, h), len(sorted_keys) - 1)] == h
-
-
 def template(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(template hash, word hash, is a slot, document) of each word.
 
@@ -79,22 +71,14 @@ def template(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     if len(s) > 1:  # a line break ends a sentence
         lines = np.concatenate([[0], np.cumsum(buf == 10)])
         begin[1:] |= lines[s[1:]] != lines[s[:-1]]
-    live = np.arange(len(s))
-    while len(live):
-        live = live[(s[live] < e[live]) & _PUNCT[buf[np.minimum(s[live], len(buf) - 1)]]]
-        s[live] += 1
-    live = np.arange(len(s))
-    while len(live):
-        live = live[(s[live] < e[live]) & _PUNCT[buf[np.maximum(e[live] - 1, 0)]]]
-        e[live] -= 1
-    ok = s < e
+    ok = tb.trim(buf, s, e)
     s, e, doc, begin = s[ok], e[ok], doc[ok], begin[ok]
     h = tb.hash_spans(buf, s, e)
     odd = np.concatenate([[0], np.cumsum(~_NUMERIC[buf])])
-    number = ((odd[e] == odd[s]) & _DIGIT[buf[s]]) | _member(_NUMBER_HASH, h) if len(s) else np.zeros(0, bool)
+    number = ((odd[e] == odd[s]) & _DIGIT[buf[s]]) | tb.member(_NUMBER_HASH, h) if len(s) else np.zeros(0, bool)
     unit = np.zeros(len(s), bool)
     unit[1:] = number[:-1] & (doc[1:] == doc[:-1])
-    unit &= _member(_UNIT_HASH, h) & ~number
+    unit &= tb.member(_UNIT_HASH, h) & ~number
     upper = np.concatenate([[0], np.cumsum(_UPPER[buf])])
     name = _UPPER[buf[s]] & (upper[e] - upper[s] == 1) & ~begin & ~number & ~unit if len(s) else number
     t = np.where(number, _NUM, np.where(unit, _UNIT, np.where(name, _NAME, h)))
@@ -133,7 +117,7 @@ def _emit(lengths: list[int] | None, keys: np.ndarray | None):
                         keep = count[doc[at]] == n
                         at, key = at[keep], key[keep]
                     if keys is not None:
-                        keep = _member(keys, key)
+                        keep = tb.member(keys, key)
                         at, key = at[keep], key[keep]
                     if not len(at):
                         continue

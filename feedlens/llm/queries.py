@@ -3,9 +3,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from feedlens.llm import op10_toxicity as toxicity
 from feedlens.llm import oracles
 from feedlens.llm.common import table
 from feedlens.llm.op2_jaccard import jaccard_classes
+from feedlens.llm.op3_decontam import contaminated
 from feedlens.llm.op5_lines import drop_recurring
 from feedlens.llm.op7_tokenfile import read_token_files, write_token_files
 from feedlens.llm.op9_packing import cut_pieces, pack
@@ -22,6 +26,10 @@ def op2_jaccard(spark, sf_dir):
     return jaccard_classes(table(spark, sf_dir, "documents"), words=3, num=9, den=10)
 
 
+def op3_decontam(spark, sf_dir):
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_lines(spark, sf_dir):
     return drop_recurring(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -36,11 +44,20 @@ def op9_packing(spark, sf_dir):
     return pack(cut_pieces(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), end_id=0, size=2048), size=2048)
 
 
+def op10_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.fit(docs, table(spark, sf_dir, "labels")).score(docs).select(
+        "doc_id", toxicity.held_out("doc_id").alias("held_out"), "score",
+        (F.col("score") >= toxicity.TOXIC).cast("int").alias("predicted"))
+
+
 QUERIES = {
     "op2_jaccard": op2_jaccard,
+    "op3_decontam": op3_decontam,
     "op5_lines": op5_lines,
     "op7_tokenfile": op7_tokenfile,
     "op9_packing": op9_packing,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLES = {

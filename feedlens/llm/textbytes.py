@@ -96,6 +96,31 @@ def hash_spans(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
     return mix(h + (ends - starts).astype(np.uint64) * _U(0xD6E8FEB86659FD93))
 
 
+PUNCT = np.zeros(256, bool)
+PUNCT[[c for c in range(33, 127) if not chr(c).isalnum()]] = True
+
+
+def trim(buf: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """Move the bounds of words inwards past ASCII punctuation, in place;
+    returns which words have anything left."""
+    live = np.arange(len(s))
+    while len(live):
+        live = live[(s[live] < e[live]) & PUNCT[buf[np.minimum(s[live], len(buf) - 1)]]]
+        s[live] += 1
+    live = np.arange(len(s))
+    while len(live):
+        live = live[(s[live] < e[live]) & PUNCT[buf[np.maximum(e[live] - 1, 0)]]]
+        e[live] -= 1
+    return s < e
+
+
+def member(sorted_keys: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Which of ``h`` occur in ``sorted_keys``."""
+    if not len(sorted_keys):
+        return np.zeros(len(h), bool)
+    return sorted_keys[np.minimum(np.searchsorted(sorted_keys, h), len(sorted_keys) - 1)] == h
+
+
 def shingles(h: np.ndarray, doc: np.ndarray, k: int, n_docs: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the k-word shingles with their documents. A document of
     fewer than k words (but one at least) has its whole sequence as one."""
