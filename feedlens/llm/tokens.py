@@ -1,7 +1,8 @@
 """Token ids of whole texts through the ``tokenizers`` library.
 
-Both tokenizers split at white space before anything else, so the ids of a
-text are the ids of its white-space units one after the other. Each distinct
+Both tokenizers split a text at fixed places (white space, and where letters
+meet punctuation) before anything else, so the ids of a text are the ids of the
+units in between one after the other. Each distinct
 unit goes through the library once per worker and is kept as packed ids; a
 text that could make this untrue (special-token strings, or rare kinds of white
 space) goes through the library whole.
@@ -15,12 +16,22 @@ from functools import lru_cache
 
 import numpy as np
 
-MEMO_UNITS = 600_000   # kept per worker; beyond it the memo starts anew
+MEMO_UNITS = 1_200_000   # kept per worker; beyond it the memo starts anew
 MEMO_CHARS = 64        # longer units are encoded but not kept
-_RARE = re.compile(r"<\||[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-# a unit: for a tokenizer that drops white space, or one that keeps it as a prefix
-_DROPS = re.compile("[^ \t\r\n]+")
-_KEEPS = re.compile("[ \t\r\n]*[^ \t\r\n]+|[ \t\r\n]+")
+_RARE = re.compile(r"[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000<]")
+# A unit is a run of Latin letters before white space or punctuation other than
+# the apostrophe, such punctuation before white space, or a white-space unit as it
+# stands; with the white space before it if the tokenizer keeps that.
+_LETTERS = "[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]++"
+_MARKS = "[!-&(-/:-@\\[-`{-~]"
+_DROPS = re.compile(f"{_LETTERS}(?={_MARKS}|[ \t\r\n]|$)|{_MARKS}++(?=[ \t\r\n]|$)|[^ \t\r\n]++")
+# of a text in Latin-1, in lower case, for a tokenizer that folds case and splits into
+# letters, single digits, endings behind an apostrophe and other marks
+_LATIN = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff"
+_DIGITS = "0-9\xb2\xb3\xb9\xbc-\xbe"
+_FOLDED = re.compile(f"[{_LATIN}]++|'(?:s|t|re|ve|m|ll|d)|[{_DIGITS}]|[^ \t\r\n{_LATIN}{_DIGITS}]++")
+_KEEPS = re.compile(f" {_LETTERS}(?={_MARKS}|[ \t\r\n]|$)|{_MARKS}++(?=[ \t\r\n]|$)"
+                    "|[ \t\r\n]*+[^ \t\r\n]++|[ \t\r\n]++")
 
 
 class Encoder:
@@ -31,39 +42,64 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.lib = Tokenizer.from_file(path)
-        self.dtype = np.dtype("<u2" if self.lib.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
-        self.units = (_KEEPS if keeps_space else _DROPS).findall
+        size = self.lib.get_vocab_size(with_added_tokens=True)
+        self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+        self.keeps = keeps_space
+        self.units = _KEEPS.findall if keeps_space else self._dropping
+        # plain units (letters only) follow each other in one call; the ids tell them
+        # apart, as each begins (or ends) with an id that says so
+        self.plain = re.compile(f"{' ' if keeps_space else ''}{_LETTERS}").fullmatch
+        self.edge = np.zeros(size, bool)
+        for token, i in self.lib.get_vocab().items():
+            self.edge[i] = token.startswith("\u0120") if keeps_space else token.endswith("</w>")
         self.memo: dict[str, bytes] = {}
 
+    @staticmethod
+    def _dropping(text: str) -> list[str]:
+        if not text.isascii():
+            try:
+                text.encode("latin-1")
+            except UnicodeEncodeError:
+                return _DROPS.findall(text)
+        return _FOLDED.findall(text.lower())
+
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes()
                 for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _learn(self, units: list[str]) -> None:
+        plain = [u for u in units if self.plain(u)]
+        for i in range(0, len(plain), 10_000):
+            part = plain[i:i + 10_000]
+            [e] = self.lib.encode_batch_fast([("" if self.keeps else " ").join(part)], add_special_tokens=False)
+            ids = np.array(e.ids, self.dtype)
+            cut = np.flatnonzero(self.edge[ids]) + (0 if self.keeps else 1)
+            cut = [*cut.tolist(), len(ids)] if self.keeps else [0, *cut.tolist()]
+            if len(cut) == len(part) + 1:
+                packed, w = ids.tobytes(), self.dtype.itemsize
+                self.memo.update(zip(part, [packed[a * w:b * w] for a, b in zip(cut, cut[1:])]))
+        rest = [u for u in units if u not in self.memo]
+        for i in range(0, len(rest), 10_000):
+            self.memo.update(zip(rest[i:i + 10_000], self._library(rest[i:i + 10_000])))
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """One packed id string per text; null is the empty text."""
-        split = [None if t and _RARE.search(t) else self.units(t or "") for t in texts]
-        new = set()
-        for u in split:
-            if u is not None:
-                new.update(u)
-        new.difference_update(self.memo)
-        if len(self.memo) + len(new) > MEMO_UNITS:
-            for u in split:
-                if u is not None:
-                    new.update(u)
+        if len(self.memo) > MEMO_UNITS:
             self.memo = {}
-        new = list(new)
-        memo = self.memo
-        for i in range(0, len(new), 20_000):
-            part = new[i:i + 20_000]
-            memo.update(zip(part, self._library(part)))
+        memo, new = self.memo, set()
+        split: list[list[str] | None] = []
+        for t in texts:
+            rare = t and _RARE.search(t)
+            u = None if rare and (rare[0] != "<" or "<|" in t or _RARE.search(t.replace("<", ""))) else self.units(t or "")
+            split.append(u)
+            if u:
+                new.update(set(u).difference(memo))
+        self._learn(list(new))
         get = memo.__getitem__
         out = [self._library([t])[0] if u is None else b"".join(map(get, u)) for t, u in zip(texts, split)]
         for u in new:
             if len(u) > MEMO_CHARS:
                 del memo[u]
-        if len(memo) > MEMO_UNITS:
-            memo.clear()
         return out
 
 
