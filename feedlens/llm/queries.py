@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from feedlens.llm import op10_toxicity as toxicity
 from feedlens.llm import oracles
 from feedlens.llm.common import table
+from feedlens.llm.op1_embeddings import near_vectors
 from feedlens.llm.op2_jaccard import jaccard_classes
 from feedlens.llm.op3_decontam import contaminated
 from feedlens.llm.op5_lines import drop_recurring
@@ -22,6 +23,10 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_embeddings(spark, sf_dir):
+    return near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
 def op2_jaccard(spark, sf_dir):
     return jaccard_classes(table(spark, sf_dir, "documents"), words=3, num=9, den=10)
 
@@ -52,6 +57,7 @@ def op10_toxicity(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_embeddings": op1_embeddings,
     "op2_jaccard": op2_jaccard,
     "op3_decontam": op3_decontam,
     "op5_lines": op5_lines,
