@@ -11,6 +11,7 @@ from feedlens.llm.common import table
 from feedlens.llm.op1_embeddings import near_vectors
 from feedlens.llm.op2_jaccard import jaccard_classes
 from feedlens.llm.op3_decontam import contaminated
+from feedlens.llm.op4_pii import digest, find_pii
 from feedlens.llm.op5_lines import drop_recurring
 from feedlens.llm.op7_tokenfile import read_token_files, write_token_files
 from feedlens.llm.op9_packing import cut_pieces, pack
@@ -35,6 +36,10 @@ def op3_decontam(spark, sf_dir):
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_pii(spark, sf_dir):
+    return digest(find_pii(table(spark, sf_dir, "documents")))
+
+
 def op5_lines(spark, sf_dir):
     return drop_recurring(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -60,6 +65,7 @@ QUERIES = {
     "op1_embeddings": op1_embeddings,
     "op2_jaccard": op2_jaccard,
     "op3_decontam": op3_decontam,
+    "op4_pii": op4_pii,
     "op5_lines": op5_lines,
     "op7_tokenfile": op7_tokenfile,
     "op9_packing": op9_packing,
