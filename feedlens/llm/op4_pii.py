@@ -413,8 +413,9 @@ def digest(found: DataFrame) -> DataFrame:
     """The contract's columns from ``find_pii``."""
     text = lambda c: F.array_join(F.transform(
         c, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
+    count = lambda kind: F.size(F.filter("found", lambda x: x["kind"] == kind)).cast("long")
     return found.select(
-        "doc_id", *[F.size(F.filter("found", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS],
+        "doc_id", *[count(k).alias(f"n_{k}") for k in KINDS],
         F.sha2(text("base"), 256).alias("base_sha256"), text("found").alias("spans"))
 
 
