@@ -13,6 +13,7 @@ from feedlens.llm.op2_jaccard import jaccard_classes
 from feedlens.llm.op3_decontam import contaminated
 from feedlens.llm.op4_pii import digest, find_pii
 from feedlens.llm.op5_lines import drop_recurring
+from feedlens.llm.op6_ppm import language_scores
 from feedlens.llm.op7_tokenfile import read_token_files, write_token_files
 from feedlens.llm.op9_packing import cut_pieces, pack
 
@@ -44,6 +45,10 @@ def op5_lines(spark, sf_dir):
     return drop_recurring(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op6_ppm(spark, sf_dir):
+    return language_scores(table(spark, sf_dir, "documents"))
+
+
 def op7_tokenfile(spark, sf_dir):
     folder, manifest = write_token_files(
         table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), end_id=1)
@@ -67,6 +72,7 @@ QUERIES = {
     "op3_decontam": op3_decontam,
     "op4_pii": op4_pii,
     "op5_lines": op5_lines,
+    "op6_ppm": op6_ppm,
     "op7_tokenfile": op7_tokenfile,
     "op9_packing": op9_packing,
     "op10_toxicity": op10_toxicity,
