@@ -58,3 +58,37 @@ deduped AS (SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.
 
 OP5 = f"""WITH {lines_sql('documents', 4, 4, 4, 0.8)}
 SELECT doc_id, text, n_lines, n_dropped FROM deduped"""
+
+
+OP8 = r"""
+WITH page AS (SELECT page_id, url, 1704067200 + page_id * 60 AS s, strlen(html) AS size,
+  '"' || substr(md5(html), 1, 16) || '"' AS etag, '"' || substr(md5(html || '2'), 1, 16) || '"' AS etag2,
+  regexp_replace(url, '^http://', 'https://') || '#again' AS swap,
+  url || CASE WHEN contains(url, '?') THEN '&' ELSE '?' END || 'utm_source=x' AS more FROM pages),
+record AS (
+  SELECT page_id * 8 AS record_id, url, s AS ts, 'response' AS kind, etag, s::VARCHAR AS modified, size FROM page UNION ALL
+  SELECT page_id * 8 + 1, swap, s + 3600, 'revisit', etag, NULL, 0 FROM page UNION ALL
+  SELECT page_id * 8 + 2, url, s + 7200, 'response', etag2, (s + 7200)::VARCHAR, size + 1 FROM page WHERE page_id % 3 = 0 UNION ALL
+  SELECT page_id * 8 + 3, more, s + 10800, 'revisit', 'W/' || etag, NULL, 0 FROM page UNION ALL
+  SELECT page_id * 8 + 4, url, s + 14400, 'revisit', NULL, s::VARCHAR, 0 FROM page WHERE page_id % 4 = 0 UNION ALL
+  SELECT page_id * 8 + 5, url, s - 60, 'revisit', etag, NULL, 0 FROM page WHERE page_id % 7 = 0 UNION ALL
+  SELECT page_id * 8 + 6, url, s + 18000, 'revisit', NULL, NULL, 0 FROM page WHERE page_id % 5 = 0),
+part AS (SELECT *, regexp_extract(bare, '^[^/?]*', 0) AS host, regexp_replace(bare, '^[^/?]*', '') AS rest
+  FROM (SELECT *, regexp_replace(regexp_replace(url, '#.*$', ''), '^[A-Za-z]+://', '') AS bare FROM record)),
+keyed AS (SELECT *, regexp_replace(lower(host), ':(80|443)$', '') || regexp_replace(regexp_extract(rest, '^[^?]*', 0), '/$', '')
+  || CASE WHEN query <> '' THEN '?' || query ELSE '' END AS url_key FROM (SELECT *, array_to_string(list_sort(list_filter(
+    string_split(regexp_extract(rest, '\?(.*)$', 1), '&'), lambda q: q <> '' AND NOT starts_with(q, 'utm_'))), '&') AS query FROM part)),
+prior AS (SELECT *, last_value(CASE WHEN kind = 'response' THEN record_id END IGNORE NULLS) OVER (
+  PARTITION BY url_key ORDER BY ts, record_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS refers_to FROM keyed),
+judged AS (SELECT r.*, o.etag AS old_etag, o.modified AS old_modified, o.size AS old_size, o.ts AS old_ts,
+  coalesce(regexp_replace(r.etag, '^W/', '') = regexp_replace(o.etag, '^W/', ''), r.modified = o.modified) AS same
+  FROM prior r LEFT JOIN keyed o ON o.record_id = r.refers_to WHERE r.kind = 'revisit')
+SELECT record_id, url_key, refers_to,
+  CASE WHEN refers_to IS NULL THEN 'no response' WHEN same THEN 'resolved' WHEN NOT same THEN 'mismatch' ELSE 'unchecked' END AS outcome,
+  CASE WHEN refers_to IS NOT NULL AND same THEN old_size END::BIGINT AS n_bytes,
+  CASE WHEN refers_to IS NOT NULL AND same THEN
+    'content-length=' || old_size || '; content-type=text/html; date=' || ts || '; etag=' || coalesce(etag, old_etag)
+      || '; last-modified=' || coalesce(modified, old_modified) || '; x-cache=HIT'
+  ELSE 'content-length=0; date=' || ts || coalesce('; etag=' || etag, '') || coalesce('; last-modified=' || modified, '')
+    || '; x-cache=HIT' END AS headers
+FROM judged"""

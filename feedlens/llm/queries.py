@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from feedlens.llm import op10_toxicity as toxicity
+from feedlens.llm import op8_revisits as revisits
 from feedlens.llm import oracles
 from feedlens.llm.common import table
 from feedlens.llm.op1_embeddings import near_vectors
@@ -55,6 +56,11 @@ def op7_tokenfile(spark, sf_dir):
     return read_token_files(spark, folder, manifest)
 
 
+def op8_revisits(spark, sf_dir):
+    records = revisits.captures(table(spark, sf_dir, "pages"))
+    return revisits.digest(revisits.resolve(records), records)
+
+
 def op9_packing(spark, sf_dir):
     return pack(cut_pieces(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), end_id=0, size=2048), size=2048)
 
@@ -74,6 +80,7 @@ QUERIES = {
     "op5_lines": op5_lines,
     "op6_ppm": op6_ppm,
     "op7_tokenfile": op7_tokenfile,
+    "op8_revisits": op8_revisits,
     "op9_packing": op9_packing,
     "op10_toxicity": op10_toxicity,
 }
@@ -81,4 +88,5 @@ QUERIES = {
 ORACLES = {
     "op2_jaccard": oracles.OP2,
     "op5_lines": oracles.OP5,
+    "op8_revisits": oracles.OP8,
 }
