@@ -204,10 +204,10 @@ def jaccard_classes(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5)
         .applyInArrow(_ties(num, den), "a long, b long")
     family = components(ties.unionByName(long_ties))
 
-    # whole sets, of the families only
+    # whole sets, of the families only; a merge join at every size, as the families grow with the input
     fam = written(about.select(F.col("doc").alias("doc_id"), "n").join(
         family.withColumnRenamed("id", "doc_id"), "doc_id").withColumnRenamed("component", "family"), "families")
-    toks = fam.select("doc_id", "family").join(docs, "doc_id") \
+    toks = fam.select("doc_id", "family").hint("merge").join(docs, "doc_id") \
         .select("doc_id", "family", "text").mapInArrow(_tokens(words), "doc_id long, family long, toks array<long>")
     size = fam.groupBy("family").agg(F.sum("n").alias("tokens"))
     toks = written(toks.join(size, "family"), "tokens")
