@@ -57,8 +57,8 @@ def _hashes(words: list[str]) -> np.ndarray:
 _NUMBER_HASH, _UNIT_HASH = _hashes(NUMBER_WORDS), _hashes(UNIT_WORDS)
 
 
-def template(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(template hash, word hash, is a slot, document) of each word.
+def template(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(template hash, word hash, is a slot, is a name, document) of each word.
 
     Words lose the punctuation around them; what has none left is no word. A
     number is made of digits and number punctuation or is a written one; a
@@ -82,7 +82,7 @@ def template(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     upper = np.concatenate([[0], np.cumsum(_UPPER[buf])])
     name = _UPPER[buf[s]] & (upper[e] - upper[s] == 1) & ~begin & ~number & ~unit if len(s) else number
     t = np.where(number, _NUM, np.where(unit, _UNIT, np.where(name, _NAME, h)))
-    return t, h, number | unit | name, doc
+    return t, h, number | unit | name, name, doc
 
 
 def windows(t: np.ndarray, slot: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -108,11 +108,19 @@ def _emit(lengths: list[int] | None, keys: np.ndarray | None):
         for batch in batches:
             buf, off = tb.buffers(batch.column(2))
             for d, e in tb.slices(off):
-                t, h, slot, doc = template(buf[off[d]:off[e]], off[d:e + 1] - off[d])
+                t, h, slot, name, doc = template(buf[off[d]:off[e]], off[d:e + 1] - off[d])
                 count = np.bincount(doc, minlength=e - d)
                 first = np.concatenate([[0], np.cumsum(count)])
-                for n in lengths or range(1, WINDOW + 1):
-                    at, key = windows(t, slot, doc, n)
+                # texts with names also once with their names as words: a capital may be no name
+                as_words = np.zeros(e - d, bool)
+                as_words[doc[name]] = True
+                again = np.flatnonzero(as_words[doc])
+                for n, which in [(n, w) for n in lengths or range(1, WINDOW + 1) for w in range(1 + (len(again) > 0))]:
+                    if which:
+                        at, key = windows(np.where(name, h, t)[again], (slot & ~name)[again], doc[again], n)
+                        at = again[at]  # the words of a text stay together
+                    else:
+                        at, key = windows(t, slot, doc, n)
                     if lengths is None and n < WINDOW:
                         keep = count[doc[at]] == n
                         at, key = at[keep], key[keep]
@@ -122,7 +130,7 @@ def _emit(lengths: list[int] | None, keys: np.ndarray | None):
                     if not len(at):
                         continue
                     grid = at[:, None] + np.arange(n)
-                    hit, col = np.nonzero(slot[grid])
+                    hit, col = np.nonzero((slot & ~name if which else slot)[grid])
                     bounds = pa.array(np.searchsorted(hit, np.arange(len(at) + 1)), pa.int32())
                     of = pa.array(doc[at] + d)
                     yield pa.RecordBatch.from_arrays([
@@ -155,7 +163,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         keys = np.sort(np.array([r.key for r in item.select("key").distinct().toLocalIterator()],
                                 np.int64).view(np.uint64))
     found = d.mapInArrow(_emit(stats.n or [WINDOW], keys), _SCHEMA)
-    total = item.groupBy("id", "row").agg(F.count("*").alias("item_windows"))
+    total = item.groupBy("id", "row").agg(F.countDistinct("pos").alias("item_windows"))
     i = item.join(total, ["id", "row"]).select(
         F.col("id").alias("item_id"), F.col("row").alias("item_row"), "key", F.col("pos").alias("ipos"),
         F.col("vals").alias("ivals"), "item_windows")
