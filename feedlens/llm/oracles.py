@@ -29,23 +29,24 @@ LEFT JOIN shingle_count USING (doc_id) JOIN class USING (doc_id)"""
 def lines_sql(docs: str, min_docs: int, min_tokens: int, leading: int, similar: float) -> str:
     """CTE ``deduped(doc_id, text, n_lines, n_dropped)``."""
     return f"""
-line AS (SELECT doc_id, pos, l, string_split(CASE WHEN regexp_matches(l, '[0-9]')
+line AS (SELECT doc_id, txt, pos, l, string_split(CASE WHEN regexp_matches(l, '[0-9]')
     THEN regexp_replace(l, '\\S*[0-9]\\S*', '<*>', 'g') ELSE l END, ' ') AS t FROM (
-  SELECT doc_id, generate_subscripts(a, 1) - 1 AS pos, translate(unnest(a), chr(9) || chr(13), '  ') AS l
-  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS a FROM {docs}))),
-parsed AS (SELECT doc_id, pos, t, len(t) AS n, t[1:{leading}] AS lead,
+  SELECT doc_id, txt, generate_subscripts(a, 1) - 1 AS pos, translate(unnest(a), chr(9) || chr(13), '  ') AS l
+  FROM (SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS txt,
+    string_split(coalesce(text, ''), chr(10)) AS a FROM {docs}))),
+parsed AS (SELECT doc_id, txt, pos, t, len(t) AS n, t[1:{leading}] AS lead,
   list_transform(t, lambda w: CASE WHEN w = '' THEN 0
     ELSE (unicode(w) * 31 + unicode(right(w, 1)) * 17 + length(w) * 7) % 94 END) AS letters
   FROM line WHERE len(t) >= {min_tokens}),
-form AS (SELECT n, lead, t, letters, count(DISTINCT doc_id) AS docs, min((doc_id, pos)) AS seen FROM parsed GROUP BY ALL),
+form AS (SELECT n, lead, t, letters, count(DISTINCT txt) AS docs, min((doc_id, pos)) AS seen FROM parsed GROUP BY ALL),
 leaf AS (SELECT n, lead, sum(docs) AS all_docs, arg_max(t, (docs, -seen[1], -seen[2])) AS top,
   arg_max(letters, (docs, -seen[1], -seen[2])) AS top_letters FROM form GROUP BY n, lead HAVING sum(docs) >= {min_docs}),
 template AS (SELECT n, lead, t, CASE WHEN t = top OR len(list_filter(list_zip(letters, top_letters),
   lambda z: z[1] = z[2])) >= {similar} * n THEN top ELSE t END AS template FROM form JOIN leaf USING (n, lead)),
-hit AS (SELECT doc_id, pos, lead, template FROM parsed JOIN template USING (n, lead, t)),
+hit AS (SELECT doc_id, txt, pos, lead, template FROM parsed JOIN template USING (n, lead, t)),
 often AS (SELECT lead, template, min(doc_id) AS keeper FROM hit GROUP BY ALL
-  HAVING count(DISTINCT doc_id) >= {min_docs}),
-lost AS (SELECT hit.doc_id, pos FROM hit JOIN often USING (lead, template) WHERE hit.doc_id <> keeper),
+  HAVING count(DISTINCT txt) >= {min_docs}),
+lost AS (SELECT hit.doc_id, pos FROM hit JOIN often USING (lead, template) WHERE hit.txt <> keeper),
 kept AS (SELECT doc_id, string_agg(raw, chr(10) ORDER BY pos) FILTER (lost.pos IS NULL) AS text,
   count(*) AS n_lines, count(lost.pos) AS n_dropped FROM (
     SELECT doc_id, generate_subscripts(a, 1) - 1 AS pos, unnest(a) AS raw FROM (

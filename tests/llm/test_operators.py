@@ -279,6 +279,7 @@ def test_recurring_lines(spark):
     for i in range(1, 6):
         assert got[i, rows[i][1].replace(line.format(i) + "\n", "")].n_dropped == 1
     assert got[20, None].n_lines == 0 and got[21, ""].n_lines == 1
+    assert op5.drop_recurring(docs(spark, [(i, line.format(5)) for i in range(9)])).agg(F.sum("n_dropped")).first()[0] == 0
     assert got[22, ""].n_dropped == 1 and got[None, "x"].n_dropped == 1 and got[23, ""].n_dropped == 1
     assert got[24, rows[-1][1]].n_dropped == 0
     assert op5.drop_recurring(docs(spark, [])).count() == 0
@@ -413,7 +414,7 @@ def test_packing_is_gapless_and_tight(spark, monkeypatch):
     assert collections.Counter(got.ids_crc32) == crc
     for _, s in got.sort_values("offset").groupby("sequence_id"):
         assert (s.offset.to_numpy() == np.concatenate([[0], np.cumsum(s.length)[:-1]])).all() and s.length.sum() <= 2048
-    assert got.sequence_id.nunique() <= math.ceil(got.length.sum() / 2048) * 1.02 + 1
+    assert got.sequence_id.nunique() <= math.ceil(got.length.sum() / 2048) * 1.05
     assert op9.pack(op9.cut_pieces(docs(spark, []), queries.tokenizer("byte_bpe_50k.json"), end_id=0)).count() == 0
 
 
