@@ -30,8 +30,9 @@ def dedupe(df: DataFrame, id_col: str = "id", order: list | None = None,
     * stream: ``dropDuplicatesWithinWatermark`` (state bounded by the delay);
     * batch, no order: ``dropDuplicates`` (hash aggregate with partial dedupe
       before the shuffle, so a hot id collapses map-side);
-    * batch with order: keep the first row per id by ``min_by`` over a struct
-      (algebraic, partial-aggregated; no per-id sort)."""
+    * batch with order: keep the first row per id by ``min_by`` over a struct,
+      which Spark aggregates by sorting, with partial aggregation before the
+      shuffle."""
     keys = [id_col] if isinstance(id_col, str) else list(id_col)
     if df.isStreaming:
         if watermark_col and delay:
@@ -47,53 +48,14 @@ def dedupe(df: DataFrame, id_col: str = "id", order: list | None = None,
 
 
 def dedupe_text(df: DataFrame, text_col: str = "text", id_col: str = "id") -> DataFrame:
-    """Exact-copy dedupe by content: one row per distinct text, the smallest id
-    kept, with the number of copies. min/count are partial-aggregated, so a
-    text copied a million times collapses map-side before the shuffle."""
-    return df.groupBy(F.col(text_col)) \
-        .agg(F.min(id_col).alias(id_col), F.count(F.lit(1)).alias("copies"))
+    """Exact-copy dedupe by content, one way at every size: (id, copies,
+    n_chars) of each distinct text, with the smallest id that is not null.
 
-
-def dedupe_text_fingerprint(df: DataFrame, text_col: str = "text", id_col: str = "id",
-                            max_broadcast_rows: int | None = None) -> DataFrame:
-    """Exact-copy dedupe that shuffles text only where copies are possible.
-
-    1. Narrow pass: (id, xxhash64, murmur3, length) per row; group the
-       fingerprints (partial aggregation collapses a hot text map-side).
-    2. A fingerprint seen once is a unique text: emitted directly.
-    3. Rows whose fingerprint repeats are the only candidates; their texts are
-       grouped exactly, so a hash collision can never merge different texts.
-       The candidate ids reach the text side through a size-checked broadcast
-       semi join (a shuffle join beyond the bound).
-    Returns (id, copies, n_chars): the smallest id per distinct text."""
-    from feedlens.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small
+    Texts are the same when their SHA-256 and length are, so no text crosses
+    the shuffle; min and count are partially aggregated, so a text copied a
+    million times collapses in the tasks that read it. Repeated and null ids
+    count as copies, the null text is a text of its own."""
     t = F.col(text_col)
-    fp = df.select(F.col(id_col), F.xxhash64(t).alias("_h1"), F.hash(t).alias("_h2"),
-                   F.length(t).alias("_len"))
-    keys = ["_h1", "_h2", "_len"]
-    groups = fp.groupBy(*keys).agg(F.min(id_col).alias(id_col),
-                                   F.count(F.lit(1)).alias("copies"))
-    singles = groups.filter(F.col("copies") == 1) \
-        .select(id_col, "copies", F.col("_len").alias("n_chars"))
-    repeated = groups.filter(F.col("copies") > 1).select(*[F.col(k).alias(f"_r{k}") for k in keys])
-    # NULL-safe: a NULL text has a NULL length and is a group of its own.
-    cond = [fp[k].eqNullSafe(repeated[f"_r{k}"]) for k in keys]
-    cand_ids = fp.join(repeated, cond, "left_semi").select(id_col)
-    cand = df.join(broadcast_if_small(cand_ids, max_broadcast_rows or DEFAULT_BROADCAST_ROWS),
-                   id_col, "left_semi")
-    exact = cand.groupBy(t).agg(F.min(id_col).alias(id_col), F.count(F.lit(1)).alias("copies")) \
-        .select(id_col, "copies", F.length(t).alias("n_chars"))
-    return singles.unionByName(exact)
-
-
-def dedupe_text_adaptive(df: DataFrame, text_col: str = "text", id_col: str = "id") -> DataFrame:
-    """Exact-copy dedupe, strategy by input size: an input that fits in one
-    wave of tasks (no more scan partitions than cores) is grouped by text
-    directly, where the extra fingerprint pass would cost more than the small
-    text shuffle it saves; anything larger goes fingerprint-first so unique
-    texts never cross a shuffle. Same rows either way."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() <= cores:
-        return dedupe_text(df, text_col, id_col) \
-            .select(id_col, "copies", F.length(text_col).alias("n_chars"))
-    return dedupe_text_fingerprint(df, text_col, id_col)
+    return df.groupBy(F.unhex(F.sha2(t, 256)).alias("_sha"), F.length(t).alias("n_chars")) \
+        .agg(F.min(id_col).alias(id_col), F.count(F.lit(1)).alias("copies")) \
+        .select(id_col, "copies", "n_chars")

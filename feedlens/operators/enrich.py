@@ -12,10 +12,12 @@ from feedlens.functions import scores as X
 from feedlens.schemas import BASE_FIELDS, PROCESSED_FIELDS
 
 
-def scorable(text, max_chars: int = MAX_SCORABLE_CHARS) -> Column:
-    """1 to max_chars characters (code points)."""
+def scorable(text, max_chars: int | None = MAX_SCORABLE_CHARS) -> Column:
+    """1 to max_chars characters (code points); without a bound any text
+    that is not empty."""
     t = F.col(text) if isinstance(text, str) else text
-    return F.coalesce(F.length(t).between(1, max_chars), F.lit(False))
+    n = F.length(t)
+    return F.coalesce(n.between(1, max_chars) if max_chars else n >= 1, F.lit(False))
 
 
 def spread_for_cpu(df: DataFrame) -> DataFrame:
@@ -94,10 +96,13 @@ def response_fields(df: DataFrame, emotion: bool = True, toxicity: bool = True,
 
 
 def enrich(df: DataFrame, scorer, emotion: bool = True, toxicity: bool = True,
-           keywords=TOXIC_KEYWORDS, processed_at=None, keep: list[str] | None = None) -> DataFrame:
+           keywords=TOXIC_KEYWORDS, processed_at=None, keep: list[str] | None = None,
+           max_chars: int | None = None) -> DataFrame:
     """Base projection plus every score field.
 
     X13: a missing emotion reads as "neutral", missing toxicity / churn as 0.
+    Whole texts are scored; ``max_chars`` sets the limit of a service that
+    refuses longer ones.
     U3: a row that cannot be scored (empty or longer than the limit) keeps its
     place with defaults (0, "neutral", 0, "neutral", 0, 0, time 0) and NULL
     emotion_scores; ``scored_ok`` tells which rows were scored.
@@ -106,7 +111,7 @@ def enrich(df: DataFrame, scorer, emotion: bool = True, toxicity: bool = True,
     so the analyser runs a few times, not twenty."""
     keep = [c for c in (keep or []) if c in df.columns]
     base = to_processed_base(df, keep)
-    base = base.select("*", F.when(scorable("text"), F.col("text")).alias("_score_text"))
+    base = base.select("*", F.when(scorable("text", max_chars), F.col("text")).alias("_score_text"))
     scored = scorer.class_scores(base, "_score_text", emotion=emotion)
     resp = response_fields(scored, emotion=emotion, toxicity=toxicity, keywords=keywords,
                            text="_score_text")
@@ -132,8 +137,3 @@ def enrich(df: DataFrame, scorer, emotion: bool = True, toxicity: bool = True,
     passthrough = [c for c in PROCESSED_FIELDS if c not in fields] + keep
     out = resp.select(*passthrough, F.inline(F.array(scores)))
     return out.select(*PROCESSED_FIELDS, *keep, "scored_ok")
-
-
-def score_only(df: DataFrame, scorer, text_col: str = "text", emotion: bool = True) -> DataFrame:
-    """Class-score columns for an arbitrary frame (no base projection)."""
-    return scorer.class_scores(df, text_col, emotion=emotion)

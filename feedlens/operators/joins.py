@@ -2,33 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A side is broadcast only when a bounded count proves it small; beyond the
-# bound the join stays a shuffle join (sort-merge, AQE may still demote it).
-DEFAULT_BROADCAST_ROWS = 200_000
+# A side is broadcast only when its size statistics stay within this bound;
+# beyond it the join is a shuffle join (sort-merge, AQE may still demote it).
+MAX_BROADCAST_BYTES = 32 << 20
 
 
-_SIZE_CHECKS: dict[tuple[int, int], bool] = {}
+def broadcast_if_small(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """``broadcast(df)`` when the optimizer's size estimate of its plan is at
+    most ``max_bytes``, else ``df``.
 
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Return ``broadcast(df)`` when it holds at most ``max_rows`` rows, else ``df``.
-
-    The check is ``limit(max_rows + 1).count()``: a short job that stops reading
-    once the bound is passed, so it costs at most ``max_rows`` rows even when the
-    side turns out to be huge. The verdict is memoised per semantic plan for the
-    life of the process, so a dimension read by many queries is checked once.
-    Streaming frames are returned unchanged."""
+    The estimate starts from the files' sizes and grows with every join, so it
+    is an upper guess for the narrow projections used here; no job runs, and it is
+    made anew for every plan, so a table that has grown is not broadcast any
+    more. Streaming frames are returned unchanged."""
     if df.isStreaming:
         return df
-    key = (df.semanticHash(), max_rows)
-    small = _SIZE_CHECKS.get(key)
-    if small is None:
-        small = df.limit(max_rows + 1).count() <= max_rows
-        _SIZE_CHECKS[key] = small
-    return F.broadcast(df) if small else df
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return F.broadcast(df) if int(str(size)) <= max_bytes else df
 
 
 def spine(spark: SparkSession, values: list, name: str = "key") -> DataFrame:
@@ -42,15 +35,7 @@ def spine(spark: SparkSession, values: list, name: str = "key") -> DataFrame:
     return F.broadcast(spark.range(1).select(F.inline(F.array(*rows))))
 
 
-def left_semi(df: DataFrame, other: DataFrame, on) -> DataFrame:
-    return df.join(other, on, "left_semi")
-
-
 def new_only(df: DataFrame, seen: DataFrame, on="id") -> DataFrame:
     """Rows whose key is not already stored (left anti join)."""
     keys = [on] if isinstance(on, str) else list(on)
     return df.join(seen.select(*keys), keys, "left_anti")
-
-
-def with_default(col: Column, default) -> Column:
-    return F.coalesce(col, F.lit(default))

@@ -145,7 +145,7 @@ def normalize_comments(comments: DataFrame, matched_posts: DataFrame | None = No
         F.col("subreddit"),
         absolute_url("permalink").alias("url"),
         F.lit("comment").alias("content_type"),
-        F.concat(F.lit("reddit_post_"), F.col("post_id")).alias("parent_post_id"),
+        F.col("post_id").alias("parent_post_id"),
     )
 
 

@@ -18,8 +18,7 @@ def segment_report(spark: SparkSession, metrics: DataFrame, dim: str, values: li
     ``metrics`` holds one row per (dim, key) (e.g. ``latest_metrics``). Its
     rows are first cut to the spine's keys by a left semi join against the
     broadcast spine (bounded by the parameter list), which leaves at most one
-    row per spine value; that bounded side is then broadcast into the
-    spine-preserving left join. No shuffle of the metrics table."""
+    row per spine value for the spine-preserving left join."""
     sp = spine(spark, values, "key")
     cols = ["key", *[c for c in METRIC_VALUE_FIELDS if c in metrics.columns]]
     for extra in ("last_updated", "emotion_distribution"):
@@ -27,7 +26,7 @@ def segment_report(spark: SparkSession, metrics: DataFrame, dim: str, values: li
             cols.append(extra)
     m = metrics.filter(F.col("dim") == dim).select(*cols) \
         .join(F.broadcast(sp.select("key")), "key", "left_semi")
-    out = sp.join(F.broadcast(m), "key", "left")
+    out = sp.join(m, "key", "left")
     out = M.fill_zero_metrics(out)
     return out.select(F.lit(dim).alias("dim"), *out.columns)
 

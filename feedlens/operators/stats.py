@@ -1,47 +1,47 @@
 """Latency statistics and throughput.
 
-Exact order statistics without sorting a whole group in one task: the values
-are range-partitioned on (keys, value), so a key holding a third of all rows is
-spread over many range partitions; each partition is sorted locally, and a row's
-rank inside its key is its position in the partition plus the number of rows of
-the same key in earlier partitions. Those offsets come from a small
-(partition, key) count table (at most partitions + keys rows).
+Exact order statistics without sorting a whole group in one task: rows are first
+counted by (keys, value), which also takes ties together; the distinct values of
+a key are cut into BINS ranges at approximate quantiles, so a key holding a third
+of all rows is spread over BINS groups; counts by bin give the number of rows
+before each bin, and only the bins that hold a wanted rank are ranked, by
+cumulative counts.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from functools import reduce
 
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
 
-def ranked_within_key(df: DataFrame, keys: list[str], value_col: str,
-                      partitions: int | None = None, broadcast_blocks: bool = True) -> DataFrame:
-    """Adds ``rank`` (1-based position of the value inside its key, ties in any
-    order) and ``n`` (rows of the key). Exact and skew-safe, JVM only.
-
-    The block table has at most (range partitions + distinct keys) rows; it is
-    broadcast by default (low-cardinality keys such as event type or channel).
-    Pass ``broadcast_blocks=False`` for high-cardinality keys: the join is then
-    a shuffle join on (partition, key), which splits a hot key as well."""
-    spark = df.sparkSession
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = df.repartitionByRange(parts, *[F.col(k) for k in keys], F.col(value_col)) \
-        .sortWithinPartitions(*keys, value_col) \
-        .select(*keys, value_col, F.spark_partition_id().alias("_pid"),
-                F.monotonically_increasing_id().alias("_pos"))
-    # One row per (partition, key): first position, rows, and the rows of the
-    # same key in earlier partitions.
-    blocks = ordered.groupBy("_pid", *keys).agg(F.min("_pos").alias("_first"),
-                                                F.count(F.lit(1)).alias("_cnt"))
-    wk = Window.partitionBy(*keys).orderBy("_pid")
-    blocks = blocks.select(
-        "_pid", *keys, "_first",
-        F.coalesce(F.sum("_cnt").over(wk.rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("_before"),
-        F.sum("_cnt").over(Window.partitionBy(*keys)).alias("n"))
-    out = ordered.join(F.broadcast(blocks) if broadcast_blocks else blocks, ["_pid", *keys])
-    return out.select(*keys, value_col, "n",
-                      (F.col("_pos") - F.col("_first") + 1 + F.col("_before")).alias("rank"))
+BINS = 32
+
+
+def values_at_ranks(df: DataFrame, keys: list[str], value_col: str, ranks: dict[str, Column]) -> DataFrame:
+    """Per key the values at 1-based ``ranks`` (columns over ``n``, the rows of the
+    key) as columns of those names, and ``n``. Null keys are a key of their own."""
+    other = [F.col(k).alias(f"_o{k}") for k in keys]
+    same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_o{k}")) for k in keys])
+    hist = df.groupBy(*keys, value_col).agg(F.count(F.lit(1)).alias("_c"))
+    cuts = hist.groupBy(*keys).agg(F.percentile_approx(
+        value_col, [i / BINS for i in range(1, BINS)], 1000).alias("_cuts")).select(*other, "_cuts")
+    h = hist.join(cuts, same).select(
+        *keys, value_col, "_c", F.size(F.filter("_cuts", lambda x: x < F.col(value_col))).alias("_bin"))
+    bins = h.groupBy(*keys, "_bin").agg(F.sum("_c").alias("_in"))
+    w = Window.partitionBy(*keys)
+    bins = bins.select(*other, F.col("_bin").alias("_b"), F.sum("_in").over(w).alias("n"), "_in",
+                       (F.sum("_in").over(w.orderBy("_bin")) - F.col("_in")).alias("_before"))
+    wanted = reduce(lambda x, y: x | y, [(r > F.col("_before")) & (r <= F.col("_before") + F.col("_in"))
+                                         for r in ranks.values()])
+    bins = bins.where(wanted)  # one bin per rank and key at most
+    r = h.join(bins, same & (F.col("_bin") == F.col("_b"))).select(
+        *keys, value_col, "n", "_c", (F.col("_before") + F.sum("_c").over(
+            Window.partitionBy(*keys, "_bin").orderBy(value_col))).alias("_hi"))
+    lo = F.col("_hi") - F.col("_c")
+    return r.groupBy(*keys).agg(F.max("n").alias("n"), *[
+        F.max(F.when((rank > lo) & (rank <= F.col("_hi")), F.col(value_col))).alias(name)
+        for name, rank in ranks.items()])
 
 
 def _exclusive_ranks(n, i: int, q: int):
@@ -74,47 +74,28 @@ def latency_stats(df: DataFrame, col: str, keys: list[str] | None = None,
                      F.median("_v").alias("median"),
                      F.percentile_approx("_v", 0.95, accuracy).alias("p95"),
                      F.percentile_approx("_v", 0.99, accuracy).alias("p99"))
-    kcols = keys or []
-    if not kcols:
+    kcols = keys or ["_all"]
+    if not keys:
         base = base.withColumn("_all", F.lit(1))
-        kcols = ["_all"]
-    r = ranked_within_key(base, kcols, "_v")
     n = F.col("n")
     j95, d95 = _exclusive_ranks(n, 19, 20)
     j99, d99 = _exclusive_ranks(n, 99, 100)
-    med_lo = F.floor((n + 1) / 2).cast("long")
-    med_hi = F.ceil((n + 1) / 2).cast("long")
-    wanted = r.select(*kcols, "_v", "n", "rank", j95.alias("j95"), d95.alias("d95"),
-                      j99.alias("j99"), d99.alias("d99"), med_lo.alias("mlo"), med_hi.alias("mhi"))
-    wanted = wanted.filter(F.col("rank").isin(F.col("j95"), F.col("j95") + 1, F.col("j99"),
-                                              F.col("j99") + 1, F.col("mlo"), F.col("mhi")))
-
-    def at(rank_expr):
-        return F.max(F.when(F.col("rank") == rank_expr, F.col("_v")))
-
-    picks = wanted.groupBy(*kcols).agg(
-        at(F.col("mlo")).alias("_mlo"), at(F.col("mhi")).alias("_mhi"),
-        at(F.col("j95")).alias("_a95"), at(F.col("j95") + 1).alias("_b95"),
-        F.first("d95").alias("_d95"),
-        at(F.col("j99")).alias("_a99"), at(F.col("j99") + 1).alias("_b99"),
-        F.first("d99").alias("_d99"), F.first("n").alias("_n"))
+    picks = values_at_ranks(base, kcols, "_v", {
+        "_mlo": F.floor((n + 1) / 2).cast("long"), "_mhi": F.ceil((n + 1) / 2).cast("long"),
+        "_a95": F.greatest(j95, F.lit(1)), "_b95": j95 + 1, "_a99": F.greatest(j99, F.lit(1)), "_b99": j99 + 1})
 
     def interp(a, b, d, q):
         b2 = F.coalesce(F.col(b), F.col(a))
-        return (F.col(a) * (F.lit(q) - F.col(d)) + b2 * F.col(d)) / F.lit(q)
+        return (F.col(a) * (F.lit(q) - d) + b2 * d) / F.lit(q)
 
     quant = picks.select(
-        *kcols,
+        *[F.col(k).alias(f"_q{k}") for k in kcols],
         ((F.col("_mlo") + F.col("_mhi")) / 2).alias("median"),
-        F.when(F.col("_n") == 1, F.col("_a95")).otherwise(interp("_a95", "_b95", "_d95", 20))
-        .alias("p95"),
-        F.when(F.col("_n") == 1, F.col("_a99")).otherwise(interp("_a99", "_b99", "_d99", 100))
-        .alias("p99"))
-    if keys:
-        mom = g.agg(*moments)
-        return mom.join(quant, keys)
-    mom = base.groupBy("_all").agg(*moments)
-    return mom.join(quant, "_all").drop("_all")
+        F.when(n == 1, F.col("_a95")).otherwise(interp("_a95", "_b95", d95, 20)).alias("p95"),
+        F.when(n == 1, F.col("_a99")).otherwise(interp("_a99", "_b99", d99, 100)).alias("p99"))
+    mom = base.groupBy(*kcols).agg(*moments)
+    on = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_q{k}")) for k in kcols])
+    return mom.join(quant, on).drop("_all", *[f"_q{k}" for k in kcols])
 
 
 def throughput(stats: DataFrame, batch_size: int = 1, mean_col: str = "mean") -> DataFrame:

@@ -8,37 +8,20 @@ from pyspark.sql import functions as F
 from feedlens.constants import RECENT_POINTS
 from feedlens.operators import metrics as M
 
-# Salt buckets used to split a hot key before a per-key top-n.
-DEFAULT_SALTS = 16
-
-
 def _order(cols) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
 def top_n_per_key(df: DataFrame, keys: list[str], order: list, n: int,
-                  salts: int = DEFAULT_SALTS, rank_col: str = "rank",
-                  salt_by: str | None = None) -> DataFrame:
-    """First ``n`` rows per key under ``order``, exact, skew-safe.
-
-    Stage 1 ranks inside (key, salt) groups and keeps at most n rows of each;
-    stage 2 ranks the survivors (at most n * salts per key) inside the key.
-    A key holding a third of all rows is therefore sorted by ``salts`` tasks
-    in parallel, and the second sort sees a bounded number of rows. The order
-    must be total (break ties with a unique column) for a deterministic result."""
-    ords = _order(order)
-    if salt_by:
-        salt_src = F.col(salt_by)
-    else:
-        atomic = [f.name for f in df.schema.fields
-                  if f.dataType.typeName() not in ("map", "array", "struct")]
-        salt_src = F.xxhash64(*[F.col(c) for c in atomic])
-    salted = df.withColumn("_salt", F.pmod(salt_src, F.lit(salts)))
-    w1 = Window.partitionBy(*keys, "_salt").orderBy(*ords)
-    stage1 = salted.withColumn("_r1", F.row_number().over(w1)).filter(F.col("_r1") <= n)
-    w2 = Window.partitionBy(*keys).orderBy(*ords)
-    return stage1.withColumn(rank_col, F.row_number().over(w2)) \
-        .filter(F.col(rank_col) <= n).drop("_salt", "_r1")
+                  rank_col: str = "rank") -> DataFrame:
+    """First ``n`` rows per key under ``order``, exact.
+
+    Spark limits the rank below the shuffle (WindowGroupLimit): every task
+    hands on at most n rows of a key, so a key with a third of all rows sends
+    n rows per task. The order must be total (break ties with a unique
+    column) for a deterministic result."""
+    w = Window.partitionBy(*keys).orderBy(*_order(order))
+    return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= n)
 
 
 def recent_trend(df: DataFrame, n: int = RECENT_POINTS, ts_col: str = "timestamp",
@@ -49,7 +32,7 @@ def recent_trend(df: DataFrame, n: int = RECENT_POINTS, ts_col: str = "timestamp
 
     Without keys this is a global top-k (TakeOrderedAndProject: each task keeps
     its own n best, the driver merges n x tasks rows); with keys it is the
-    salted per-key top-n."""
+    per-key top-n."""
     if keys:
         ranked = top_n_per_key(df, keys, [F.col(ts_col).desc(), F.col(id_col).desc()], n,
                                rank_col="recency")
@@ -69,28 +52,22 @@ def recent_trend(df: DataFrame, n: int = RECENT_POINTS, ts_col: str = "timestamp
 
 def recent_trend_scoring_last(candidates: DataFrame, texts: DataFrame, score, n: int = RECENT_POINTS,
                               ts_col: str = "timestamp", id_col: str = "id",
-                              keys: list[str] | None = None, join_key: str = "event_id",
-                              text_key: str = "doc_id") -> DataFrame:
+                              keys: list[str] | None = None, key: str = "doc_id") -> DataFrame:
     """W1 with the limit below the scorer: the last ``n`` points (per key) are
-    chosen on narrow columns first, and only their texts are scored.
-
-    ``candidates`` holds the messages that have a text (no text column);
-    ``texts`` holds (text_key, text, ...); ``score`` maps a text frame to a
-    frame with ``text_key`` and ``sentiment_score``. Without keys the chosen
-    set has exactly n rows, so broadcasting it is bounded by n; per key it is
-    n x keys rows and goes through the size-checked broadcast."""
-    from feedlens.operators.joins import broadcast_if_small
+    chosen on narrow columns, joined once to their texts, and only those are
+    scored.
+
+    ``candidates`` holds the messages that have a text (no text column, but
+    ``key``); ``texts`` holds (key, text, ...); ``score`` maps a text frame
+    with ``id_col`` to a frame with ``id_col`` and ``sentiment_score``. Without
+    keys the chosen set has n rows, so broadcasting it is bounded by n; with keys
+    the join is left to its size at run time."""
     order = [F.col(ts_col).desc(), F.col(id_col).desc()]
     if keys:
         chosen = top_n_per_key(candidates, keys, order, n, rank_col="_r").drop("_r")
-        chosen_ids = broadcast_if_small(chosen.select(F.col(join_key).alias(text_key)))
     else:
-        chosen = candidates.orderBy(*order).limit(n)
-        chosen_ids = F.broadcast(chosen.select(F.col(join_key).alias(text_key)))
-    scored = score(texts.join(chosen_ids, text_key, "left_semi")) \
-        .select(text_key, "sentiment_score")
-    joined = chosen.join(scored, chosen[join_key] == scored[text_key])
-    return recent_trend(joined, n, ts_col, id_col, "sentiment_score", keys)
+        chosen = F.broadcast(candidates.orderBy(*order).limit(n))
+    return recent_trend(score(texts.join(chosen, key)), n, ts_col, id_col, "sentiment_score", keys)
 
 
 def windowed_metrics(df: DataFrame, ts_col: str = "timestamp", width: str = "60 seconds",

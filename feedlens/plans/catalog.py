@@ -54,36 +54,27 @@ def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     return df.select(*cols)
 
 
-_SCORED: dict = {}
-
-
 def scored_messages(spark: SparkSession, sf_dir: str, scorer=None, processed_at=None,
                     **kw) -> DataFrame:
-    """messages -> F1 clean -> enrich (lexicon scorer by default).
-
-    The DataFrame (a lazy plan, not data) is reused by the queries of one
-    session, like a view: building and analysing the scoring plan costs about
-    a second of driver time, which would otherwise be paid per query."""
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir, id(scorer or DEFAULT_SCORER),
-           processed_at,
-           tuple(sorted(kw.items())))
-    df = _SCORED.get(key)
-    if df is None:
-        df = _score_then_join(spark, sf_dir, scorer or DEFAULT_SCORER, processed_at, **kw)
-        _SCORED[key] = df
-    return df
-
-
-def _score_then_join(spark, sf_dir, scorer, processed_at, **kw) -> DataFrame:
-    """Same rows as ``enrich(clean(messages))``, planned for scale: documents
-    are cleaned (F1) and scored right after their scan, and only then joined
-    to the narrow event-side columns. The text never crosses a shuffle unless
-    the query itself selects it; rollups move a few score columns per row."""
-    docs = spread_for_cpu(clean(document_columns(spark, sf_dir)))
-    scored_docs = enrich(docs, scorer, keep=["doc_id"], processed_at=processed_at, **kw) \
-        .select("doc_id", "text", "language", "source", *SCORE_FIELDS, "scored_ok")
+    """messages -> F1 clean -> enrich (lexicon scorer by default), with
+    ``doc_id`` and ``value``.
+
+    Same rows as ``enrich(clean(messages))``, planned for scale: documents
+    are cleaned (F1) and scored right after their scan, once each, and only
+    then joined to the narrow event-side columns. The text never crosses a
+    shuffle unless the query itself selects it; rollups move a few score
+    columns per row. ``only`` filters the event side first (a function of its frame); then
+    just the documents of the events that are left are scored."""
+    only = kw.pop("only", None)
     base = message_base(spark, sf_dir)
-    j = base.join(scored_docs, base.event_id == scored_docs.doc_id, "inner")
+    docs = clean(document_columns(spark, sf_dir))
+    if only is not None:
+        base = only(base)
+        docs = docs.join(base.select("doc_id").distinct(), "doc_id", "left_semi")
+    else:
+        docs = spread_for_cpu(docs)
+    scored_docs = enrich(docs, scorer or DEFAULT_SCORER, keep=["doc_id"], processed_at=processed_at, **kw) \
+        .select("doc_id", "text", "language", "source", *SCORE_FIELDS, "scored_ok")
     cols = [F.lit(None).cast("map<string,double>").alias(c) if c == "metrics" else F.col(c)
             for c in PROCESSED_FIELDS]
-    return j.select(*cols, "value", "scored_ok")
+    return base.join(scored_docs, "doc_id").select(*cols, "doc_id", "value", "scored_ok")

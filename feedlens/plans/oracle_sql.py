@@ -8,7 +8,7 @@ driver tables. Fixed word lists come from ``feedlens.constants``.
 from __future__ import annotations
 
 from feedlens.constants import (EMOTION_LABELS, FIXTURE_NEGATIVE_WORDS, FIXTURE_POSITIVE_WORDS,
-                                MAX_SCORABLE_CHARS, SENTIMENT_LABELS, TOXIC_KEYWORDS)
+                                SENTIMENT_LABELS, TOXIC_KEYWORDS)
 from feedlens.scoring.lexicon import EMOTION_WEIGHTS, SENTIMENT_WEIGHTS
 from feedlens.sources.tables import messages_sql
 
@@ -24,7 +24,7 @@ def _argmax_case(names: list[str], labels: list[str]) -> str:
     return f"CASE {parts} END"
 
 
-def scored_ctes(extra_cols: str = "") -> str:
+def scored_ctes(max_chars: int | None = None) -> str:
     """CTEs ``messages``, ``clean`` and ``scored`` (lexicon scorer + heuristics).
 
     ``scored`` carries the PROCESSED fields except the map/time ones, plus
@@ -48,7 +48,7 @@ clean AS (
   SELECT * FROM messages WHERE text IS NOT NULL AND text <> ''
 ),
 tok AS (
-  SELECT *, CASE WHEN length(text) BETWEEN 1 AND {MAX_SCORABLE_CHARS}
+  SELECT *, CASE WHEN length(text) BETWEEN 1 AND {max_chars or 'length(text)'}
                  THEN regexp_split_to_array(lower(text), '[^\\p{{L}}]+') END AS toks
   FROM clean
 ),
@@ -101,8 +101,8 @@ resp3 AS (
   FROM resp2
 ),
 scored AS (
-  SELECT id, text, platform, author, timestamp, city, product, channel, device, language, source,
-         value{extra_cols},
+  SELECT id, doc_id, text, platform, author, timestamp, city, product, channel, device, language, source,
+         value,
          toks IS NOT NULL AS scored_ok,
          CASE WHEN toks IS NOT NULL THEN r_score ELSE 0.0 END AS sentiment_score,
          CASE WHEN toks IS NOT NULL THEN r_label ELSE 'neutral' END AS sentiment_label,
@@ -118,8 +118,8 @@ scored AS (
 )"""
 
 
-def with_scored(body: str) -> str:
-    return "WITH " + scored_ctes().lstrip() + "\n" + body
+def with_scored(body: str, max_chars: int | None = None) -> str:
+    return "WITH " + scored_ctes(max_chars).lstrip() + "\n" + body
 
 
 def with_messages(body: str) -> str:

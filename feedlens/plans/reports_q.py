@@ -3,15 +3,17 @@ W4-W6, S10-S12, T-1 batch form)."""
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from feedlens.constants import CHANNELS, GEO_REPORT_CITIES, PRODUCTS
+from feedlens.constants import CHANNELS
 from feedlens.operators import metrics as M
 from feedlens.operators import reports as R
 from feedlens.operators import trends as T
 from feedlens.plans.catalog import register, rounded, scored_messages
 from feedlens.plans.oracle_sql import METRIC_SQL, METRIC_SQL_RAW, with_scored
 from feedlens.sinks.encode import decode_metrics, encode_metrics
+from feedlens.sources.tables import read_table
 
 METRIC_VALUES = ["count", "avg_sentiment", "positive_count", "negative_count", "neutral_count",
                  "avg_churn_risk", "high_churn_count", "avg_toxicity"]
@@ -44,7 +46,26 @@ def _with_seg(body: str) -> str:
     return with_scored("").rstrip() + SEG_CTE + "\n" + body
 
 
-def _spine_sql(values: list[str]) -> str:
+# Spines over the values that the data has, plus one that it has not, so that
+# reports show filled and zero rows. A spine is a list of dimension values: 25
+# nations, the part types (a handful, by TPC-H's rules at most 150), the channels.
+DATA_CHANNELS = ["click", "error", "purchase", "signup", "view", "refund"]
+SPINE_SQL = {
+    "geo": """(SELECT n_name AS key, row_number() OVER (ORDER BY n_name) - 1 AS spine_pos FROM (
+  SELECT n_name FROM nation UNION SELECT '~nowhere')) AS sp""",
+    "product": """(SELECT p_type AS key, row_number() OVER (ORDER BY p_type) - 1 AS spine_pos FROM (
+  SELECT p_type FROM part WHERE p_type IS NOT NULL UNION SELECT '~nothing')) AS sp"""}
+
+
+def spine_values(spark, sf_dir, dim) -> list[str]:
+    table, col, missing = {"geo": ("nation", "n_name", "~nowhere"), "product": ("part", "p_type", "~nothing")}[dim]
+    rows = read_table(spark, sf_dir, table).select(col).where(F.col(col).isNotNull()).distinct().collect()
+    return sorted({r[0] for r in rows} | {missing})
+
+
+def _spine_sql(values) -> str:
+    if isinstance(values, str):
+        return SPINE_SQL[values]
     rows = ", ".join(f"('{v}', {i})" for i, v in enumerate(values))
     return f"(VALUES {rows}) AS sp(key, spine_pos)"
 
@@ -66,34 +87,32 @@ LEFT JOIN (SELECT * FROM seg WHERE dim = '{dim}') s ON s.key = sp.key""")
 DIM_COLUMN = {"geo": "city", "product": "product", "channel": "channel", "platform": "platform"}
 
 
-def dim_table(spark, sf_dir, dim):
-    """(dim, key) metrics of one dimension only (no five-way fan-out)."""
+def dim_table(spark, sf_dir, dim, values):
+    """(dim, key) metrics of the listed values of one dimension. Messages with
+    other values are dropped before any text is scored."""
     col = DIM_COLUMN[dim]
-    m = M.segment_metrics(scored_messages(spark, sf_dir), [col], ts_col="timestamp",
-                          emotions=False)
+    s = scored_messages(spark, sf_dir, only=lambda base: base.where(F.col(col).isin(*values)))
+    m = M.segment_metrics(s, [col], ts_col="timestamp", emotions=False)
     return m.select(F.lit(dim).alias("dim"),
                     F.coalesce(F.col(col).cast("string"), F.lit(M.NULL_KEY)).alias("key"),
                     *[c for c in m.columns if c != col])
 
 
-def _report_q(dim, values):
+def _report_q(dim, spine):
     def q(spark, sf_dir):
-        rep = R.segment_report(spark, dim_table(spark, sf_dir, dim), dim, values)
+        values = spine_values(spark, sf_dir, dim) if isinstance(spine, str) else spine
+        rep = R.segment_report(spark, dim_table(spark, sf_dir, dim, values), dim, values)
         return rounded(rep.select("dim", "key", "spine_pos", *METRIC_VALUES, "last_updated"))
     return q
 
 
-for _name, _dim, _vals in [("segment_report_geo", "geo", GEO_REPORT_CITIES),
-                           ("segment_report_products", "product", PRODUCTS),
-                           ("segment_report_channels", "channel", CHANNELS)]:
+for _name, _dim, _vals in [("segment_report_geo", "geo", "geo"),
+                           ("segment_report_products", "product", "product"),
+                           ("segment_report_channels", "channel", DATA_CHANNELS[:3] + CHANNELS)]:
     register(_name, _report_sql(_dim, _vals), bench=_name == "segment_report_products")(
         _report_q(_dim, _vals))
 
 
-# The driver's products are TPC-H part types and its channels are event types:
-# a spine over the values the data actually has shows filled rows too.
-DATA_CHANNELS = ["click", "error", "purchase", "signup", "view", "refund"]
-
 register("segment_report_event_channels", _report_sql("channel", DATA_CHANNELS))(
     _report_q("channel", DATA_CHANNELS))
 
@@ -104,29 +123,32 @@ SELECT {_zero_cols()},
 FROM (VALUES (1)) AS one(x) LEFT JOIN (SELECT * FROM seg WHERE dim = 'overall') s ON TRUE"""))
 def overall_report(spark, sf_dir):
     """Overall metrics, zeros if there is no data."""
-    rep = R.get_metrics_or_zero(spark, segment_table(spark, sf_dir), "overall", None)
+    one = M.segment_metrics(scored_messages(spark, sf_dir), None, ts_col="timestamp", emotions=False) \
+        .select(F.lit("overall").alias("dim"), F.lit(None).cast("string").alias("key"), "*")
+    rep = R.get_metrics_or_zero(spark, one, "overall", None)
     return rounded(rep.select(*METRIC_VALUES, "last_updated"))
 
 
 @register("get_metrics", _report_sql("platform", ["twitter"]))
 def get_metrics(spark, sf_dir):
     """R5 + F9: one (type, key) lookup, here platform 'twitter'."""
-    rep = R.get_metrics_or_zero(spark, dim_table(spark, sf_dir, "platform"), "platform", "twitter")
+    rep = R.get_metrics_or_zero(spark, dim_table(spark, sf_dir, "platform", ["twitter"]), "platform", "twitter")
     return rounded(rep.select("dim", "key", "spine_pos", *METRIC_VALUES, "last_updated"))
 
 
 @register("geo_view", _with_seg(f"""
 SELECT sp.key AS key, round(coalesce(s.avg_sentiment, 0.0), 2) AS avg_sentiment_label
-FROM {_spine_sql(GEO_REPORT_CITIES)} LEFT JOIN (SELECT * FROM seg WHERE dim = 'geo') s ON s.key = sp.key"""))
+FROM {_spine_sql("geo")} LEFT JOIN (SELECT * FROM seg WHERE dim = 'geo') s ON s.key = sp.key"""))
 def geo_view(spark, sf_dir):
     """Mean sentiment per listed city, two decimals."""
-    rep = R.geo_report(spark, dim_table(spark, sf_dir, "geo"))
+    values = spine_values(spark, sf_dir, "geo")
+    rep = R.geo_report(spark, dim_table(spark, sf_dir, "geo", values), values)
     return R.geo_view(rep)
 
 
 _PRODUCT_REPORT = f"""
 SELECT sp.key AS key, sp.spine_pos AS spine_pos, coalesce(s.avg_sentiment, 0.0) AS avg_sentiment
-FROM {_spine_sql(PRODUCTS)} LEFT JOIN (SELECT * FROM seg WHERE dim = 'product') s ON s.key = sp.key"""
+FROM {_spine_sql("product")} LEFT JOIN (SELECT * FROM seg WHERE dim = 'product') s ON s.key = sp.key"""
 
 
 @register("rank_products", _with_seg(f"""
@@ -135,7 +157,8 @@ SELECT key, spine_pos, round(avg_sentiment, 6) AS avg_sentiment,
 FROM ({_PRODUCT_REPORT})"""))
 def rank_products(spark, sf_dir):
     """K1: products by mean sentiment, ties in spine order."""
-    rep = R.product_report(spark, dim_table(spark, sf_dir, "product"))
+    values = spine_values(spark, sf_dir, "product")
+    rep = R.product_report(spark, dim_table(spark, sf_dir, "product", values), values)
     return rounded(T.rank_products(rep.select("key", "spine_pos", "avg_sentiment")))
 
 
@@ -145,7 +168,8 @@ SELECT arg_max(key, spine_pos) FILTER (WHERE avg_sentiment = mx) AS best_product
 FROM (SELECT *, max(avg_sentiment) OVER () AS mx FROM ({_PRODUCT_REPORT}))"""))
 def best_product(spark, sf_dir):
     """K2: best product; on a tie the later one wins."""
-    rep = R.product_report(spark, dim_table(spark, sf_dir, "product"))
+    values = spine_values(spark, sf_dir, "product")
+    rep = R.product_report(spark, dim_table(spark, sf_dir, "product", values), values)
     return rounded(T.best_product(rep))
 
 
@@ -193,31 +217,19 @@ def windowed_metrics(spark, sf_dir):
 @register("stream_windowed_metrics", _with_win(
     f"SELECT window_start, window_end, dim, key, {_WIN_ROUNDED}, last_updated FROM win"))
 def stream_windowed_metrics(spark, sf_dir):
-    """T-1/T-4/T-6 as a real stream: ``events`` read by a file stream source,
-    joined to the statically scored documents (stream-static join), windowed
-    rollup with watermark in update mode, drained with availableNow into the
-    replay-safe metrics store under the shared checkpoint folder; the store's
-    newest version of every window is returned. Same rows as the batch
+    """T-1/T-4/T-6 as a real stream of several micro-batches: ``events`` read by a
+    file stream source, joined to the documents scored once (stream-static
+    join), windowed rollup with watermark in update mode, drained with
+    availableNow into the metrics store under the shared checkpoint folder;
+    the store's newest version of every window is returned. The part files
+    mix all 30 days, so the watermark allows 31. Same rows as the batch
     ``windowed_metrics``."""
-    import uuid
-
-    from feedlens.plans.catalog import DEFAULT_SCORER
-    from feedlens.session import shared_path
     from feedlens.sinks import tables as ST
-    from feedlens.sources.tables import events_stream, message_base
     from feedlens.streaming import jobs as J
-    from feedlens.operators.filters import clean
-    from feedlens.operators.enrich import enrich
-    from feedlens.sources.tables import document_columns
-
-    run = shared_path(spark, "queries", f"stream_windowed_{uuid.uuid4().hex}")
-    base = message_base(spark, sf_dir, events_stream(spark, sf_dir))
-    docs = enrich(clean(document_columns(spark, sf_dir)), DEFAULT_SCORER, keep=["doc_id"]) \
-        .select("doc_id", "sentiment_score", "sentiment_label", "churn_risk", "toxicity",
-                "emotion")
-    scored = base.join(docs, base.event_id == docs.doc_id, "inner")
-    win = J.windowed_stream(scored, "timestamp", "1 day", "1 day", emotions=False)
-    q = J.start(win, f"stream_windowed_{uuid.uuid4().hex[:8]}", mode="update",
+
+    run = _run_dir(spark, "stream_windowed")
+    win = J.windowed_stream(_stream_scored(spark, sf_dir, run), "timestamp", "1 day", "31 days", emotions=False)
+    q = J.start(win, f"windowed_{run[-8:]}", mode="update",
                 foreach_batch=lambda b, i: ST.append_metrics(b, f"{run}/metrics", i),
                 trigger={"availableNow": True}, checkpoint_location=f"{run}/checkpoint")
     q.awaitTermination()
@@ -228,18 +240,23 @@ def stream_windowed_metrics(spark, sf_dir):
                                 else F.col(c) for c in cols]))
 
 
-def _stream_scored(spark, sf_dir, keep_text: bool = False):
-    """events as a stream, joined to the statically scored documents."""
+STREAM_FILES = 6  # part files of the streamed events, of which a micro-batch takes one
+
+
+def _stream_scored(spark, sf_dir, run):
+    """events as a stream of STREAM_FILES part files, one a micro-batch, joined
+    to the documents, which are scored once into a table keyed by doc_id."""
     from feedlens.operators.enrich import enrich
     from feedlens.operators.filters import clean
     from feedlens.plans.catalog import DEFAULT_SCORER, SCORE_FIELDS
     from feedlens.schemas import PROCESSED_FIELDS
     from feedlens.sources.tables import document_columns, events_stream, message_base
-    base = message_base(spark, sf_dir, events_stream(spark, sf_dir))
-    docs = enrich(clean(document_columns(spark, sf_dir)), DEFAULT_SCORER, keep=["doc_id"]) \
-        .select("doc_id", "text", "language", "source", *SCORE_FIELDS)
-    j = base.join(docs, base.event_id == docs.doc_id, "inner")
-    return j.select(*[c for c in PROCESSED_FIELDS if c != "metrics"])
+    read_table(spark, sf_dir, "events").repartition(STREAM_FILES).write.parquet(f"{run}/in/events.parquet")
+    enrich(clean(document_columns(spark, sf_dir)), DEFAULT_SCORER, keep=["doc_id"]) \
+        .select("doc_id", "text", "language", "source", *SCORE_FIELDS).write.parquet(f"{run}/scored")
+    base = message_base(spark, sf_dir, events_stream(spark, f"{run}/in", max_files=1))
+    docs = spark.read.parquet(f"{run}/scored")
+    return base.join(docs, "doc_id").select(*[c for c in PROCESSED_FIELDS if c != "metrics"])
 
 
 def _run_dir(spark, name):
@@ -255,7 +272,7 @@ def stream_churn_alerts(spark, sf_dir):
     checkpoint, drained with availableNow, read back."""
     from feedlens.streaming import jobs as J
     run = _run_dir(spark, "stream_alerts")
-    alerts = J.alert_stream(_stream_scored(spark, sf_dir)) \
+    alerts = J.alert_stream(_stream_scored(spark, sf_dir, run)) \
         .select("message.id", "message.churn_risk", "message.channel", "alert_timestamp")
     q = J.start(alerts, f"alerts_{run[-8:]}", sink="parquet", path=f"{run}/out",
                 trigger={"availableNow": True}, checkpoint_location=f"{run}/checkpoint")
@@ -276,7 +293,7 @@ def stream_history(spark, sf_dir):
     from feedlens.sinks import tables as ST
     from feedlens.streaming import jobs as J
     run = _run_dir(spark, "stream_history")
-    q = J.start(_stream_scored(spark, sf_dir), f"history_{run[-8:]}",
+    q = J.start(_stream_scored(spark, sf_dir, run), f"history_{run[-8:]}",
                 foreach_batch=lambda b, i: ST.write_history(b, f"{run}/history", batch_id=i),
                 trigger={"availableNow": True}, checkpoint_location=f"{run}/checkpoint")
     q.awaitTermination()
@@ -313,15 +330,13 @@ SELECT * FROM (
   FROM win GROUP BY dim, key)
 WHERE last_updated > (SELECT max(timestamp) FROM scored) - INTERVAL 24 HOURS"""))
 def live_metrics(spark, sf_dir):
-    """Latest metrics still within 24 h of the newest message. The newest
-    message time comes from the narrow event columns (no second scoring
-    pass), as a scalar subquery."""
+    """Latest metrics still within 24 h of the newest message, which is the
+    newest time of the overall row; one row per (dim, key) meets in the window."""
     latest = T.latest_metrics(daily_windows(spark, sf_dir)) \
         .select("dim", "key", "count", "avg_sentiment", "last_updated")
-    candidates, _, _ = _trend_inputs(spark, sf_dir)
-    as_of = candidates.agg(F.max("timestamp")).scalar()
-    cutoff = as_of - F.expr("INTERVAL 24 HOURS")
-    return rounded(latest.filter(F.col("last_updated") > cutoff))
+    newest = F.max("last_updated").over(Window.partitionBy())
+    return rounded(latest.withColumn("_newest", newest)
+                   .filter(F.col("last_updated") > F.col("_newest") - F.expr("INTERVAL 24 HOURS")).drop("_newest"))
 
 
 _ENC_SQL = _with_seg("""
@@ -370,11 +385,12 @@ def _trend_inputs(spark, sf_dir):
     from feedlens.sources.tables import document_columns, message_base
     texts = clean(document_columns(spark, sf_dir))
     base = message_base(spark, sf_dir)
-    candidates = base.join(texts.select("doc_id"), base.event_id == F.col("doc_id"), "left_semi")
+    candidates = base.select("id", "timestamp", "channel", "doc_id") \
+        .join(texts.select("doc_id"), "doc_id", "left_semi")
 
     def score(df):
-        return enrich(df, DEFAULT_SCORER, keep=["doc_id"])
-    return candidates, texts, score
+        return enrich(df, DEFAULT_SCORER)
+    return candidates, texts.drop("language", "source"), score
 
 
 @register("recent_trend", _RECENT_SQL, bench=True)
@@ -394,8 +410,7 @@ SELECT channel, id, timestamp, round(sentiment_score, 6) AS sentiment_score,
 FROM (SELECT *, row_number() OVER (PARTITION BY channel ORDER BY timestamp DESC, id DESC) AS recency
       FROM scored) WHERE recency <= 50"""))
 def recent_trend_by_channel(spark, sf_dir):
-    """W1 per key (salted two-stage top-n, skew-safe); only the chosen
-    points' texts are scored."""
+    """W1 per key; only the chosen points' texts are scored."""
     candidates, texts, score = _trend_inputs(spark, sf_dir)
     return rounded(T.recent_trend_scoring_last(candidates, texts, score, 50, keys=["channel"]))
 

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from feedlens.operators import metrics as M
+from feedlens.operators.filters import clean
 from feedlens.plans.catalog import register, rounded, scored_messages
 from feedlens.plans.oracle_sql import METRIC_SQL, with_scored
+from feedlens.sources.tables import document_columns, message_base
 
 METRIC_COLS = ["count", "avg_sentiment", "positive_count", "negative_count", "neutral_count",
                "avg_churn_risk", "high_churn_count", "avg_toxicity"]
@@ -68,8 +70,10 @@ UNION SELECT DISTINCT 'sentiment:channel:' || coalesce(channel, 'null') FROM sco
 UNION SELECT DISTINCT 'sentiment:platform:' || coalesce(platform, 'null') FROM scored
 UNION SELECT 'sentiment:overall'"""))
 def metric_keys(spark, sf_dir):
-    """Storage keys of every segment present in the data."""
-    s = scored_messages(spark, sf_dir).select("city", "product", "channel", "platform")
+    """Storage keys of every segment present in the data; no text is scored."""
+    texts = clean(document_columns(spark, sf_dir)).select("doc_id")
+    s = message_base(spark, sf_dir).join(texts, "doc_id", "left_semi") \
+        .select("city", "product", "channel", "platform")
     return M.explode_segments(s).select(M.metric_key("dim", "key").alias("metric_key")).distinct()
 
 
@@ -134,14 +138,13 @@ def channel_performance(spark, sf_dir):
 
 @register("label_confusion", with_scored("""
 SELECT CAST(l.toxic AS BIGINT) AS expected, s.sentiment_label AS predicted, count(*) AS n
-FROM scored s JOIN labels l ON s.id = concat('evt_', CAST(l.doc_id AS VARCHAR))
+FROM scored s JOIN labels l ON s.doc_id = l.doc_id
 GROUP BY l.toxic, s.sentiment_label"""))
 def label_confusion(spark, sf_dir):
     """Predicted label against the toxic flag of ``labels``."""
     from feedlens.sources.tables import read_table
     lab = read_table(spark, sf_dir, "labels").select(
-        F.concat(F.lit("evt_"), F.col("doc_id").cast("string")).alias("id"),
-        F.col("toxic").cast("bigint").alias("expected"))
-    s = scored_messages(spark, sf_dir).select("id", "sentiment_label")
-    return M.label_confusion(s.join(lab, "id"), "sentiment_label", "expected")
+        "doc_id", F.col("toxic").cast("bigint").alias("expected"))
+    s = scored_messages(spark, sf_dir).select("doc_id", "sentiment_label")
+    return M.label_confusion(s.join(lab, "doc_id"), "sentiment_label", "expected")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from feedlens.constants import EMOTION_LABELS, LATENCY_BOUNDS_SEC, TOXIC_KEYWORDS
+from feedlens.constants import EMOTION_LABELS, LATENCY_BOUNDS_SEC, MAX_SCORABLE_CHARS, TOXIC_KEYWORDS
 from feedlens.functions import scores as X
 from feedlens.operators import dedupe as D
 from feedlens.operators import filters as FL
@@ -17,7 +17,7 @@ from feedlens.operators.joins import new_only as _new_only
 from feedlens.plans.catalog import register, rounded, scored_messages
 from feedlens.plans.oracle_sql import with_messages, with_scored
 from feedlens.sinks.encode import history_projection as _history_projection
-from feedlens.sources.tables import messages, read_table
+from feedlens.sources.tables import messages, read_table, row_count
 
 _KW_OR = " OR ".join(f"contains(lower(text), '{k}')" for k in TOXIC_KEYWORDS)
 
@@ -83,17 +83,14 @@ def _response_report(resp):
 
 
 def _scorer_response(spark, sf_dir, scorer):
-    """Scorer response per scorable message text: documents are scored right
-    after their scan (text is never shuffled), then kept when their event
-    exists (left semi join on the key)."""
-    from feedlens.operators.enrich import response_fields, scorable, spread_for_cpu
-    from feedlens.sources.tables import document_columns
-    docs = spread_for_cpu(FL.clean(document_columns(spark, sf_dir)).filter(scorable("text"))
-                          .select("doc_id", "text"))
-    resp = response_fields(scorer.class_scores(docs, "text"))
-    events = read_table(spark, sf_dir, "events").select(F.col("event_id").alias("doc_id"))
-    return resp.join(events, "doc_id", "left_semi") \
-        .withColumn("id", F.concat(F.lit("evt_"), F.col("doc_id").cast("string")))
+    """Scorer response per message with text: documents are scored right after
+    their scan, once each (text is never shuffled), then joined to their
+    messages."""
+    from feedlens.operators.enrich import response_fields, spread_for_cpu
+    from feedlens.sources.tables import document_columns, message_base
+    docs = spread_for_cpu(FL.clean(document_columns(spark, sf_dir)).select("doc_id", "text"))
+    resp = response_fields(scorer.class_scores(docs, "text")).drop("text")
+    return resp.join(message_base(spark, sf_dir).select("id", "doc_id"), "doc_id")
 
 
 @register("toxicity_churn", with_scored(f"""
@@ -110,10 +107,11 @@ def toxicity_churn(spark, sf_dir):
 @register("enrich_defaults", with_scored("""
 SELECT id, sentiment_score, sentiment_label, confidence, emotion, toxicity, churn_risk,
        0.0 AS inference_time_ms
-FROM scored WHERE NOT scored_ok"""))
+FROM scored WHERE NOT scored_ok""", max_chars=MAX_SCORABLE_CHARS))
 def enrich_defaults(spark, sf_dir):
-    """U2 + U3 + X13: unscorable rows keep their place with defaults."""
-    s = scored_messages(spark, sf_dir)
+    """U2 + U3 + X13: rows that a service with a length limit refuses keep
+    their place with defaults."""
+    s = scored_messages(spark, sf_dir, max_chars=MAX_SCORABLE_CHARS)
     return s.filter(~F.col("scored_ok")).select(
         "id", "sentiment_score", "sentiment_label", "confidence", "emotion", "toxicity",
         "churn_risk", "inference_time_ms")
@@ -145,11 +143,9 @@ def history_projection(spark, sf_dir):
 SELECT min(doc_id) AS doc_id, count(*) AS copies, length(text) AS n_chars
 FROM documents GROUP BY text""", bench=True)
 def dedupe_text(spark, sf_dir):
-    """D3 (content form): one row per distinct text, first id, copy count.
-    Large inputs go fingerprint-first (only texts whose fingerprint repeats
-    are shuffled); an input that fits in one wave is grouped directly."""
+    """D3 (content form): one row per distinct text, first id, copy count."""
     d = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return D.dedupe_text_adaptive(d, "text", "doc_id")
+    return D.dedupe_text(d, "text", "doc_id")
 
 
 @register("dedupe_by_id", """
@@ -182,11 +178,12 @@ def since_last_seen(spark, sf_dir):
 @register("top_turns", """
 SELECT conv_id, turn, role, rank FROM (
   SELECT conv_id, turn, role, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS rank
-  FROM conversations) WHERE rank <= 10""")
+  FROM conversations) WHERE rank <= 3""")
 def top_turns(spark, sf_dir):
-    """First 10 children per parent in listing order (salted top-n)."""
+    """First 3 children per parent in listing order; the longest
+    conversations have 8."""
     c = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role")
-    return T.first_n_per_parent(c, "conv_id", "turn", 10)
+    return T.first_n_per_parent(c, "conv_id", "turn", 3)
 
 
 _LISTING_SQL = """
@@ -359,7 +356,7 @@ def normalize_posts(spark, sf_dir):
 
 @register("normalize_comments", """
 SELECT 'reddit_comment_' || CAST(c.conv_id AS VARCHAR) || '_' || CAST(c.turn AS VARCHAR) AS id,
-       'reddit_post_' || CAST(c.conv_id AS VARCHAR) AS parent_post_id, c.role AS author,
+       CAST(c.conv_id AS VARCHAR) AS parent_post_id, c.role AS author,
        length(c.text) AS n_chars
 FROM conversations c
 WHERE c.turn > 0 AND EXISTS (
@@ -438,7 +435,7 @@ def search_history(spark, sf_dir):
 SELECT CAST(e.event_id AS VARCHAR) AS id, 'twitter' AS platform,
        coalesce(c.c_name, 'unknown') AS author, coalesce(c.c_acctbal > 5000, false) AS verified,
        coalesce(d.lang, 'en') AS language, length(d.text) AS n_chars
-FROM events e JOIN documents d ON d.doc_id = e.event_id
+FROM events e JOIN documents d ON d.doc_id = e.event_id % (SELECT greatest(1, count(*)) FROM documents)
 LEFT JOIN customer c ON c.c_custkey = e.user_id""")
 def normalize_tweets(spark, sf_dir):
     """P1 + J1 on tweets re-aimed from the tables: each event with a document
@@ -446,7 +443,7 @@ def normalize_tweets(spark, sf_dir):
     the account balance is above 5000). Authors join on id, misses default."""
     ev = read_table(spark, sf_dir, "events")
     docs = read_table(spark, sf_dir, "documents")
-    tweets = ev.join(docs, ev.event_id == docs.doc_id).select(
+    tweets = ev.join(docs, ev.event_id % row_count(spark, sf_dir, "documents") == docs.doc_id).select(
         F.col("event_id").alias("id"), "text", F.col("user_id").alias("author_id"),
         F.col("ts").cast("timestamp").alias("created_at"), "lang",
         F.lit(False).alias("is_retweet"),
@@ -496,10 +493,14 @@ def raw_roundtrip(spark, sf_dir):
 
 @register("drop_removed_turns", """
 SELECT conv_id, turn FROM conversations
-WHERE text IS NOT NULL AND text NOT IN ('', '[deleted]', '[removed]')""")
+WHERE text IS NOT NULL AND text <> '' AND (conv_id + turn) % 7 > 3""")
 def drop_removed_turns(spark, sf_dir):
-    """F4 on conversation turns as comment bodies."""
-    c = read_table(spark, sf_dir, "conversations")
+    """F4 on conversation turns as comment bodies, of which some are removed,
+    deleted, empty or missing."""
+    body = F.element_at(F.array(F.lit("[removed]"), F.lit("[deleted]"), F.lit(""), F.lit(None).cast("string")),
+                        F.least((F.col("conv_id") + F.col("turn")) % 7, F.lit(3)).cast("int") + 1)
+    c = read_table(spark, sf_dir, "conversations") \
+        .withColumn("text", F.when((F.col("conv_id") + F.col("turn")) % 7 <= 3, body).otherwise(F.col("text")))
     return FL.drop_removed(c, "text").select("conv_id", "turn")
 
 

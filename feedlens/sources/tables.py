@@ -15,23 +15,17 @@ from feedlens.operators.joins import broadcast_if_small
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
-# Products come from the first PRODUCT_KEYS part keys (event_id mod PRODUCT_KEYS).
-PRODUCT_KEYS = 200
 
-
-_READS: dict[tuple[int, str], DataFrame] = {}
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Lazy Parquet scan of one driver table, listed anew at every call so that
+    appended files are seen."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Lazy Parquet scan of one driver table. The DataFrame (not its data) is
-    reused within a session so footers are listed and parsed once."""
-    path = f"{sf_dir}/{name}.parquet"
-    key = (id(spark), spark.sparkContext.applicationId, path)
-    df = _READS.get(key)
-    if df is None:
-        df = spark.read.parquet(path)
-        _READS[key] = df
-    return df
+def row_count(spark: SparkSession, sf_dir: str, name: str) -> F.Column:
+    """Number of rows of a table, as a literal (counted from the file footers);
+    at least 1, so that it can be a divisor."""
+    return F.lit(max(1, read_table(spark, sf_dir, name).count()))
 
 
 def _pick(values: list[str], idx) -> F.Column:
@@ -40,28 +34,31 @@ def _pick(values: list[str], idx) -> F.Column:
 
 def message_base(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
     """Every message column except the document ones (text, language, source),
-    keyed by ``event_id``. Narrow rows: the joins here never move text.
-
-      * events x customer on user_id: customer grows with the data. It is
-        broadcast only while a bounded count proves it small (200k rows);
-        beyond that it is a shuffle join of narrow rows, where a hot user is
-        split by AQE skew-join handling of the events side;
-      * nation (25 rows) and the <= 200 product parts: size-checked broadcasts.
+    with ``doc_id``, the document whose text the message carries: event_id
+    modulo the number of documents, so every event has one and every document
+    is used. The product is the part with key event_id modulo the number of
+    parts. Narrow rows: the joins here never move text.
+
+    Customer and part grow with the data: each is broadcast while its size
+    statistics stay within the bound; beyond that it is a shuffle join of narrow
+    rows, where batch queries split a hot user by AQE skew-join handling. A
+    stream keeps the static side in its own shuffle; its hot users are not
+    split. nation has 25 rows.
     """
     ev = (events if events is not None else read_table(spark, sf_dir, "events")) \
         .select("event_id", "ts", "user_id", "event_type", "value")
     cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = broadcast_if_small(read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
-    parts = broadcast_if_small(
-        read_table(spark, sf_dir, "part").select("p_partkey", "p_type")
-        .filter((F.col("p_partkey") >= 0) & (F.col("p_partkey") < PRODUCT_KEYS)))
+    parts = broadcast_if_small(read_table(spark, sf_dir, "part").select("p_partkey", "p_type"))
+    n_parts, n_docs = row_count(spark, sf_dir, "part"), row_count(spark, sf_dir, "documents")
     city_of = broadcast_if_small(
         cust.join(nation, cust.c_nationkey == nation.n_nationkey, "left")
         .select(F.col("c_custkey"), F.col("n_name")))
     j = ev.join(city_of, ev.user_id == city_of.c_custkey, "left") \
-        .join(parts, (ev.event_id % PRODUCT_KEYS) == parts.p_partkey, "left")
+        .join(parts, (ev.event_id % n_parts) == parts.p_partkey, "left")
     return j.select(
         F.col("event_id"),
+        (F.col("event_id") % n_docs).alias("doc_id"),
         F.concat(F.lit("evt_"), F.col("event_id").cast("string")).alias("id"),
         _pick(PLATFORMS, F.col("event_id") % 4).alias("platform"),
         F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("author"),
@@ -76,9 +73,9 @@ def message_base(spark: SparkSession, sf_dir: str, events: DataFrame | None = No
 
 def events_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
     """The ``events`` table as a streaming source (file source over the
-    table's Parquet file; new files dropped next to it are picked up)."""
+    table's Parquet file or folder of part files)."""
     schema = read_table(spark, sf_dir, "events").schema
-    r = spark.readStream.schema(schema).option("basePath", sf_dir)
+    r = spark.readStream.schema(schema)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     return r.parquet(f"{sf_dir}/event[s].parquet")
@@ -98,12 +95,11 @@ def messages(spark: SparkSession, sf_dir: str, with_value: bool = True) -> DataF
     """Raw-message view over events + documents + customer/nation + part.
 
     The narrow event-side joins come first; the text-carrying documents join
-    (doc_id = event_id, a unique key on both sides, so no skew) comes last so
-    text is shuffled at most once. When a later filter requires text (F1),
-    Catalyst turns this left join into an inner join."""
+    (doc_id, unique on the documents' side and evenly spread on the events')
+    comes last so text is shuffled at most once. When a later filter requires
+    text (F1), Catalyst turns this left join into an inner join."""
     base = message_base(spark, sf_dir)
-    docs = document_columns(spark, sf_dir)
-    j = base.join(docs, base.event_id == docs.doc_id, "left")
+    j = base.join(document_columns(spark, sf_dir), "doc_id", "left")
     return j.select(*MESSAGE_COLUMNS, *(["value"] if with_value else []))
 
 
@@ -111,7 +107,7 @@ def messages_sql(with_value: bool = True) -> str:
     """The same view as ANSI SQL (runs on Spark SQL and DuckDB alike)."""
     value = ",\n         e.value AS value" if with_value else ""
     return f"""
-  SELECT concat('evt_', CAST(e.event_id AS VARCHAR)) AS id,
+  SELECT concat('evt_', CAST(e.event_id AS VARCHAR)) AS id, d.doc_id AS doc_id,
          d.text AS text,
          CASE e.event_id % 4 {' '.join(f"WHEN {i} THEN '{p}'" for i, p in enumerate(PLATFORMS))} END AS platform,
          concat('user_', CAST(e.user_id AS VARCHAR)) AS author,
@@ -123,8 +119,7 @@ def messages_sql(with_value: bool = True) -> str:
          d.lang AS language,
          d.source AS source{value}
   FROM events e
-  LEFT JOIN documents d ON d.doc_id = e.event_id
+  LEFT JOIN documents d ON d.doc_id = e.event_id % (SELECT greatest(1, count(*)) FROM documents)
   LEFT JOIN customer c ON c.c_custkey = e.user_id
   LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey
-  LEFT JOIN (SELECT p_partkey, p_type FROM part WHERE p_partkey >= 0 AND p_partkey < {PRODUCT_KEYS}) p
-         ON p.p_partkey = e.event_id % {PRODUCT_KEYS}"""
+  LEFT JOIN part p ON p.p_partkey = e.event_id % (SELECT greatest(1, count(*)) FROM part)"""
