@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20  # bytes hashed at a time; a longer single text is one slice
+SLICE_BYTES = 1 << 20  # bytes hashed at a time; a longer single text is one slice
 
 _U = np.uint64
 _rng = np.random.default_rng(20240501)
