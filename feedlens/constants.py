@@ -47,21 +47,11 @@ METRIC_KEY_PREFIX = "sentiment"
 REMOVED_BODIES = ["", "[deleted]", "[removed]"]
 DELETED_AUTHOR = "[deleted]"
 
-# Synthetic message mix: (label, share, likes, shares, replies) ranges inclusive.
-SYNTHETIC_MIX = [
-    ("positive", 0.4, (10, 500), (5, 100), (2, 50)),
-    ("negative", 0.3, (1, 50), (0, 20), (5, 100)),
-    ("neutral", 0.3, (0, 30), (0, 10), (0, 20)),
-]
-IMPRESSIONS_PER_LIKE = (10, 50)
-SYNTHETIC_MAX_AGE_DAYS = 7
-
 # Retention in days.
 RETENTION_DAYS = {"raw": 7, "processed": 30, "history": 90}
 
-# Latency histogram bounds (seconds) and batch-size bounds used by A10 by default.
+# Latency histogram bounds (seconds) used by A10 by default.
 LATENCY_BOUNDS_SEC = [0.005, 0.01, 0.025, 0.05, 0.075, 0.1, 0.25, 0.5, 0.75, 1.0, 2.5, 5.0, 7.5, 10.0]
-BATCH_SIZE_BOUNDS = [0.005, 0.01, 0.025, 0.05, 0.075, 0.1, 0.25, 0.5, 0.75, 1.0, 2.5, 5.0, 7.5, 10.0]
 
 # ---------------------------------------------------------------------------
 # Fixture lexicon for the Column scorer (driver tables carry invented prose).

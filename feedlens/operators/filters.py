@@ -69,16 +69,6 @@ def scorable_split(df: DataFrame, text_col: str = "text",
     return df.withColumn("scorable", scorable(text_col, max_chars))
 
 
-def nonzero(df: DataFrame, count_col: str = "n") -> DataFrame:
-    """drop zero-count histogram entries."""
-    return df.filter(F.col(count_col) > 0)
-
-
-def nonzero_map(m) -> Column:
-    """F7 on a map column."""
-    return F.map_filter(_c(m), lambda k, v: v > 0)
-
-
 def since(df: DataFrame, id_col: str, last_id) -> DataFrame:
     """F8: only ids above the last seen maximum. ``last_id`` may be a literal or
     a one-row, one-column DataFrame (e.g. ``seen.agg(max(id))``)."""
@@ -89,14 +79,6 @@ def since(df: DataFrame, id_col: str, last_id) -> DataFrame:
     return df.filter(F.col(id_col) > F.lit(last_id))
 
 
-def get_metrics(df: DataFrame, dim: str, key: str | None) -> DataFrame:
-    """point lookup of one metrics row by (dimension, key)."""
-    pred = F.col("dim") == dim
-    if key is not None:
-        pred = pred & (F.col("key") == key)
-    return df.filter(pred)
-
-
 def search_history(df: DataFrame, date_from=None, date_to=None, words: list[str] | None = None,
                    equals: dict | None = None, date_col: str = "index_date",
                    text_col: str = "text") -> DataFrame:

@@ -10,7 +10,7 @@ from feedlens.constants import CHANNELS
 from feedlens.operators import metrics as M
 from feedlens.operators import reports as R
 from feedlens.operators import trends as T
-from feedlens.plans.catalog import register, rounded, scored_messages
+from feedlens.plans.catalog import ORACLES, register, rounded, scored_messages
 from feedlens.plans.oracle_sql import METRIC_SQL, METRIC_SQL_RAW, with_scored
 from feedlens.sinks.encode import decode_metrics, encode_metrics
 from feedlens.sources.tables import read_table
@@ -438,3 +438,77 @@ def trend_velocity(spark, sf_dir):
     """Change of the daily mean against the previous day, per second."""
     # Velocity is taken between the published (6-decimal) means.
     return rounded(T.trend_velocity(rounded(daily_windows(spark, sf_dir))))
+
+
+_LATEST_SQL = ORACLES["latest_metrics"]
+
+
+@register("stream_metrics_store", _LATEST_SQL)
+def stream_metrics_store(spark, sf_dir):
+    """The metrics store fed by a stream of several micro-batches and
+    compacted after each, so that it holds one row per (dim, key) and those of the
+    newest batch; its latest rows are those of the batch rollup."""
+    from feedlens.sinks import tables as ST
+    from feedlens.streaming import jobs as J
+
+    run = _run_dir(spark, "stream_store")
+
+    def store(batch, i):
+        ST.append_metrics(batch, f"{run}/metrics", i)
+        ST.compact_metrics(spark, f"{run}/metrics", ttl_hours=None)
+
+    win = J.windowed_stream(_stream_scored(spark, sf_dir, run), "timestamp", "1 day", "31 days", emotions=False)
+    q = J.start(win, f"store_{run[-8:]}", mode="update", foreach_batch=store,
+                trigger={"availableNow": True}, checkpoint_location=f"{run}/checkpoint")
+    q.awaitTermination()
+    out = ST.read_latest_metrics(spark, f"{run}/metrics")
+    ntz = {"window_start", "window_end", "last_updated"}
+    return rounded(out.select("dim", "key", *[F.col(c).cast("timestamp_ntz").alias(c) if c in ntz else F.col(c)
+                                              for c in ["window_start", "window_end", *METRIC_VALUES, "last_updated"]]))
+
+
+@register("stream_aggregate_history", _with_win(
+    f"SELECT window_start, dim, key, {_WIN_ROUNDED} FROM win"))
+def stream_aggregate_history(spark, sf_dir):
+    """T-10: windows into the dated history from several micro-batches, each
+    written twice as if replayed; the newest version of a window is read."""
+    from feedlens.sinks import tables as ST
+    from feedlens.streaming import jobs as J
+
+    run = _run_dir(spark, "stream_agg")
+
+    def store(batch, i):
+        for _ in range(2):
+            ST.write_aggregate_history(batch, f"{run}/history", i)
+
+    win = J.windowed_stream(_stream_scored(spark, sf_dir, run), "timestamp", "1 day", "31 days", emotions=False)
+    q = J.start(win, f"agg_{run[-8:]}", mode="update", foreach_batch=store,
+                trigger={"availableNow": True}, checkpoint_location=f"{run}/checkpoint")
+    q.awaitTermination()
+    out = T.latest_metrics(spark.read.parquet(f"{run}/history"), keys=["dim", "key", "window_start"], order_col="batch_id")
+    return rounded(out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "dim", "key", *METRIC_VALUES))
+
+
+@register("stream_dedupe", "SELECT event_id, event_type FROM events")
+def stream_dedupe(spark, sf_dir):
+    """T-9 / D3 on a stream of several micro-batches in which every third event
+    comes twice: ``dedupe_batch`` lets each id through once."""
+    from feedlens.sinks import tables as ST
+    from feedlens.sources.tables import events_stream
+    from feedlens.streaming import jobs as J
+
+    run = _run_dir(spark, "stream_dedupe")
+    ev = read_table(spark, sf_dir, "events")
+    ev.unionByName(ev.where("event_id % 3 = 0")).repartition(STREAM_FILES).write.parquet(f"{run}/in/events.parquet")
+    src = events_stream(spark, f"{run}/in", max_files=1).select(
+        F.col("event_id").cast("string").alias("id"), "event_id", "event_type", F.col("ts").cast("timestamp").alias("timestamp"))
+
+    def once(batch, i):
+        out = ST.dedupe_batch(batch, i, f"{run}/ids", horizon_days=31)
+        out.withColumn("batch_id", F.lit(i)).write.mode("overwrite") \
+            .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{run}/out")
+
+    q = J.start(src, f"dedupe_{run[-8:]}", foreach_batch=once, trigger={"availableNow": True},
+                checkpoint_location=f"{run}/checkpoint")
+    q.awaitTermination()
+    return spark.read.parquet(f"{run}/out").select("event_id", "event_type")

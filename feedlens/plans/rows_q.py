@@ -518,3 +518,38 @@ def message_preview(spark, sf_dir):
     """First 50 characters of every message text."""
     from feedlens.functions.scores import preview
     return FL.clean(messages(spark, sf_dir)).select("id", preview("text").alias("preview"))
+
+
+def _wire_comments(spark, sf_dir):
+    """Comments as a connector sends them, from conversation turns: ``metrics``
+    holds numbers and a boolean. Some values are cut off, some have a timestamp that
+    is no time."""
+    c = read_table(spark, sf_dir, "conversations").where("turn > 0")
+    key = F.col("conv_id") * 100 + F.col("turn")
+    wire = F.to_json(F.struct(
+        F.concat_ws("_", F.lit("c"), F.col("conv_id"), F.col("turn")).alias("id"), "text",
+        F.when(key % 11 == 0, "yesterday").otherwise("2024-01-01T00:00:00").alias("timestamp"),
+        F.struct(F.col("turn").alias("score"), (F.col("role") == "user").alias("is_submitter")).alias("metrics")))
+    return c.withColumn("w", wire).select(
+        F.when(key % 13 == 0, F.expr("substring(w, 1, length(w) - 2)")).otherwise(F.col("w")).alias("value"))
+
+
+@register("raw_comments", """
+SELECT 'c_' || conv_id || '_' || turn AS id, CAST(turn AS DOUBLE) AS score,
+       CASE WHEN role = 'user' THEN 1.0 ELSE 0.0 END AS is_submitter, length(text) AS n_chars
+FROM conversations WHERE turn > 0 AND (conv_id * 100 + turn) % 13 <> 0 AND (conv_id * 100 + turn) % 11 <> 0""")
+def raw_comments(spark, sf_dir):
+    """S2 / T-4 on connector JSON with a boolean metric: what is kept."""
+    from feedlens.streaming.jobs import parse_raw, to_event_time
+    ok = to_event_time(parse_raw(_wire_comments(spark, sf_dir), mode="drop")).where("timestamp IS NOT NULL")
+    return ok.select("id", F.col("metrics")["score"].alias("score"), F.col("metrics")["is_submitter"].alias("is_submitter"),
+                     F.length("text").alias("n_chars"))
+
+
+@register("raw_dead_letters", """
+SELECT CASE WHEN (conv_id * 100 + turn) % 13 = 0 THEN 'malformed' ELSE 'timestamp' END AS reason, count(*) AS n
+FROM conversations WHERE turn > 0 AND ((conv_id * 100 + turn) % 13 = 0 OR (conv_id * 100 + turn) % 11 = 0) GROUP BY 1""")
+def raw_dead_letters(spark, sf_dir):
+    """S2 / T-4: what is quarantined, by reason."""
+    from feedlens.streaming.jobs import dead_letters
+    return dead_letters(_wire_comments(spark, sf_dir)).groupBy("reason").agg(F.count("*").alias("n"))

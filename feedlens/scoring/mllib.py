@@ -56,9 +56,8 @@ class MLlibScorer:
         cols = df.columns
         # The pipeline reads "text"; rows without text are not scored.
         src = df.withColumn("_mtext", F.coalesce(F.col(text_col), F.lit("")))
-        stages = self.model.stages
-        stages[0].setInputCol("_mtext")
-        scored = self.model.transform(src)
+        stages = [self.model.stages[0].copy({self.model.stages[0].inputCol: "_mtext"}), *self.model.stages[1:]]
+        scored = PipelineModel(stages).transform(src)
         ok = F.col(text_col).isNotNull()
         return scored.select(
             *cols,

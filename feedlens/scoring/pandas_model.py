@@ -13,10 +13,12 @@ to ``class_scores`` are serialised, so callers project first.
 
 from __future__ import annotations
 
+import hashlib
 import time
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -63,8 +65,9 @@ def lexicon_model_factory():
     return LexiconModel()
 
 
-def _model(factory):
-    key = (factory.__module__, factory.__qualname__)
+def _model(factory, key: str):
+    """The worker's model of a factory; ``key`` is the factory's content, so two
+    factories made by one function have models of their own."""
     m = _MODELS.get(key)
     if m is None:
         m = factory()
@@ -85,6 +88,7 @@ class PandasScorer:
         from feedlens.session import ship_package
         ship_package(df.sparkSession)
         factory, size = self.model_factory, self.batch_size
+        key = hashlib.sha256(cloudpickle.dumps(factory)).hexdigest()
         out_schema = T.StructType(df.schema.fields + [
             T.StructField("_sent_scores", T.ArrayType(T.DoubleType())),
             T.StructField("_emo_scores", T.ArrayType(T.DoubleType())),
@@ -93,7 +97,7 @@ class PandasScorer:
         ])
 
         def run(batches):
-            model = _model(factory)
+            model = _model(factory, key)
             for pdf in batches:
                 texts = pdf[text_col]
                 n = len(pdf)

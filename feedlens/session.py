@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 # Settings every job relies on: UTC for all timestamp maths, AQE for runtime
@@ -29,13 +30,17 @@ BASE_CONF = {
 
 def build_session(master: str = "local[*]", app: str = "feedlens",
                   shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
-    """Local/test session. On a cluster the submitter's settings win; we only
-    add what is missing."""
-    b = SparkSession.builder.master(master).appName(app)
+    """A session. When submitted (spark-submit has set a master) the submitter's
+    settings win and only what is missing is added; otherwise a local one with
+    ``master`` and ``shuffle_partitions``."""
+    b = SparkSession.builder.appName(app)
+    submitted = SparkConf()  # what spark-submit or spark-defaults.conf have set
     conf = dict(BASE_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.setdefault("spark.driver.memory", "8g")
-    conf.update(extra or {})
+    if not submitted.contains("spark.master"):
+        b = b.master(master)
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+        conf["spark.driver.memory"] = "8g"
+    conf = {k: v for k, v in conf.items() if not submitted.contains(k)} | (extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
@@ -77,6 +82,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="feedlens-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
         d = spark.sparkContext.getCheckpointDir()

@@ -8,7 +8,7 @@ Checkpoints live below the shared folder named by ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,7 +26,7 @@ def kafka_options(bootstrap: str, topic: str, group_id: str | None = None,
                   starting: str = "latest", **extra) -> dict:
     """Kafka source options (value only, start at latest, group id)."""
     opts = {"kafka.bootstrap.servers": bootstrap, "subscribe": topic,
-            "startingOffsets": starting, "failOnDataLoss": "false"}
+            "startingOffsets": starting, "failOnDataLoss": "true"}
     if group_id:
         opts["kafka.group.id"] = group_id
     opts.update(extra)
@@ -61,47 +61,92 @@ def read_raw_stream(spark: SparkSession, fmt: str = "kafka", path: str | None =
     raise ValueError(f"unknown format {fmt}")
 
 
+# On the wire a metric may be a number, a boolean or text.
+_WIRE_SCHEMA = T.StructType([
+    T.StructField(f.name, T.MapType(T.StringType(), T.StringType())) if f.name == "metrics" else f
+    for f in RAW_SCHEMA.fields])
+
+
+def _numbers(m: Column) -> Column:
+    """Numeric view of an open map: booleans as 1 and 0, text that is no number NULL."""
+    return F.transform_values(m, lambda k, v: F.when(v == "true", 1.0).when(v == "false", 0.0)
+                              .otherwise(v.try_cast("double")))
+
+
 def parse_raw(df: DataFrame, value_col: str = "value", mode: str = "quarantine") -> DataFrame:
-    """JSON to RAW_SCHEMA; unknown fields are ignored.
+    """JSON to RAW_SCHEMA; unknown fields are ignored, ``metrics`` is read
+    as an open map and returned as numbers.
 
     A malformed value gives a struct of NULLs, not NULL (trap T4), so the raw
     text is kept in ``_corrupt_record`` for those rows. ``mode='quarantine'``
     keeps them flagged, ``'drop'`` removes them, ``'failfast'`` makes the query
     fail on the first one (as the reference's deserializer does)."""
-    schema = T.StructType(RAW_SCHEMA.fields + [T.StructField("_corrupt_record", T.StringType())])
+    schema = T.StructType(_WIRE_SCHEMA.fields + [T.StructField("_corrupt_record", T.StringType())])
     opts = {"columnNameOfCorruptRecord": "_corrupt_record",
             "mode": "FAILFAST" if mode == "failfast" else "PERMISSIVE"}
     parsed = df.filter(F.col(value_col).isNotNull()) \
         .select(F.from_json(F.col(value_col), schema, opts).alias("_m"))
-    out = parsed.select("_m.*")
+    out = parsed.select("_m.*").withColumn("metrics", _numbers(F.col("metrics")))
     if mode == "drop":
         out = out.filter(F.col("_corrupt_record").isNull())
     return out
 
 
 def parse_processed(df: DataFrame, value_col: str = "value") -> DataFrame:
-    """S3: scored-message JSON, NULL values skipped."""
-    return df.filter(F.col(value_col).isNotNull()) \
-        .select(F.from_json(F.col(value_col), PROCESSED_SCHEMA).alias("_m")).select("_m.*")
+    """S3: scored-message JSON. NULL values, JSON ``null`` and malformed JSON are
+    skipped; ``dead_letters`` gives the malformed ones."""
+    schema = T.StructType(PROCESSED_SCHEMA.fields + [T.StructField("_corrupt_record", T.StringType())])
+    m = df.filter(F.col(value_col).isNotNull()) \
+        .select(F.from_json(F.col(value_col), schema, {"columnNameOfCorruptRecord": "_corrupt_record"}).alias("_m"))
+    return m.filter("_m IS NOT NULL AND _m._corrupt_record IS NULL").select("_m.*").drop("_corrupt_record")
+
+
+def dead_letters(df: DataFrame, value_col: str = "value", schema: T.StructType | None = None) -> DataFrame:
+    """Values that ``score_stream`` (or, with PROCESSED_SCHEMA, ``parse_processed``)
+    leaves out, as (value, reason): "malformed" JSON, or a raw message whose
+    "timestamp" is set but no time. On a stream, write them to a sink of their
+    own next to the scored messages."""
+    full = T.StructType((schema or _WIRE_SCHEMA).fields + [T.StructField("_corrupt_record", T.StringType())])
+    m = df.filter(F.col(value_col).isNotNull()).select(
+        F.col(value_col).alias("value"),
+        F.from_json(F.col(value_col), full, {"columnNameOfCorruptRecord": "_corrupt_record"}).alias("_m"))
+    reason = F.when(F.col("_m._corrupt_record").isNotNull(), "malformed")
+    if schema is None:
+        ts = F.col("_m.timestamp")
+        reason = reason.when(ts.isNotNull() & F.try_to_timestamp(ts).isNull(), "timestamp")
+    return m.select("value", reason.alias("reason")).filter("reason IS NOT NULL")
 
 
 def to_event_time(df: DataFrame, col: str = "timestamp") -> DataFrame:
     """Trap T1: ISO text or TIMESTAMP_NTZ to TIMESTAMP (UTC session zone),
-    the type ``withWatermark`` accepts."""
+    the type ``withWatermark`` accepts; text that is no time becomes NULL."""
     t = df.schema[col].dataType.typeName()
     if t == "string":
-        return df.withColumn(col, F.to_timestamp(col))
+        return df.withColumn(col, F.try_to_timestamp(F.col(col)))
     if t == "timestamp_ntz":
         return df.withColumn(col, F.col(col).cast("timestamp"))
     return df
 
 
 def score_stream(raw_values: DataFrame, scorer, processed_at=None) -> DataFrame:
-    """T-4: parse -> clean -> enrich, stateless."""
+    """T-4: parse -> clean -> enrich, stateless. What cannot be parsed, or has a
+    timestamp that is no time, is in ``dead_letters(raw_values)``."""
     parsed = parse_raw(raw_values, mode="drop")
+    ts = F.col("timestamp")
+    parsed = parsed.filter(ts.isNull() | F.try_to_timestamp(ts).isNotNull())
     return enrich(FL.clean(parsed), scorer, processed_at=processed_at)
 
 
+def publish_raw(messages: DataFrame, fmt: str = "kafka", path: str | None = None, **options) -> None:
+    """Raw messages as key / JSON value rows, to a topic or as files. The
+    Kafka package is not part of Spark's own distribution; it must be on the
+    class path for ``fmt="kafka"``."""
+    fields = [c for c in RAW_SCHEMA.fieldNames() if c in messages.columns]
+    out = messages.select(F.col("id").alias("key"), F.to_json(F.struct(*fields)).alias("value"))
+    w = out.write.format(fmt).options(**options)
+    w.save() if path is None else w.mode("append").save(path)
+
+
 def with_lateness(df: DataFrame, ts_col: str = "timestamp", delay: str = "10 minutes") -> DataFrame:
     """T-2: watermark so window state is bounded; rows later than the delay are
     dropped and counted in ``numRowsDroppedByWatermark`` (T-3)."""

@@ -39,8 +39,6 @@ def test_text_is_not_shuffled_by_rollups(spark):
     the join). AQE is switched off here only to walk the static plan."""
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        from feedlens.plans import catalog
-        catalog._SCORED.clear()
         df = queries()["multi_segment_metrics"](spark, SF001)
         phys = df._jdf.queryExecution().executedPlan()
         outputs = []
@@ -67,8 +65,6 @@ def test_text_is_not_shuffled_by_rollups(spark):
         assert len(spreads) <= 1
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-        from feedlens.plans import catalog
-        catalog._SCORED.clear()
 
 
 def test_scan_prunes_columns_and_pushes_filters(spark):
@@ -81,7 +77,18 @@ def test_scan_prunes_columns_and_pushes_filters(spark):
     assert "ReadSchema: struct<event_id:bigint>" in p2 or "struct<event_id:bigint>" in p2
 
 
-def test_spine_report_broadcasts_bounded_sides(spark):
-    plan = _plan(queries()["segment_report_products"](spark, SF001))
-    assert "SortMergeJoin" not in plan.split("BroadcastHashJoin LeftOuter")[0]
-    assert "BroadcastHashJoin LeftSemi" in plan or "LeftSemi" in plan
+def test_spine_report_scores_only_the_spine(spark):
+    """The event side is cut to the spine's values before documents are scored."""
+    df = queries()["segment_report_event_channels"](spark, SF001)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan and re.search(r"event_type#\d+ IN \(click", plan)
+
+
+def test_metric_keys_score_nothing(spark):
+    plan = queries()["metric_keys"](spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp" not in plan.lower()
+
+
+def test_top_n_is_limited_before_the_shuffle(spark):
+    plan = queries()["top_turns"](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and len(_exchanges(plan.split("Initial Plan")[0])) <= 1

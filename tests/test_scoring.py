@@ -81,7 +81,7 @@ def test_enrich_defaults_and_bounds(spark):
     rows = [("a", "pathetic trash idiot", "x"), ("b", "x" * 5001, "y"), ("c", "with this from", "z"),
             ("d", "plain words", "w")]
     df = spark.createDataFrame(rows, "id string, text string, channel string")
-    out = {r.id: r for r in enrich(df, LexiconScorer()).collect()}
+    out = {r.id: r for r in enrich(df, LexiconScorer(), max_chars=5000).collect()}
     d = out["b"]
     assert (d.sentiment_score, d.sentiment_label, d.confidence, d.emotion, d.toxicity,
             d.churn_risk, d.inference_time_ms, d.emotion_scores, d.scored_ok) == \
@@ -115,3 +115,21 @@ def test_filter_on_score_does_not_inline_scoring(spark):
     filt = plan.find("Filter")
     assert gen > filt  # the filter is printed above (before) the Generate
     assert q.count() == 1
+
+
+def _fixed_model(value):
+    def factory():
+        return lambda texts: ([[value, 0.0, 0.0]] * len(texts), [[0.0] * 7] * len(texts))
+
+    def build():
+        import numpy as np
+        inner = factory()
+        return lambda texts: tuple(np.array(x) for x in inner(texts))
+    return build
+
+
+def test_two_factories_of_one_function_keep_their_models(spark):
+    from feedlens.scoring.pandas_model import PandasScorer
+    df = spark.createDataFrame([("a",)], "text string").coalesce(1)
+    first, second = (PandasScorer(_fixed_model(v)).class_scores(df, "text").first()["_sent_scores"] for v in (0.0, 5.0))
+    assert first[0] < 0.4 < 0.9 < second[0]

@@ -227,3 +227,39 @@ def test_reports_over_the_metrics_store(spark):
     assert len(geo) == 4 and all(r["count"] >= 0 for r in geo)
     one = R.get_metrics_or_zero(spark, live, "overall", None).first()
     assert one["count"] > 0
+
+
+def test_quarantine_of_raw_and_processed(spark):
+    raw = spark.createDataFrame([
+        ('{"id": "a", "text": "hi", "timestamp": "2024-01-01T00:00:00", "metrics": {"score": 3, "is_submitter": true, "x": "y"}}',),
+        ('{"id": "b", "text": "hi", "timestamp": "yesterday"}',), ("{not json",), ("null",), (None,)], "value string")
+    got = J.score_stream(raw, LexiconScorer(), processed_at=AT).collect()
+    assert [r.id for r in got] == ["a"] and got[0].metrics == {"score": 3.0, "is_submitter": 1.0, "x": None}
+    assert sorted((r.value[:5], r.reason) for r in J.dead_letters(raw).collect()) == [
+        ("null", "malformed"), ('{"id"', "timestamp"), ("{not ", "malformed")]
+    done = spark.createDataFrame([('{"id": "a", "sentiment_label": "neutral"}',), ("{no",), ("null",)], "value string")
+    assert [r.id for r in J.parse_processed(done).collect()] == ["a"]
+    assert J.kafka_options("b:9092", "t")["failOnDataLoss"] == "true"
+
+
+def test_publish_raw_round_trip(spark, tmp_path):
+    m = messages(spark, SF001).withColumn("timestamp", F.col("timestamp").cast("string"))
+    J.publish_raw(m, "parquet", str(tmp_path / "topic"))
+    back = J.parse_raw(spark.read.parquet(str(tmp_path / "topic")))
+    assert back.select("id", "text", "city").exceptAll(m.select("id", "text", "city")).count() == 0
+    assert back.count() == m.count()
+
+
+def test_metrics_store_stays_small(spark, tmp_path):
+    path = str(tmp_path / "store")
+    t0 = dt.datetime(2024, 1, 1)
+    for i in range(10):
+        b = spark.createDataFrame(
+            [(t0 + dt.timedelta(days=i), t0 + dt.timedelta(days=i + 1), "geo", k, i, t0 + dt.timedelta(days=i)) for k in "abc"],
+            "window_start timestamp, window_end timestamp, dim string, key string, count long, last_updated timestamp")
+        ST.append_metrics(b, path, i)
+        ST.compact_metrics(spark, path)
+        assert spark.read.parquet(path).count() <= 6
+    assert {(r.key, r["count"]) for r in ST.read_latest_metrics(spark, path).collect()} == {(k, 9) for k in "abc"}
+    ST.append_metrics(b, path, 9)  # a replay of the newest batch
+    assert {(r.key, r["count"]) for r in ST.read_latest_metrics(spark, path).collect()} == {(k, 9) for k in "abc"}
