@@ -124,7 +124,10 @@ def resolve(records: DataFrame) -> DataFrame:
                   "records")
     prior = latest_response(rec.where("url_key IS NOT NULL"))
     old = rec.where("full").select(F.col("record_id").alias("refers_to"), F.col("headers").alias("old"))
-    r = rec.where("kind = 'revisit'").join(prior, "record_id", "left").join(old, "refers_to", "left")
+    r = rec.where("kind = 'revisit'").join(prior, "record_id", "left")
+    # revisits without an earlier response do not go through the join: they would share one key
+    r = r.where("refers_to IS NOT NULL").join(old, "refers_to", "left").unionByName(
+        r.where("refers_to IS NULL").withColumn("old", F.lit(None).cast("map<string,string>")))
     weak = lambda m: F.regexp_replace(F.col(m)["etag"], "^W/", "")
     same = F.coalesce(weak("headers") == weak("old"), F.col("headers")["last-modified"] == F.col("old")["last-modified"])
     outcome = F.when(F.col("old").isNull(), "no response").when(same, "resolved") \
@@ -175,6 +178,7 @@ def digest(resolved: DataFrame, records: DataFrame) -> DataFrame:
     size = records.where("kind = 'response'").select(F.col("record_id").alias("refers_to"), "n_bytes")
     text = F.array_join(F.array_sort(F.transform(F.map_entries("headers"), lambda x: F.concat(
         x["key"], F.lit("="), x["value"]))), "; ")
-    return resolved.join(size, "refers_to", "left").select(
-        "record_id", "url_key", "refers_to", "outcome",
-        F.when(F.col("outcome") == "resolved", F.col("n_bytes")).alias("n_bytes"), text.alias("headers"))
+    done = resolved.where("outcome = 'resolved'").join(size, "refers_to", "left")
+    rest = resolved.where("outcome <> 'resolved'").withColumn("n_bytes", F.lit(None).cast("long"))
+    return done.unionByName(rest).select(
+        "record_id", "url_key", "refers_to", "outcome", "n_bytes", text.alias("headers"))
