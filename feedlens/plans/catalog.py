@@ -70,7 +70,7 @@ def scored_messages(spark: SparkSession, sf_dir: str, scorer=None, processed_at=
     docs = clean(document_columns(spark, sf_dir))
     if only is not None:
         base = only(base)
-        docs = docs.join(base.select("doc_id").distinct(), "doc_id", "left_semi")
+        docs = spread_for_cpu(docs).join(base.select("doc_id").distinct(), "doc_id", "left_semi")
     else:
         docs = spread_for_cpu(docs)
     scored_docs = enrich(docs, scorer or DEFAULT_SCORER, keep=["doc_id"], processed_at=processed_at, **kw) \
