@@ -553,3 +553,42 @@ def raw_dead_letters(spark, sf_dir):
     """S2 / T-4: what is quarantined, by reason."""
     from feedlens.streaming.jobs import dead_letters
     return dead_letters(_wire_comments(spark, sf_dir)).groupBy("reason").agg(F.count("*").alias("n"))
+
+
+BATCH_SIZE_BOUNDS = [1.0, 2.5, 5.0, 7.5, 10.0]
+
+_BATCHES_SQL = ", ".join(f"count(*) FILTER (WHERE n <= {b}) AS le_{f'{b:g}'.replace('.', '_')}" for b in BATCH_SIZE_BOUNDS)
+
+
+@register("batch_size_histogram", f"""
+SELECT event_type, count(*) AS total, sum(n)::DOUBLE AS sum, {_BATCHES_SQL}, count(*) AS le_inf
+FROM (SELECT event_type, date_trunc('hour', ts) AS h, count(*) AS n FROM events GROUP BY 1, 2) GROUP BY event_type""")
+def batch_size_histogram(spark, sf_dir):
+    """A10: inference counter and batch-size histogram; a batch is the requests of
+    one type and hour."""
+    e = read_table(spark, sf_dir, "events").groupBy("event_type", F.date_trunc("hour", "ts").alias("h")) \
+        .agg(F.count("*").cast("double").alias("n"))
+    return M.inference_histogram(e, "n", BATCH_SIZE_BOUNDS, ["event_type"])
+
+
+@register("progress_of_total", """
+SELECT processed, round(processed * 100.0 / total, 6) AS percent, total - processed AS remaining
+FROM (SELECT count(*) AS processed FROM events WHERE event_type <> 'error'), (SELECT count(*) AS total FROM events)""")
+def progress_of_total(spark, sf_dir):
+    """Percent and remaining against the expected total."""
+    e = read_table(spark, sf_dir, "events")
+    done = M.progress(e.where("event_type <> 'error'"), "ts", total=e.count())
+    return rounded(done.select("processed", "percent", "remaining"))
+
+
+@register("raw_times", """
+SELECT 'reddit_post_' || conv_id AS id, strftime(make_timestamp(1704067200000000 + conv_id * 60000000), '%Y-%m-%dT%H:%M:%S') AS at,
+       regexp_extract_all(coalesce(text, ''), '#([A-Za-z0-9_]+)', 1) AS hashtags
+FROM conversations WHERE turn = 0""")
+def raw_times(spark, sf_dir):
+    """Epoch seconds to ISO time, hashtags of the text."""
+    posts, _ = _posts_comments(spark, sf_dir)
+    out = N.normalize_posts(posts)
+    tags = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit("#([A-Za-z0-9_]+)"), F.lit(1))
+    return out.select("id", F.date_format(F.to_timestamp("timestamp"), "yyyy-MM-dd'T'HH:mm:ss").alias("at"),
+                      tags.alias("hashtags"))
