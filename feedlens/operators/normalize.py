@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlens.constants import DELETED_AUTHOR
-from feedlens.operators.joins import broadcast_if_small
+from feedlens.operators.joins import MAX_BROADCAST_BYTES, broadcast_if_small
 
 REDDIT_BASE = "https://reddit.com"
 TWEET_COUNTERS = ["retweet_count", "reply_count", "like_count", "quote_count",
@@ -40,17 +40,17 @@ def iso(col) -> Column:
 
 def normalize_tweets(tweets: DataFrame, users: DataFrame | None = None,
                      source: str = "twitter_api", ingested_at=None,
-                     max_broadcast_users: int = 200_000) -> DataFrame:
+                     max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """P1 + P4 + J1: tweet rows to the standard row.
 
     Authors join on author_id (left; misses get defaults). The users side is
-    broadcast only when a bounded count proves it small, else shuffle join."""
+    broadcast only while its size estimate stays within the bound, else shuffle join."""
     t = tweets
     if users is not None:
         u = users.select(F.col("id").alias("_uid"), F.col("username").alias("_username"),
                          F.col("verified").alias("_verified"),
                          F.col("public_metrics.followers_count").alias("_followers"))
-        t = t.join(broadcast_if_small(u, max_broadcast_users), t.author_id == F.col("_uid"), "left")
+        t = t.join(broadcast_if_small(u, max_broadcast_bytes), t.author_id == F.col("_uid"), "left")
     else:
         t = t.select("*", F.lit(None).cast("string").alias("_username"),
                      F.lit(None).cast("boolean").alias("_verified"),

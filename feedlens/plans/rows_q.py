@@ -461,19 +461,24 @@ def normalize_tweets(spark, sf_dir):
                       F.length("text").alias("n_chars"))
 
 
-@register("wire_roundtrip", with_scored("""
-SELECT id, city, sentiment_label, emotion, round(sentiment_score, 6) AS sentiment_score,
-       round(toxicity, 6) AS toxicity, round(churn_risk, 6) AS churn_risk
-FROM scored"""))
+_WIRE_FIELDS = ["id", "platform", "author", "timestamp", "city", "product", "channel", "device", "language", "source",
+                "sentiment_label", "emotion", "sentiment_score", "confidence", "toxicity", "churn_risk"]
+_WIRE_DOUBLES = {"sentiment_score", "confidence", "toxicity", "churn_risk"}
+
+
+@register("wire_roundtrip", with_scored(f"""
+SELECT {", ".join(f"round({c}, 6) AS {c}" if c in _WIRE_DOUBLES else c for c in _WIRE_FIELDS)},
+       length(text) AS n_chars, round(emo_anger, 6) AS anger, round(emo_joy, 6) AS joy FROM scored"""))
 def wire_roundtrip(spark, sf_dir):
     """S4 + S3 + T-8: every scored message serialised to its wire JSON (NULL
-    fields kept) and parsed back with the processed schema."""
+    fields kept, microseconds kept) and parsed back with the processed schema."""
     from feedlens.sinks.encode import to_wire
     from feedlens.streaming.jobs import parse_processed
-    wire = to_wire(scored_messages(spark, sf_dir))
-    back = parse_processed(wire)
-    return rounded(back.select("id", "city", "sentiment_label", "emotion", "sentiment_score",
-                               "toxicity", "churn_risk"))
+    s = scored_messages(spark, sf_dir)
+    back = parse_processed(to_wire(s.withColumn("timestamp", F.col("timestamp").cast("timestamp"))))
+    return rounded(back.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz")).select(
+        *_WIRE_FIELDS, F.length("text").alias("n_chars"), F.col("emotion_scores")["anger"].alias("anger"),
+        F.col("emotion_scores")["joy"].alias("joy")))
 
 
 @register("raw_roundtrip", with_messages("""
@@ -592,3 +597,20 @@ def raw_times(spark, sf_dir):
     tags = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit("#([A-Za-z0-9_]+)"), F.lit(1))
     return out.select("id", F.date_format(F.to_timestamp("timestamp"), "yyyy-MM-dd'T'HH:mm:ss").alias("at"),
                       tags.alias("hashtags"))
+
+
+@register("message_times", with_scored("""
+SELECT id, platform, TIMESTAMP '2024-02-01 00:00:00' AS ingested_at,
+       strftime(timestamp, '%Y-%m-%dT%H:%M:%S.') || lpad(CAST((epoch_us(timestamp) // 1000) % 1000 AS VARCHAR), 3, '0') || 'Z' AS at,
+       CAST(timestamp AS DATE) AS day, round(sentiment_score, 2) AS score, sentiment_score >= 0 AS non_negative
+FROM scored"""))
+def message_times(spark, sf_dir):
+    """Lower-case platform, ingestion stamp, ISO time and
+    back to a date, fixed decimals, sign."""
+    from feedlens.operators.enrich import stamp
+    s = scored_messages(spark, sf_dir).select(
+        "id", N.lower_platform(F.upper("platform")).alias("platform"), X.iso_text("timestamp").alias("at"),
+        X.fixed("sentiment_score", 2).alias("score"), X.sign_flag("sentiment_score").alias("non_negative"))
+    return stamp(s, "ingested_at", at="2024-02-01 00:00:00").select(
+        "id", "platform", F.col("ingested_at").cast("timestamp_ntz").alias("ingested_at"), "at",
+        X.utc_date(X.iso_ts("at")).alias("day"), "score", "non_negative")
