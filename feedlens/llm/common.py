@@ -19,6 +19,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+BATCH_ROWS = 1_000  # rows of an Arrow batch that carries texts
+
+
+def short_batches(spark: SparkSession) -> None:
+    """Let at most BATCH_ROWS texts go to a Python worker at a time. The usual
+    10,000 are tens of MB of text, which the JVM and the worker hold several
+    times over. A smaller setting stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlens.llm import setrel, textbytes
-from feedlens.llm.common import components, width, written
+from feedlens.llm.common import components, short_batches, width, written
 
 LIST_ROWS = 4000          # longest list compared in one piece
 FAMILY_TOKENS = 4_000_000  # largest family compared in one piece, in shingles
@@ -167,6 +167,7 @@ def jaccard_classes(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5)
     table gives an empty result.
     """
     spark = docs.sparkSession
+    short_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL")
     sets = written(docs.mapInArrow(
         _sets(words, num, den),

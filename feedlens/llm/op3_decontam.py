@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlens.llm import textbytes as tb
-from feedlens.llm.common import written
+from feedlens.llm.common import short_batches, written
 
 WINDOW = 8             # template words of a window; a shorter item is one window
 MAX_KEYS = 2_000_000   # benchmark windows whose hashes go to the tasks (16 MB)
@@ -153,6 +153,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     nothing, nor are items without a window that is at least half literal.
     Repeated rows give one row; rows of a null id are reported under null.
     """
+    short_batches(docs.sparkSession)
     row = F.xxhash64("text")
     d = docs.select(F.col("doc_id").cast("long").alias("id"), row.alias("row"), "text")
     b = benchmark.select(F.col("item_id").cast("long").alias("id"), row.alias("row"), "text").distinct()

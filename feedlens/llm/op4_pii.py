@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.llm.common import written
+from feedlens.llm.common import short_batches, written
 
 KINDS = ("email", "ip", "card", "phone")
 FIT_ROWS = 2_000    # documents whose lines the labelled spans are put into
@@ -381,6 +381,7 @@ def find_pii(docs: DataFrame) -> DataFrame:
     texts hold nothing. Repeated rows give a row each, a null doc_id is kept. An
     empty table gives an empty result.
     """
+    short_batches(docs.sparkSession)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sample = written(source.select("doc_id").where("doc_id IS NOT NULL").distinct()
                      .orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS), "fit")  # FIT_ROWS ids

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from feedlens.llm.common import width, written
+from feedlens.llm.common import short_batches, width, written
 from feedlens.llm.tokens import encoder, text_batches
 from feedlens.session import shared_path
 
@@ -74,6 +74,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, keeps_space:
     empty. The folder must be seen by the driver and all executors.
     """
     spark = docs.sparkSession
+    short_batches(spark)
     folder = folder or shared_path(spark, f"tokens-{uuid.uuid4().hex}")
     fs, base = _open(folder)
     fs.create_dir(base, recursive=True)

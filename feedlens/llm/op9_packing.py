@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.llm.common import written
+from feedlens.llm.common import short_batches, written
 from feedlens.llm.tokens import encoder, text_batches
 
 PIECES = 20_000   # about as many pieces a partition of the first round gets
@@ -56,6 +56,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, keeps_space: bool =
     """(doc_id, piece, start, length, ids_crc32): the ids of each whole text
     with ``end_id`` behind them; those of more than ``size`` ids are cut, with
     the first piece the shorter one. A null text is empty: one piece of one id."""
+    short_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         _pieces(tokenizer, keeps_space, end_id, size),
         "doc_id long, piece int, start long, length long, ids_crc32 long")

@@ -16,7 +16,7 @@ from functools import lru_cache
 
 import numpy as np
 
-MEMO_UNITS = 700_000   # kept per worker; beyond it the memo starts anew
+MEMO_UNITS = 500_000   # kept per worker; beyond it the memo starts anew
 MEMO_CHARS = 64        # longer units are encoded but not kept
 _RARE = re.compile(r"[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000<]")
 # A unit is a run of Latin letters before white space or punctuation other than
