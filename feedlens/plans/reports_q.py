@@ -512,3 +512,44 @@ def stream_dedupe(spark, sf_dir):
                 checkpoint_location=f"{run}/checkpoint")
     q.awaitTermination()
     return spark.read.parquet(f"{run}/out").select("event_id", "event_type")
+
+
+@register("stream_late_rows", """
+SELECT date_trunc('day', ts) AS window_start, count(*) AS n FROM events GROUP BY 1""")
+def stream_late_rows(spark, sf_dir):
+    """T-2 / T-3: three micro-batches, events to 20 January, the later ones, and
+    those to 5 January once more. The last come weeks behind the watermark of one
+    day and are dropped, so every day counts its events once."""
+    from feedlens.sinks import tables as ST
+    from feedlens.sources.tables import events_stream
+    from feedlens.streaming import jobs as J
+
+    run = _run_dir(spark, "stream_late")
+    ev = read_table(spark, sf_dir, "events")
+    for part in ("ts < '2024-01-20'", "ts >= '2024-01-20'", "ts < '2024-01-05'"):
+        ev.where(part).coalesce(1).write.mode("append").parquet(f"{run}/in/events.parquet")
+    timed = J.with_lateness(events_stream(spark, f"{run}/in", max_files=1), "ts", "1 day")
+    win = timed.groupBy(F.window("ts", "1 day").alias("w")).agg(F.count("*").alias("n")).select(
+        F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), F.lit("overall").alias("dim"),
+        F.lit(None).cast("string").alias("key"), "n")
+    q = J.start(win, f"late_{run[-8:]}", mode="update", trigger={"availableNow": True},
+                foreach_batch=lambda b, i: ST.append_metrics(b, f"{run}/out", i), checkpoint_location=f"{run}/checkpoint")
+    q.awaitTermination()
+    return ST.read_windows(spark, f"{run}/out").select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "n")
+
+
+@register("retention", """
+SELECT CAST(ts AS DATE) AS index_date, count(*) AS n FROM events
+WHERE CAST(ts AS DATE) >= DATE '2024-01-23' GROUP BY 1""")
+def retention(spark, sf_dir):
+    """T-11: a history by date of which the partitions older than 7 days before 30
+    January are dropped."""
+    import datetime
+
+    from feedlens.sinks import tables as ST
+
+    run = _run_dir(spark, "retention")
+    read_table(spark, sf_dir, "events").withColumn("index_date", F.to_date("ts")) \
+        .write.partitionBy("index_date").parquet(f"{run}/history")
+    ST.drop_expired(spark, f"{run}/history", days=7, as_of=datetime.date(2024, 1, 30))
+    return spark.read.parquet(f"{run}/history").groupBy("index_date").agg(F.count("*").alias("n"))
