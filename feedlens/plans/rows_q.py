@@ -614,3 +614,19 @@ def message_times(spark, sf_dir):
     return stamp(s, "ingested_at", at="2024-02-01 00:00:00").select(
         "id", "platform", F.col("ingested_at").cast("timestamp_ntz").alias("ingested_at"), "at",
         X.utc_date(X.iso_ts("at")).alias("day"), "score", "non_negative")
+
+
+@register("score_mllib_held_out")
+def score_mllib_held_out(spark, sf_dir):
+    """U1(b): agreement of labels and predictions on labelled documents that the
+    scorer was not trained on (one in four, by the hash of the id)."""
+    from feedlens.constants import SENTIMENT_LABELS
+    from feedlens.scoring.mllib import MLlibScorer, labelled_documents
+    rows = labelled_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    held = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    scorer = MLlibScorer(max_iter=20).fit(rows.where(~held))
+    out = scorer.class_scores(rows.where(held), "text", emotion=False)
+    return M.label_confusion(out.select(
+        X.argmax_label("_sent_scores", SENTIMENT_LABELS).alias("predicted"),
+        F.element_at(F.array(*map(F.lit, SENTIMENT_LABELS)), F.col("label").cast("int") + 1).alias("expected")),
+        "predicted", "expected")

@@ -16,12 +16,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 NUM_FEATURES = 1 << 18
+MAX_LABELLED = 50_000  # labelled rows that a scorer is trained on
 
 
-def labelled_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """Training rows from the driver's ``labels``: toxic -> negative (0),
-    quality without toxicity -> positive (2), otherwise neutral (1)."""
-    lab = labels.select("doc_id", F.when(F.col("toxic") == 1, 0.0)
+def labelled_documents(documents: DataFrame, labels: DataFrame, max_rows: int = MAX_LABELLED) -> DataFrame:
+    """(doc_id, text, label) from the driver's ``labels``: toxic -> negative (0),
+    quality without toxicity -> positive (2), otherwise neutral (1). At most
+    ``max_rows``, those with the smallest hashes of their ids."""
+    lab = labels.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows).select("doc_id", F.when(F.col("toxic") == 1, 0.0)
                         .when(F.col("quality") == 1, 2.0).otherwise(1.0).alias("label"))
     return documents.select("doc_id", "text").join(lab, "doc_id")
 
