@@ -478,7 +478,6 @@ def stream_aggregate_history(spark, sf_dir):
     run = _run_dir(spark, "stream_agg")
 
     def store(batch, i):
-        batch = batch.coalesce(1)  # a few rows per window and segment
         for _ in range(2 if i == 1 else 1):
             ST.write_aggregate_history(batch, f"{run}/history", i)
 
@@ -528,7 +527,7 @@ def stream_late_rows(spark, sf_dir):
     run = _run_dir(spark, "stream_late")
     ev = read_table(spark, sf_dir, "events")
     for part in ("ts < '2024-01-20'", "ts >= '2024-01-20'", "ts < '2024-01-05'"):
-        ev.where(part).coalesce(1).write.mode("append").parquet(f"{run}/in/events.parquet")
+        ev.where(part).write.mode("append").parquet(f"{run}/in/events.parquet")
     timed = J.with_lateness(events_stream(spark, f"{run}/in", max_files=1), "ts", "1 day")
     win = timed.groupBy(F.window("ts", "1 day").alias("w")).agg(F.count("*").alias("n")).select(
         F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), F.lit("overall").alias("dim"),
