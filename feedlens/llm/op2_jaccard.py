@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedlens.llm import setrel, textbytes
@@ -182,9 +182,11 @@ def jaccard_classes(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5)
         .dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("doc"), "n", "h1", "sketch"), "entries")
 
     # lists with two sets at least; lists with the same sets are one
-    post = sets.select(F.explode("keys").alias("key"), "h1")
-    twice = post.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
-    rows = written(post.join(twice, "key").distinct().join(about, "h1").drop("h1"), "postings")
+    # one shuffle of the keys: a window spills the rows of a long list, so no task has to
+    # hold one, and copies within a task have listed their keys once
+    post = sets.select(F.explode("keys").alias("key"), "h1") \
+        .withColumn("c", F.count("*").over(Window.partitionBy("key"))).where("c > 1").select("key", "h1")
+    rows = written(post.distinct().join(about, "h1").drop("h1"), "postings")
     lists = rows.groupBy("key").agg(F.count("*").alias("len"), F.min("doc").alias("lead"),
                                     F.bit_xor(F.xxhash64("doc")).alias("x")).where("len > 1")
     lists = written(lists.groupBy("len", "lead", "x").agg(F.min("key").alias("key")), "lists")
