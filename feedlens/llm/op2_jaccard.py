@@ -42,21 +42,40 @@ def _sketch(tok: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8).reshape(n, -1), axis=1).view(np.int64)
 
 
-def _sets(words: int, num: int, den: int):
+def _digests(tok: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Two 64-bit digests of each set."""
+    some = np.diff(bounds) > 0
+    digest = np.zeros((2, len(bounds) - 1), np.uint64)
+    if len(tok):
+        at = bounds[:-1][some]
+        digest[0, some] = np.add.reduceat(textbytes.mix(tok), at)
+        digest[1, some] = np.add.reduceat(textbytes.mix(tok ^ np.uint64(0xA5A5A5A5)), at)
+    return digest
+
+
+def _sets(words: int):
     def run(batches):
-        seen: set[int] = set()  # digests whose keys this task has listed already
         for batch in batches:
-            ids = batch.column(0)
             for d, e, tok, bounds in textbytes.shingle_sets(batch.column(1), words):
-                n = np.diff(bounds)
-                some = n > 0
-                digest = np.zeros((2, e - d), np.uint64)
-                if len(tok):
-                    at = bounds[:-1][some]
-                    digest[0, some] = np.add.reduceat(textbytes.mix(tok), at)
-                    digest[1, some] = np.add.reduceat(textbytes.mix(tok ^ np.uint64(0xA5A5A5A5)), at)
+                digest = _digests(tok, bounds).view(np.int64)
+                yield pa.RecordBatch.from_arrays([
+                    batch.column(0).slice(d, e - d), pa.array(np.diff(bounds), pa.int64()),
+                    pa.array(digest[0]), pa.array(digest[1]),
+                    pa.ListArray.from_arrays(pa.array(np.arange(e - d + 1) * SKETCH, pa.int32()),
+                                             pa.array(_sketch(tok, bounds).reshape(-1))),
+                ], names=["doc_id", "n", "h1", "h2", "sketch"])
+    return run
+
+
+def _list_keys(words: int, num: int, den: int):
+    """(key, h1): the list keys of each set, once per task for equal sets."""
+    def run(batches):
+        seen: set[int] = set()
+        for batch in batches:
+            for d, e, tok, bounds in textbytes.shingle_sets(batch.column(1), words):
+                digest, n = _digests(tok, bounds)[0], np.diff(bounds)
                 fresh = np.zeros(e - d, bool)
-                for i, x in enumerate(digest[0].tolist()):
+                for i, x in enumerate(digest.tolist()):
                     if x not in seen:
                         seen.add(x)
                         fresh[i] = True
@@ -64,24 +83,20 @@ def _sets(words: int, num: int, den: int):
                     seen.clear()
                 own = np.where(fresh, n, 0)
                 keys, kb = setrel.block_keys(tok[np.repeat(fresh, n)], np.concatenate([[0], np.cumsum(own)]), num, den)
-                sk = _sketch(tok, bounds).reshape(-1)
-                yield pa.RecordBatch.from_arrays([
-                    ids.slice(d, e - d), pa.array(n, pa.int64()),
-                    pa.array(digest[0].view(np.int64)), pa.array(digest[1].view(np.int64)),
-                    pa.ListArray.from_arrays(pa.array(np.arange(e - d + 1) * SKETCH, pa.int32()), pa.array(sk)),
-                    pa.ListArray.from_arrays(pa.array(kb, pa.int32()), pa.array(keys.view(np.int64))),
-                ], names=["doc_id", "n", "h1", "h2", "sketch", "keys"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys.view(np.int64)), pa.array(np.repeat(digest, np.diff(kb)).view(np.int64))],
+                    names=["key", "h1"])
     return run
 
 
 def _tokens(words: int):
     def run(batches):
         for batch in batches:
-            for d, e, tok, bounds in textbytes.shingle_sets(batch.column(2), words):
+            for d, e, tok, bounds in textbytes.shingle_sets(batch.column(3), words):
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(d, e - d), batch.column(1).slice(d, e - d),
+                    *(batch.column(c).slice(d, e - d) for c in range(3)),
                     pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(tok.view(np.int64))),
-                ], names=["doc_id", "family", "toks"])
+                ], names=["doc_id", "family", "tokens", "toks"])
     return run
 
 
@@ -170,8 +185,7 @@ def jaccard_classes(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5)
     short_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL")
     sets = written(docs.mapInArrow(
-        _sets(words, num, den),
-        "doc_id long, n long, h1 long, h2 long, sketch array<long>, keys array<long>"), "sets")
+        _sets(words), "doc_id long, n long, h1 long, h2 long, sketch array<long>"), "sets")
 
     # equal sets are one entry
     member = sets.select("doc_id", "n", "h1", "h2")
@@ -184,7 +198,7 @@ def jaccard_classes(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5)
     # lists with two sets at least; lists with the same sets are one
     # one shuffle of the keys: a window spills the rows of a long list, so no task has to
     # hold one, and copies within a task have listed their keys once
-    post = sets.select(F.explode("keys").alias("key"), "h1") \
+    post = docs.mapInArrow(_list_keys(words, num, den), "key long, h1 long") \
         .withColumn("c", F.count("*").over(Window.partitionBy("key"))).where("c > 1").select("key", "h1")
     rows = written(post.distinct().join(about, "h1").drop("h1"), "postings")
     lists = rows.groupBy("key").agg(F.count("*").alias("len"), F.min("doc").alias("lead"),
@@ -210,10 +224,10 @@ def jaccard_classes(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5)
     # whole sets, of the families only; a merge join at every size, as the families grow with the input
     fam = written(about.select(F.col("doc").alias("doc_id"), "n").join(
         family.withColumnRenamed("id", "doc_id"), "doc_id").withColumnRenamed("component", "family"), "families")
-    toks = fam.select("doc_id", "family").hint("merge").join(docs, "doc_id") \
-        .select("doc_id", "family", "text").mapInArrow(_tokens(words), "doc_id long, family long, toks array<long>")
     size = fam.groupBy("family").agg(F.sum("n").alias("tokens"))
-    toks = written(toks.join(size, "family"), "tokens")
+    toks = written(fam.join(size, "family").select("doc_id", "family", "tokens").hint("merge").join(docs, "doc_id")
+                   .select("doc_id", "family", "tokens", "text")
+                   .mapInArrow(_tokens(words), "doc_id long, family long, tokens long, toks array<long>"), "tokens")
     small = toks.where(F.col("tokens") <= FAMILY_TOKENS).withColumn("i", F.lit(0)).withColumn("j", F.lit(0)) \
         .withColumn("grp", F.col("doc_id"))
     large = toks.where(F.col("tokens") > FAMILY_TOKENS)
