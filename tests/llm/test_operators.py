@@ -286,6 +286,13 @@ def test_recurring_lines(spark):
     assert op5.drop_recurring(awkward(spark)).count() == 11
 
 
+def test_pipeline_drops_short_recurring_lines(spark):
+    rows = [(i, f"All rights reserved.\n \n\npage {i}\nbody number {'abcdefgh'[i]} of this") for i in range(5)]
+    rows += [(9, "Seen thrice."), (10, "Seen thrice.\nx"), (11, "y\nSeen thrice.")]
+    got = {x.doc_id: x.text for x in corpus_pipeline.line_dedup(spark, docs(spark, rows), SF).collect()}
+    assert got == {i: t.replace("All rights reserved.\n", "") if 0 < i < 5 else t for i, t in rows}
+
+
 def test_line_dedup_runs_no_python(spark):
     plan = op5.drop_recurring(docs(spark, [(1, "a")]))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
