@@ -35,12 +35,13 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without their recurring lines, short ones included; n_chars
-    follows the text. A document of which nothing but white space is left goes."""
+    """Documents without their recurring lines, short ones included, long ones
+    from two texts on; n_chars follows the text. A document of which nothing but
+    white space is left goes."""
     own = [c for c in ("n_lines", "n_dropped") if c in docs.columns]
     for c in own:
         docs = docs.withColumnRenamed(c, f"__{c}")
-    out = drop_recurring(docs, min_tokens=1).where(
+    out = drop_recurring(docs, min_tokens=1, long_docs=2).where(
         (F.col("n_dropped") == 0) | F.coalesce(F.col("text").rlike(r"[^\s]"), F.lit(True)))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("n_dropped") == 0, F.col("n_chars")).otherwise(

@@ -293,6 +293,14 @@ def test_pipeline_drops_short_recurring_lines(spark):
     assert got == {i: t.replace("All rights reserved.\n", "") if 0 < i < 5 else t for i, t in rows}
 
 
+def test_pipeline_drops_long_passages_from_two_texts_on(spark):
+    passage = " ".join(f"word{'abcdefghij'[i % 10]}{'klmnop'[i // 10]}" for i in range(50))
+    shorter, wide = passage[:passage.rindex(" ")], "few words " + " " * 60 + "far apart"
+    rows = [(1, f"one\n{passage}"), (2, f"two\n{passage}\nend"), (3, f"three\n{shorter}\n{wide}"), (4, f"{shorter}\n{wide}")]
+    got = {x.doc_id: x.text for x in corpus_pipeline.line_dedup(spark, docs(spark, rows), SF).collect()}
+    assert got == dict(rows) | {2: "two\nend"}
+
+
 def test_line_dedup_runs_no_python(spark):
     plan = op5.drop_recurring(docs(spark, [(1, "a")]))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
