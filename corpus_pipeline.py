@@ -41,7 +41,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     own = [c for c in ("n_lines", "n_dropped") if c in docs.columns]
     for c in own:
         docs = docs.withColumnRenamed(c, f"__{c}")
-    out = drop_recurring(docs, min_tokens=1, long_docs=2).where(
+    out = drop_recurring(docs, min_tokens=1, long_docs=2, all_templates=True).where(
         (F.col("n_dropped") == 0) | F.coalesce(F.col("text").rlike(r"[^\s]"), F.lit(True)))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("n_dropped") == 0, F.col("n_chars")).otherwise(

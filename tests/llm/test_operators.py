@@ -301,6 +301,18 @@ def test_pipeline_drops_long_passages_from_two_texts_on(spark):
     assert got == dict(rows) | {2: "two\nend"}
 
 
+def test_templates_of_one_leaf(spark):
+    fill = ["ash", "birchwood", "cedars", "dogwood", "elm", "firs", "ginkgo", "hazel"]
+    kinds = ["the user {} has left the room again today", "the user {} cannot open any of his files",
+             "the user {} sends us twelve new long letters"]
+    rows = [(0, "the user was here and nobody ever saw him")]  # the earliest line of the leaf is like no other
+    rows += [(1 + 8 * k + i, kind.replace("the user", "the user of this").format(f) + f"\nown {f} of {k} here")
+             for k, kind in enumerate(kinds) for i, f in enumerate(fill)]
+    rows[0] = (0, "the user of this place was here as nobody ever saw")
+    got = {x.doc_id: x.n_dropped for x in op5.drop_recurring(docs(spark, rows), all_templates=True).collect()}
+    assert got == {i: int(i > 0 and i % 8 != 1) for i, _ in rows}
+
+
 def test_line_dedup_runs_no_python(spark):
     plan = op5.drop_recurring(docs(spark, [(1, "a")]))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
