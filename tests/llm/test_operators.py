@@ -487,6 +487,23 @@ def test_every_changed_text_is_suspicious():
             assert odd or words(lm.restore(t)) == words(t.lower())
 
 
+def test_texts_with_wide_symbols_are_suspicious():
+    lm = op10.CharModel(np.ones(28 ** 3))
+    r = random.Random(9)
+    changed = 0
+    for t in ["f€ck", "§hit", "the £", "a ¡b"] + ["".join(r.choices("aab1 @!.€£¡§é’", k=r.randint(1, 12))) for _ in range(3000)]:
+        b = t.encode()
+        buf, off = np.frombuffer(b, np.uint8), np.array([0, len(b)])
+        s, e, doc = textbytes.spans(buf, off)
+        keep = textbytes.trim(buf, s, e)
+        if lm.restore(t) != t.lower() and len(s[keep]):
+            odd = op10.suspicious(buf, s[keep], e[keep], doc[keep], 1)[0]
+            words = lambda x: sorted(w.strip("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~") for w in x.split())
+            assert odd or words(lm.restore(t)) == words(t.lower()), t
+            changed += odd
+    assert changed > 1000
+
+
 def test_toxicity_held_out_accuracy(spark):
     d, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     got = op10.fit(d, labels).score(d.select("doc_id", "text")).where(op10.held_out("doc_id")).join(labels, "doc_id").toPandas()
