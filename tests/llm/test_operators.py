@@ -8,6 +8,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -504,6 +505,17 @@ def test_texts_with_wide_symbols_are_suspicious():
     assert changed > 1000
 
 
+def test_marks_at_the_edges_are_letters_or_nothing():
+    text = " ".join(["shit idiot ass cunt"] * 3 + ["the rain is over and a day was good in town fish"] * 20).encode()
+    got = next(op10._trigrams([pa.RecordBatch.from_pydict({"t": [text.decode()]})]))
+    counts = np.zeros(28 ** 3)
+    counts[got["tri"].to_numpy()] = got["n"].to_numpy()
+    lm = op10.CharModel(counts)
+    for t, want in (("sh!+", "shit"), ("a$$", "ass"), ("idio+", "idiot"), ("!diot", "idiot"), ("(unt", "cunt"),
+                    ('"sh!+".', "shit"), ("rain!", "rain!"), ("town!!", "town!!"), ("(the", "(the"), ("day$$$", "day$$$")):
+        assert lm.restore(t) == want, t
+
+
 def test_toxicity_held_out_accuracy(spark):
     d, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     got = op10.fit(d, labels).score(d.select("doc_id", "text")).where(op10.held_out("doc_id")).join(labels, "doc_id").toPandas()
