@@ -5,7 +5,9 @@ with other values has the same template. Template windows of the documents
 are hash-joined with those of the benchmark; matches on one alignment
 (document position minus item position) belong together, and an alignment
 counts if the values in its slots are consistent: the same value of the item
-always stands where the same value of the document stands.
+always stands where the same value of the document stands. Windows that are
+mostly numbers and units have too little of a template; they are matched word
+for word, and an alignment of them counts by itself.
 
 Scale: the texts are scanned once. While the benchmark's windows are few
 (MAX_KEYS, checked by a count), their hashes go to the tasks and windows that
@@ -85,6 +87,11 @@ def template(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return t, h, number | unit | name, name, doc
 
 
+def mix_word(t: np.ndarray, j: int) -> np.ndarray:
+    """Share of word ``j`` in the hash of a window."""
+    return tb.mix(t + _U(j + 1)) * _U((2 * j + 1) * 0x9E3779B97F4A7C15 % 2**64 | 1)
+
+
 def windows(t: np.ndarray, slot: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """(first word, hash) of the windows of ``n`` template words, at least half of them literal."""
     m = len(t) - n + 1
@@ -92,13 +99,27 @@ def windows(t: np.ndarray, slot: np.ndarray, doc: np.ndarray, n: int) -> tuple[n
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     acc = np.zeros(m, np.uint64)
     for j in range(n):
-        acc += tb.mix(t[j:j + m] + _U(j + 1)) * _U((2 * j + 1) * 0x9E3779B97F4A7C15 % 2**64 | 1)
+        acc += mix_word(t[j:j + m], j)
     slots = np.concatenate([[0], np.cumsum(slot)])
     at = np.flatnonzero((doc[:m] == doc[n - 1:]) & (2 * (slots[n:] - slots[:m]) <= n))
     return at, tb.mix(acc[at] + _U(n))
 
 
-_SCHEMA = "id long, row long, key long, pos int, n int, slots array<int>, vals array<long>, words int"
+def literal_windows(h: np.ndarray, slot: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first word, hash) of the windows of ``n`` words, more than half of them slots, by their words."""
+    m = len(h) - n + 1
+    if m <= 0:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    slots = np.concatenate([[0], np.cumsum(slot)])
+    at = np.flatnonzero((doc[:m] == doc[n - 1:]) & (2 * (slots[n:] - slots[:m]) > n))
+    acc = np.zeros(len(at), np.uint64)
+    for j in range(n):
+        acc += mix_word(h[at + j], j)
+    return at, tb.mix(acc + _U(n + _LITERAL))
+
+
+_LITERAL = 1 << 20  # keeps the hashes of literal windows apart
+_SCHEMA = "id long, row long, key long, pos int, n int, vals array<long>, literal boolean"
 
 
 def _emit(lengths: list[int] | None, keys: np.ndarray | None):
@@ -115,10 +136,13 @@ def _emit(lengths: list[int] | None, keys: np.ndarray | None):
                 as_words = np.zeros(e - d, bool)
                 as_words[doc[name]] = True
                 again = np.flatnonzero(as_words[doc])
-                for n, which in [(n, w) for n in lengths or range(1, WINDOW + 1) for w in range(1 + (len(again) > 0))]:
-                    if which:
+                variants = [0, 1, 2] if len(again) else [0, 2]
+                for n, which in [(n, w) for n in lengths or range(1, WINDOW + 1) for w in variants]:
+                    if which == 1:
                         at, key = windows(np.where(name, h, t)[again], (slot & ~name)[again], doc[again], n)
                         at = again[at]  # the words of a text stay together
+                    elif which:  # windows that neither way has: mostly numbers and units
+                        at, key = literal_windows(h, slot & ~name, doc, n)
                     else:
                         at, key = windows(t, slot, doc, n)
                     if lengths is None and n < WINDOW:
@@ -130,16 +154,15 @@ def _emit(lengths: list[int] | None, keys: np.ndarray | None):
                     if not len(at):
                         continue
                     grid = at[:, None] + np.arange(n)
-                    hit, col = np.nonzero((slot & ~name if which else slot)[grid])
+                    hit, col = np.nonzero([slot, slot & ~name, np.zeros_like(slot)][which][grid])
                     bounds = pa.array(np.searchsorted(hit, np.arange(len(at) + 1)), pa.int32())
                     of = pa.array(doc[at] + d)
                     yield pa.RecordBatch.from_arrays([
                         batch.column(0).take(of), batch.column(1).take(of), pa.array(key.view(np.int64)),
                         pa.array((at - first[doc[at]]).astype(np.int32)), pa.array(np.full(len(at), n, np.int32)),
-                        pa.ListArray.from_arrays(bounds, pa.array(col.astype(np.int32))),
                         pa.ListArray.from_arrays(bounds, pa.array(h[grid[hit, col]].view(np.int64))),
-                        pa.array(count[doc[at]].astype(np.int32))],
-                        names=["id", "row", "key", "pos", "n", "slots", "vals", "words"])
+                        pa.array(np.full(len(at), which == 2))],
+                        names=["id", "row", "key", "pos", "n", "vals", "literal"])
     return run
 
 
@@ -150,7 +173,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     Needs ``doc_id``, ``text`` and ``item_id``, ``text``; other columns are
     ignored. Null, empty and blank texts contain nothing and are contained in
-    nothing, nor are items without a window that is at least half literal.
+    nothing. Windows of more than half slots match word for word only, and are
+    counted apart from the others.
     Repeated rows give one row; rows of a null id are reported under null.
     """
     short_batches(docs.sparkSession)
@@ -164,14 +188,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         keys = np.sort(np.array([r.key for r in item.select("key").distinct().toLocalIterator()],
                                 np.int64).view(np.uint64))
     found = d.mapInArrow(_emit(stats.n or [WINDOW], keys), _SCHEMA)
-    total = item.groupBy("id", "row").agg(F.countDistinct("pos").alias("item_windows"))
-    i = item.join(total, ["id", "row"]).select(
-        F.col("id").alias("item_id"), F.col("row").alias("item_row"), "key", F.col("pos").alias("ipos"),
+    total = item.groupBy("id", "row", "literal").agg(F.countDistinct("pos").alias("item_windows"))
+    i = item.join(total, ["id", "row", "literal"]).select(
+        F.col("id").alias("item_id"), F.col("row").alias("item_row"), "key", "literal", F.col("pos").alias("ipos"),
         F.col("vals").alias("ivals"), "item_windows")
-    m = written(found.join(i, "key").select(
-        F.col("id").alias("doc_id"), "row", "item_id", "item_row", "item_windows", "ipos",
+    m = written(found.drop("literal").join(i, "key").select(
+        F.col("id").alias("doc_id"), "row", "item_id", "item_row", "item_windows", "literal", "ipos",
         (F.col("pos") - F.col("ipos")).alias("shift"), F.arrays_zip("ivals", "vals").alias("pair")), "matches")
-    by = ["doc_id", "row", "item_id", "item_row", "shift"]
+    by = ["doc_id", "row", "item_id", "item_row", "literal", "shift"]
     cover = m.groupBy(*by, "item_windows").agg(F.countDistinct("ipos").alias("n_windows"))
     values = m.select(*by, F.explode("pair").alias("p")).groupBy(*by, F.col("p.ivals").alias("iv")) \
         .agg(F.min("p.vals").alias("lo"), F.max("p.vals").alias("hi")) \
@@ -184,6 +208,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return cover.alias("c").join(values.alias("v"), cond, "left") \
         .where((F.col("n_windows") >= COVERED * F.col("item_windows")) & F.coalesce("consistent", F.lit(True))) \
         .groupBy("c.doc_id", "c.item_id").agg(
-            F.max(F.struct("n_windows", F.coalesce("same", F.lit(True)).alias("same"), "item_windows")).alias("x")) \
+            # template windows come first
+            F.max(F.struct((~F.col("c.literal")).alias("t"), "n_windows", F.coalesce("same", F.lit(True)).alias("same"), "item_windows")).alias("x")) \
         .select("doc_id", "item_id", F.when(F.col("x.same"), "exact").otherwise("reparameterised").alias("kind"),
                 F.col("x.n_windows").cast("long").alias("n_windows"), F.col("x.item_windows").cast("long").alias("item_windows"))

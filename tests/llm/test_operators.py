@@ -175,6 +175,19 @@ def test_contaminated(spark, monkeypatch):
     assert op3.contaminated(rows, items.limit(0)).count() == 0
 
 
+def test_items_made_of_numbers_match_word_for_word(spark, monkeypatch):
+    items = spark.createDataFrame([(1, "Convert 5 miles 3 yards 2 feet"), (2, "1 1 2 3 5 8 13 21 34 55 89 what is next"),
+                                   (3, "twenty plus 7 hours 5 minutes")], "item_id long, text string")
+    rows = docs(spark, [(1, "so convert 5 miles 3 yards 2 feet, he said"), (2, "convert 6 miles 3 yards 2 feet"),
+                        (3, "x 1 1 2 3 5 8 13 21 34 55 89 what is next y"), (4, "1 2 3 4 5 6 7 8 9 10 11 12 13"),
+                        (5, "plus twenty 7 hours 5 minutes"), (6, "Twenty plus 7 hours 5 minutes")])
+    for most in (op3.MAX_KEYS, 0):
+        monkeypatch.setattr(op3, "MAX_KEYS", most)
+        got = op3.contaminated(rows, items).collect()
+        assert {(x.doc_id, x.item_id, x.kind) for x in got} == {(1, 1, "exact"), (3, 2, "exact"), (6, 3, "exact")}
+        assert len(got) == 3
+
+
 def test_contamination_matches_substring_search(spark):
     d, b = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
     clean = lambda t: " ".join(re.sub(r"[^\w\s]", "", t.lower()).split())
