@@ -1,7 +1,8 @@
 """Benchmark decontamination by canonical templates.
 
 Numbers, names and units become typed placeholders, so a question asked again
-with other values has the same template. Template windows of the documents
+with other values has the same template. Names in a row are one name, and so are
+numbers spelled in several words. Template windows of the documents
 are hash-joined with those of the benchmark; matches on one alignment
 (document position minus item position) belong together, and an alignment
 counts if the values in its slots are consistent: the same value of the item
@@ -59,12 +60,14 @@ def _hashes(words: list[str]) -> np.ndarray:
 _NUMBER_HASH, _UNIT_HASH = _hashes(NUMBER_WORDS), _hashes(UNIT_WORDS)
 
 
-def template(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(template hash, word hash, is a slot, is a name, document) of each word.
+def template(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(template hash, word hash, is a slot, is a name, document, goes on a run) of each word.
 
     Words lose the punctuation around them; what has none left is no word. A
     number is made of digits and number punctuation or is a written one; a
-    unit follows a number; a name begins with A-Z inside a sentence.
+    unit follows a number; a name begins with A-Z inside a sentence. Names one
+    after another, and written numbers behind a number, are runs if no
+    punctuation parts them.
     """
     s, e, doc = tb.spans(buf, off)
     raw_last = buf[e - 1] if len(e) else np.zeros(0, np.uint8)
@@ -73,18 +76,35 @@ def template(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     if len(s) > 1:  # a line break ends a sentence
         lines = np.concatenate([[0], np.cumsum(buf == 10)])
         begin[1:] |= lines[s[1:]] != lines[s[:-1]]
+    raw_s, raw_e = s.copy(), e.copy()
     ok = tb.trim(buf, s, e)
-    s, e, doc, begin = s[ok], e[ok], doc[ok], begin[ok]
+    apart = np.ones(len(s), bool)
+    apart[1:] = ~ok[:-1] | (raw_e != e)[:-1] | (raw_s != s)[1:] | begin[1:]
+    s, e, doc, begin, apart = s[ok], e[ok], doc[ok], begin[ok], apart[ok]
     h = tb.hash_spans(buf, s, e)
     odd = np.concatenate([[0], np.cumsum(~_NUMERIC[buf])])
-    number = ((odd[e] == odd[s]) & _DIGIT[buf[s]]) | tb.member(_NUMBER_HASH, h) if len(s) else np.zeros(0, bool)
+    spelled = tb.member(_NUMBER_HASH, h)
+    number = ((odd[e] == odd[s]) & _DIGIT[buf[s]]) | spelled if len(s) else np.zeros(0, bool)
     unit = np.zeros(len(s), bool)
     unit[1:] = number[:-1] & (doc[1:] == doc[:-1])
     unit &= tb.member(_UNIT_HASH, h) & ~number
     upper = np.concatenate([[0], np.cumsum(_UPPER[buf])])
     name = _UPPER[buf[s]] & (upper[e] - upper[s] == 1) & ~begin & ~number & ~unit if len(s) else number
     t = np.where(number, _NUM, np.where(unit, _UNIT, np.where(name, _NAME, h)))
-    return t, h, number | unit | name, name, doc
+    on = np.zeros(len(s), bool)
+    on[1:] = ~apart[1:] & (name[1:] & name[:-1] | spelled[1:] & number[:-1])
+    return t, h, number | unit | name, name, doc, on
+
+
+def collapse(t: np.ndarray, h: np.ndarray, slot: np.ndarray, doc: np.ndarray, on: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(template hash, value hash, is a slot, document, first word) with each run as one slot."""
+    at = np.flatnonzero(~on)
+    if len(at) == len(on):
+        return t, h, slot, doc, at
+    nth = np.arange(len(on)) - np.repeat(at, np.diff(np.append(at, len(on))))
+    value = np.add.reduceat(tb.mix(h + nth.astype(np.uint64)) * (_U(2) * nth.astype(np.uint64) + _U(1)), at)
+    long = np.diff(np.append(at, len(on))) > 1
+    return t[at], np.where(long, tb.mix(value), h[at]), slot[at], doc[at], at
 
 
 def mix_word(t: np.ndarray, j: int) -> np.ndarray:
@@ -119,7 +139,7 @@ def literal_windows(h: np.ndarray, slot: np.ndarray, doc: np.ndarray, n: int) ->
 
 
 _LITERAL = 1 << 20  # keeps the hashes of literal windows apart
-_SCHEMA = "id long, row long, key long, pos int, n int, vals array<long>, literal boolean"
+_SCHEMA = "id long, row long, key long, pos int, unit int, n int, vals array<long>, literal boolean"
 
 
 def _emit(lengths: list[int] | None, keys: np.ndarray | None):
@@ -129,24 +149,30 @@ def _emit(lengths: list[int] | None, keys: np.ndarray | None):
         for batch in batches:
             buf, off = tb.buffers(batch.column(2))
             for d, e in tb.slices(off):
-                t, h, slot, name, doc = template(buf[off[d]:off[e]], off[d:e + 1] - off[d])
-                count = np.bincount(doc, minlength=e - d)
-                first = np.concatenate([[0], np.cumsum(count)])
+                t, h, slot, name, doc, on = template(buf[off[d]:off[e]], off[d:e + 1] - off[d])
+                first = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=e - d))])
+                # positions are counted in words, and with runs as one
+                unit = np.concatenate([[0], np.cumsum(~on)])
+                variants = {0: collapse(t, h, slot, doc, on)}
                 # texts with names also once with their names as words: a capital may be no name
                 as_words = np.zeros(e - d, bool)
                 as_words[doc[name]] = True
-                again = np.flatnonzero(as_words[doc])
-                variants = [0, 1, 2] if len(again) else [0, 2]
+                again = np.flatnonzero(as_words[doc])  # the words of a text stay together
+                if len(again):
+                    *of_words, at = collapse(*(x[again] for x in (
+                        np.where(name, h, t), h, slot & ~name, doc, on & ~name)))
+                    variants[1] = *of_words, again[at]
+                # words as they are, for windows that neither way has: mostly numbers and units
+                variants[2] = t, h, slot & ~name, doc, np.arange(len(t))
+                counts = {w: np.bincount(v[3], minlength=e - d) for w, v in variants.items()}
                 for n, which in [(n, w) for n in lengths or range(1, WINDOW + 1) for w in variants]:
-                    if which == 1:
-                        at, key = windows(np.where(name, h, t)[again], (slot & ~name)[again], doc[again], n)
-                        at = again[at]  # the words of a text stay together
-                    elif which:  # windows that neither way has: mostly numbers and units
-                        at, key = literal_windows(h, slot & ~name, doc, n)
+                    wt, wh, wslot, wdoc, word = variants[which]
+                    if which == 2:
+                        at, key = literal_windows(wh, wslot, wdoc, n)
                     else:
-                        at, key = windows(t, slot, doc, n)
+                        at, key = windows(wt, wslot, wdoc, n)
                     if lengths is None and n < WINDOW:
-                        keep = count[doc[at]] == n
+                        keep = counts[which][wdoc[at]] == n
                         at, key = at[keep], key[keep]
                     if keys is not None:
                         keep = tb.member(keys, key)
@@ -154,15 +180,16 @@ def _emit(lengths: list[int] | None, keys: np.ndarray | None):
                     if not len(at):
                         continue
                     grid = at[:, None] + np.arange(n)
-                    hit, col = np.nonzero([slot, slot & ~name, np.zeros_like(slot)][which][grid])
+                    hit, col = np.nonzero(wslot[grid] & (which < 2))
                     bounds = pa.array(np.searchsorted(hit, np.arange(len(at) + 1)), pa.int32())
-                    of = pa.array(doc[at] + d)
+                    of, at = wdoc[at], word[at]
                     yield pa.RecordBatch.from_arrays([
-                        batch.column(0).take(of), batch.column(1).take(of), pa.array(key.view(np.int64)),
-                        pa.array((at - first[doc[at]]).astype(np.int32)), pa.array(np.full(len(at), n, np.int32)),
-                        pa.ListArray.from_arrays(bounds, pa.array(h[grid[hit, col]].view(np.int64))),
+                        batch.column(0).take(pa.array(of + d)), batch.column(1).take(pa.array(of + d)),
+                        pa.array(key.view(np.int64)), pa.array((at - first[of]).astype(np.int32)),
+                        pa.array((unit[at + 1] - 1 - unit[first[of]]).astype(np.int32)), pa.array(np.full(len(at), n, np.int32)),
+                        pa.ListArray.from_arrays(bounds, pa.array(wh[grid[hit, col]].view(np.int64))),
                         pa.array(np.full(len(at), which == 2))],
-                        names=["id", "row", "key", "pos", "n", "vals", "literal"])
+                        names=["id", "row", "key", "pos", "unit", "n", "vals", "literal"])
     return run
 
 
@@ -188,14 +215,19 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         keys = np.sort(np.array([r.key for r in item.select("key").distinct().toLocalIterator()],
                                 np.int64).view(np.uint64))
     found = d.mapInArrow(_emit(stats.n or [WINDOW], keys), _SCHEMA)
-    total = item.groupBy("id", "row", "literal").agg(F.countDistinct("pos").alias("item_windows"))
+    total = item.groupBy("id", "row", "literal").agg(
+        F.countDistinct("pos").alias("by_words"), F.countDistinct("unit").alias("by_units"))
     i = item.join(total, ["id", "row", "literal"]).select(
         F.col("id").alias("item_id"), F.col("row").alias("item_row"), "key", "literal", F.col("pos").alias("ipos"),
-        F.col("vals").alias("ivals"), "item_windows")
+        F.col("unit").alias("iunit"), F.col("vals").alias("ivals"), "by_words", "by_units")
+    # an alignment has a fixed shift in words or, where runs differ in length, in units
+    ways = F.array(*[F.struct(F.lit(w).alias("way"), F.col(i).alias("ipos"), (F.col(p) - F.col(i)).alias("shift"),
+                              F.col(c).alias("item_windows"))
+                     for w, p, i, c in ((0, "pos", "ipos", "by_words"), (1, "unit", "iunit", "by_units"))])
     m = written(found.drop("literal").join(i, "key").select(
-        F.col("id").alias("doc_id"), "row", "item_id", "item_row", "item_windows", "literal", "ipos",
-        (F.col("pos") - F.col("ipos")).alias("shift"), F.arrays_zip("ivals", "vals").alias("pair")), "matches")
-    by = ["doc_id", "row", "item_id", "item_row", "literal", "shift"]
+        F.col("id").alias("doc_id"), "row", "item_id", "item_row", "literal", F.arrays_zip("ivals", "vals").alias("pair"),
+        F.explode(ways).alias("w")).select("*", "w.*").drop("w"), "matches")
+    by = ["doc_id", "row", "item_id", "item_row", "literal", "way", "shift"]
     cover = m.groupBy(*by, "item_windows").agg(F.countDistinct("ipos").alias("n_windows"))
     values = m.select(*by, F.explode("pair").alias("p")).groupBy(*by, F.col("p.ivals").alias("iv")) \
         .agg(F.min("p.vals").alias("lo"), F.max("p.vals").alias("hi")) \

@@ -188,6 +188,21 @@ def test_items_made_of_numbers_match_word_for_word(spark, monkeypatch):
         assert len(got) == 3
 
 
+def test_values_of_several_words(spark, monkeypatch):
+    items = spark.createDataFrame([
+        (1, "yesterday at noon old Mary sold 25 red apples to her friends"),
+        (2, "if Bob pays twenty five coins what is left of it now")], "item_id long, text string")
+    rows = docs(spark, [(1, "x yesterday at noon old Mary Ann sold twenty five red apples to her friends"),
+                        (2, "well if Tom Lee pays 9 coins what is left of it now"),
+                        (3, "if Bob pays twenty five coins what is left of it now"), (4, "old Mary Ann sold 25 apples")])
+    for most in (op3.MAX_KEYS, 0):
+        monkeypatch.setattr(op3, "MAX_KEYS", most)
+        got = op3.contaminated(rows, items).collect()
+        assert {(x.doc_id, x.item_id, x.kind) for x in got} == {
+            (1, 1, "reparameterised"), (2, 2, "reparameterised"), (3, 2, "exact")}
+        assert all(x.n_windows == x.item_windows for x in got) and len(got) == 3
+
+
 def test_contamination_matches_substring_search(spark):
     d, b = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
     clean = lambda t: " ".join(re.sub(r"[^\w\s]", "", t.lower()).split())
