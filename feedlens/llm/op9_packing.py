@@ -3,10 +3,10 @@
 Documents become pieces of at most ``size`` tokens; full pieces are sequences
 of their own. The other pieces are dealt to partitions, which pack them best
 fit, longest first. Bins that are nearly full are emitted; the underfull ones
-go, as items with their pieces inside, to the next round, where FAN
-partitions meet in one. A partition hands on at most CARRY underfull bins, the
-emptiest ones, and emits the rest as they are, so a task of any round holds a
-bounded number of rows and nothing is ever left out.
+go, as items with their pieces inside, to the next round, dealt anew to
+partitions of about BINS. This ends when one partition has taken them all, or
+when a round no longer lowers their number. So a task of any round holds a
+bounded number of bins and nothing is ever left out.
 """
 
 from __future__ import annotations
@@ -24,8 +24,7 @@ from feedlens.llm.common import short_batches, written
 from feedlens.llm.tokens import encoder, text_batches
 
 PIECES = 20_000   # about as many pieces a partition of the first round gets
-FAN = 8           # partitions that meet in the next round
-CARRY = 4_000     # underfull bins that a partition hands on at most
+BINS = 32_000     # about as many underfull bins a partition of a later round gets
 FULL = 0.995      # share from which a bin counts as nearly full
 
 
@@ -91,22 +90,19 @@ def best_fit(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     return where, offset
 
 
-def _round(size: int, last: bool):
+def _round(size: int):
     def run(t: pa.Table) -> pa.Table:
         cols = {c: t[c].to_numpy() for c in ("part", "bin", "length", "offset", "fill")}
         items, first, inverse = np.unique(cols["bin"], return_index=True, return_inverse=True)
         where, offset = best_fit(cols["fill"][first], size)
         fill = np.bincount(where, weights=cols["fill"][first]).astype(np.int64)
-        under = np.flatnonzero(fill < FULL * size)
-        hand_on = np.zeros(len(fill), bool)
-        if not last:
-            hand_on[under[np.argsort(fill[under], kind="stable")][:CARRY]] = True
+        under = fill < FULL * size
         name = items[first_of(where)]  # a bin is named after one of its items
         b = where[inverse]
         return t.select(["doc_id", "piece", "start", "length", "ids_crc32", "part"]).append_column(
             "bin", pa.array(name[b])).append_column(
             "offset", pa.array(cols["offset"] + offset[inverse])).append_column(
-            "fill", pa.array(fill[b])).append_column("open", pa.array(hand_on[b]))
+            "fill", pa.array(fill[b])).append_column("open", pa.array(under[b]))
     return run
 
 
@@ -134,10 +130,13 @@ def pack(pieces: DataFrame, size: int = 2048) -> DataFrame:
     todo = rows.where(F.col("length") < size) \
         .withColumn("part", F.pmod(F.xxhash64("bin"), F.lit(parts)).cast("long")) \
         .withColumn("offset", F.lit(0).cast("long")).withColumn("fill", F.col("length"))
+    before, turn = count, 0
     while True:
-        packed = written(todo.groupBy("part").applyInArrow(_round(size, parts == 1), SCHEMA), "round")
+        packed = written(todo.groupBy("part").applyInArrow(_round(size), SCHEMA), "round")
+        under = packed.where("open").select("bin").distinct().count() if parts > 1 else 0
+        if parts == 1 or not 0 < under < before:
+            return done.unionByName(packed.select(out)).withColumnRenamed("bin", "sequence_id")
         done = done.unionByName(packed.where("NOT open").select(out))
-        if parts == 1:
-            return done.withColumnRenamed("bin", "sequence_id")
-        parts = math.ceil(parts / FAN)
-        todo = packed.where("open").withColumn("part", F.floor(F.col("part") / FAN).cast("long"))
+        before, turn = under, turn + 1
+        parts = math.ceil(under / BINS)
+        todo = packed.where("open").withColumn("part", F.pmod(F.xxhash64("bin", F.lit(turn)), F.lit(parts)).cast("long"))

@@ -474,6 +474,22 @@ def test_packing_is_gapless_and_tight(spark, monkeypatch):
     assert op9.pack(op9.cut_pieces(docs(spark, []), queries.tokenizer("byte_bpe_50k.json"), end_id=0)).count() == 0
 
 
+def test_packing_hands_on_every_underfull_bin(spark, monkeypatch):
+    monkeypatch.setattr(op9, "PIECES", 1)
+    monkeypatch.setattr(op9, "CARRY", 1, raising=False)  # a cap, if there is one, is reached
+    rows = [(i, 0, 0, 60 - 20 * (i % 2), 1) for i in range(300)]
+    pieces = spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long").repartition(4)
+    count = {}
+    for bins in (32_000, 40):
+        monkeypatch.setattr(op9, "BINS", bins, raising=False)
+        got = op9.pack(pieces, size=100).toPandas()
+        assert sorted(got.doc_id) == list(range(len(rows))) and got.groupby("sequence_id").length.sum().max() <= 100
+        count[bins] = got.sequence_id.nunique()
+    print("COUNT", count)
+    # two pieces of 40 that meet in the first round leave no room for one of 60
+    assert count[32_000] <= 172, count
+
+
 # ---- toxicity ---------------------------------------------------------------
 
 def test_noisy_channel_and_scores(spark):
