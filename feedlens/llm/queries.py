@@ -17,6 +17,7 @@ from feedlens.llm.op5_lines import drop_recurring
 from feedlens.llm.op6_ppm import language_scores
 from feedlens.llm.op7_tokenfile import read_token_files, write_token_files
 from feedlens.llm.op9_packing import cut_pieces, pack
+from feedlens.llm.op13_negatives import hard_negatives, quantised
 
 
 def tokenizer(name: str) -> str:
@@ -72,6 +73,12 @@ def op10_toxicity(spark, sf_dir):
         (F.col("score") >= toxicity.TOXIC).cast("int").alias("predicted"))
 
 
+def op13_negatives(spark, sf_dir):
+    rows = quantised(table(spark, sf_dir, "embeddings"), scale=256).withColumn(
+        "label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives(rows, F.col("vec_id") % 100 == 0, positives=5, negatives=5, low=80, high=100)
+
+
 QUERIES = {
     "op1_embeddings": op1_embeddings,
     "op2_jaccard": op2_jaccard,
@@ -83,10 +90,12 @@ QUERIES = {
     "op8_revisits": op8_revisits,
     "op9_packing": op9_packing,
     "op10_toxicity": op10_toxicity,
+    "op13_negatives": op13_negatives,
 }
 
 ORACLES = {
     "op2_jaccard": oracles.OP2,
     "op5_lines": oracles.OP5,
     "op8_revisits": oracles.OP8,
+    "op13_negatives": oracles.OP13,
 }
