@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 from feedlens.session import shared_path
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     """``df`` written as Parquet below spark.checkpoint.dir and read back, so
     that later steps neither recompute it nor depend on an executor's disk."""
     spark = df.sparkSession
     path = shared_path(spark, f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(df.columns)
 
 
 BATCH_ROWS = 1_000  # rows of an Arrow batch that carries texts

@@ -17,6 +17,7 @@ from feedlens.llm.op5_lines import drop_recurring
 from feedlens.llm.op6_ppm import language_scores
 from feedlens.llm.op7_tokenfile import read_token_files, write_token_files
 from feedlens.llm.op9_packing import cut_pieces, pack
+from feedlens.llm.op12_spelling import spelling_groups, word_counts
 from feedlens.llm.op13_negatives import hard_negatives, quantised
 
 
@@ -73,6 +74,11 @@ def op10_toxicity(spark, sf_dir):
         (F.col("score") >= toxicity.TOXIC).cast("int").alias("predicted"))
 
 
+def op12_spelling(spark, sf_dir):
+    words = word_counts(table(spark, sf_dir, "documents"), least=7, at_least=2, drop_every=31)
+    return spelling_groups(words, ratio=10, floor=3)
+
+
 def op13_negatives(spark, sf_dir):
     rows = quantised(table(spark, sf_dir, "embeddings"), scale=256).withColumn(
         "label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
@@ -90,6 +96,7 @@ QUERIES = {
     "op8_revisits": op8_revisits,
     "op9_packing": op9_packing,
     "op10_toxicity": op10_toxicity,
+    "op12_spelling": op12_spelling,
     "op13_negatives": op13_negatives,
 }
 
