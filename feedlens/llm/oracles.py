@@ -94,6 +94,22 @@ SELECT record_id, url_key, refers_to,
     || '; x-cache=HIT' END AS headers
 FROM judged"""
 
+OP11 = """
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, hex(encode(coalesce(text, ''))) AS x,
+                  strlen(coalesce(text, '')) AS n FROM documents),
+win AS (SELECT r, i, md5_number(substr(x, 2 * i + 1, 400)) AS h FROM d, range(0, n - 199) t(i)),
+hit AS (SELECT r, i FROM win WHERE h IN (SELECT h FROM win GROUP BY h HAVING count(*) > 1)),
+isle AS (SELECT r, i, sum(far) OVER (PARTITION BY r ORDER BY i) AS g FROM (
+  SELECT r, i, CASE WHEN i <= lag(i) OVER (PARTITION BY r ORDER BY i) + 200 THEN 0 ELSE 1 END AS far FROM hit)),
+span AS (SELECT r, min(i) AS a, max(i) + 200 AS b FROM isle GROUP BY r, g),
+cut AS (SELECT d.r, sum(b - a) AS n_removed, count(*) AS n_spans,
+    string_agg(substr(x, 2 * was + 1, 2 * (a - was)), '' ORDER BY a) || substr(any_value(x), 2 * max(b) + 1) AS kept
+  FROM (SELECT *, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS was FROM span) s JOIN d USING (r) GROUP BY d.r)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept, x))) AS kept_sha256
+FROM d LEFT JOIN cut USING (r)
+"""
+
 OP13 = """
 WITH usable AS (
   SELECT CAST(vec_id AS BIGINT) AS vec_id,

@@ -17,6 +17,7 @@ from feedlens.llm.op5_lines import drop_recurring
 from feedlens.llm.op6_ppm import language_scores
 from feedlens.llm.op7_tokenfile import read_token_files, write_token_files
 from feedlens.llm.op9_packing import cut_pieces, pack
+from feedlens.llm.op11_suffix import remove_repeats
 from feedlens.llm.op12_spelling import spelling_groups, word_counts
 from feedlens.llm.op13_negatives import hard_negatives, quantised
 
@@ -74,6 +75,10 @@ def op10_toxicity(spark, sf_dir):
         (F.col("score") >= toxicity.TOXIC).cast("int").alias("predicted"))
 
 
+def op11_suffix(spark, sf_dir):
+    return remove_repeats(table(spark, sf_dir, "documents"), length=200, digest=True)
+
+
 def op12_spelling(spark, sf_dir):
     words = word_counts(table(spark, sf_dir, "documents"), least=7, at_least=2, drop_every=31)
     return spelling_groups(words, ratio=10, floor=3)
@@ -96,6 +101,7 @@ QUERIES = {
     "op8_revisits": op8_revisits,
     "op9_packing": op9_packing,
     "op10_toxicity": op10_toxicity,
+    "op11_suffix": op11_suffix,
     "op12_spelling": op12_spelling,
     "op13_negatives": op13_negatives,
 }
@@ -104,5 +110,6 @@ ORACLES = {
     "op2_jaccard": oracles.OP2,
     "op5_lines": oracles.OP5,
     "op8_revisits": oracles.OP8,
+    "op11_suffix": oracles.OP11,
     "op13_negatives": oracles.OP13,
 }
