@@ -8,7 +8,8 @@ Level by level the states are joined with the edges of their nodes: an edge that
 word goes on with is followed; where another edge leaves the node, the one edit may
 be made. (Two words at edit distance one can always be edited right where they part.)
 A state that has used its edit follows exact edges only, and one that reaches the end
-of a word with one edit has found a neighbour.
+of a word with one edit has found a neighbour. An edge also holds, as bits of hashes,
+what words go on with below it, so most states that later levels would drop are not made.
 
 A word's states start at the first node past half of its length. That loses nothing:
 of two words one edit apart, the common prefix or the common suffix is at least that
@@ -32,6 +33,7 @@ from feedlens.llm.common import short_batches, written
 from feedlens.llm.textbytes import mix
 
 END = "\n"  # closes every word of the trie; no letter
+MASKS = 4  # 64-bit numbers that say what is below an edge
 HELD = 200_000  # words that a task counts before it hands the counts on
 _STEP = 0x9E3779B97F4A7C15
 _BACK = pow(_STEP, -1, 2**64)
@@ -110,10 +112,24 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(p)[:n]
 
 
+def _rest_bit(text, pos, name: str) -> list:
+    """What ``text`` has after its first ``pos`` characters, as one of 256 bits: which of
+    four numbers, and the bit in it."""
+    h = F.xxhash64(F.substring(text, pos + F.lit(1), F.char_length(text)))
+    return [F.pmod(F.shiftrightunsigned(h, 32), F.lit(MASKS)).cast("int").alias(f"{name}_of"),
+            F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(h, F.lit(64)).cast("int")).alias(f"{name}_bit")]
+
+
+def _code(text, pos):
+    """The code point after the first ``pos`` characters; of none 0."""
+    return F.ascii(F.substring(text, pos + F.lit(1), F.lit(1)))
+
+
 def trie(words: DataFrame, floor: int) -> tuple[DataFrame, DataFrame]:
-    """(edges, starts) of ``words(wid, word, n)``. edges: level, node, child, label, and at
-    the end of a word (child is null) leaf and leaf_n; the level of a node is the number
-    of nodes above it. starts: the states without edits, with the level of their node."""
+    """(edges, starts) of ``words(wid, word, n)``. edges: level, node, child, label, its
+    length m and first two code points ch and ch2, below (bits of what is below the child),
+    and at the end of a word (child is null) leaf and leaf_n; the level of a node is the number of nodes above it. starts: the
+    states without edits, with the level of their node."""
     prefixes = words.select("wid", "word").mapInArrow(_prefixes(floor), "way long, pos int, node long, ch int")
     nodes = prefixes.groupBy("node").agg(F.min("ch").alias("low"), F.max("ch").alias("high")).where("low < high")
     path = prefixes.drop("ch").join(nodes.select("node"), "node").groupBy("way") \
@@ -128,9 +144,16 @@ def trie(words: DataFrame, floor: int) -> tuple[DataFrame, DataFrame]:
         return F.struct(i.alias("level"), x.node.alias("node"), nxt.node.alias("child"), F.substring(
             F.col("text"), x.pos + 1, F.coalesce(nxt.pos, F.char_length("text")) - x.pos).alias("label"))
     every = paths.select("word", "n", F.inline(F.transform("path", edge)))
-    leaf = every.where("child IS NULL").select("level", "node", "child", "label", F.col("word").alias("leaf"), F.col("n").alias("leaf_n"))
-    inner = every.where("child IS NOT NULL").select("level", "node", "child", "label").distinct() \
-        .withColumns({"leaf": F.lit(None).cast("string"), "leaf_n": F.lit(None).cast("long")})
+    every = every.withColumns({"m": F.char_length("label"), "ch": _code(F.col("label"), F.lit(0)), "ch2": _code(F.col("label"), F.lit(1))})
+    parts = ["level", "node", "child", "label", "m", "ch", "ch2"]
+    leaf = every.where("child IS NULL").select(*parts, F.lit(None).cast("array<long>").alias("below"),
+                                               F.col("word").alias("leaf"), F.col("n").alias("leaf_n"))
+    bits = paths.select(F.inline(F.transform("path", lambda x: F.struct(
+        x.node.alias("child"), *_rest_bit(F.col("text"), x.pos, "rest"))))) \
+        .groupBy("child").agg(F.array(*[F.bit_or(F.when(F.col("rest_of") == k, F.col("rest_bit")).otherwise(F.lit(0).cast("long")))
+                                        for k in range(MASKS)]).alias("below"))
+    inner = every.where("child IS NOT NULL").select(*parts).distinct().join(bits, "child") \
+        .withColumns({"leaf": F.lit(None).cast("string"), "leaf_n": F.lit(None).cast("long")}).select(leaf.columns)
     first = F.get(F.filter(F.transform("path", lambda x, i: F.struct(i.alias("level"), x.pos.alias("pos"), x.node.alias("node"))),
                            lambda x: x.pos >= F.floor(F.char_length("word") / 2)), F.lit(0))
     starts = paths.withColumn("s", first).where("s IS NOT NULL").select(
@@ -141,24 +164,30 @@ def trie(words: DataFrame, floor: int) -> tuple[DataFrame, DataFrame]:
 
 def _step(states: DataFrame, edges: DataFrame) -> DataFrame:
     """States after the edges of their nodes: (wid, text, pos, node, edits, leaf, leaf_n)."""
-    s, e = states.alias("s"), edges.drop("level").alias("e")
-    text, label, pos = F.col("s.text"), F.col("e.label"), F.col("s.pos")
-    m = F.char_length(label)
+    at = F.col("pos")
+    s = states.withColumns({"c": _code(F.col("text"), at), "c2": _code(F.col("text"), at + 1), "fresh": F.col("edits") == 0}) \
+        .select("*", *_rest_bit(F.col("text"), at, "here"), *_rest_bit(F.col("text"), at + 1, "next")).alias("s")
+    e = edges.drop("level").alias("e")
+    text, label, pos, m, fresh = F.col("s.text"), F.col("e.label"), F.col("s.pos"), F.col("e.m"), F.col("s.fresh")
+    ch, ch2, c, c2, end = F.col("e.ch"), F.col("e.ch2"), F.col("s.c"), F.col("s.c2"), ord(END)
     rest = lambda k, n: F.substring(text, pos + F.lit(1 + k), n)  # noqa: E731  n code points from k on
     tail = F.substring(label, F.lit(2), m - 1)
-    fresh = F.col("s.edits") == 0
-    parts = fresh & (F.substring(label, 1, 1) != rest(0, F.lit(1)))
-    own = F.substring(label, 1, 1) != END  # the edge's first character may be edited
-    mine = rest(0, F.lit(1)) != END  # so may the word's
-    ways = {"exact": (label == rest(0, m), m, F.lit(0)),
-            "replaced": (parts & own & mine & (tail == rest(1, m - 1)), m, F.lit(1)),
-            "inserted": (parts & own & (tail == rest(0, m - 1)), m - 1, F.lit(1)),
-            "deleted": (parts & mine & (label == rest(1, m)), m + 1, F.lit(1))}
-    any_way = None
-    for ok, _, _ in ways.values():
-        any_way = ok if any_way is None else any_way | ok
+
+    def below(name):  # for an edge of one character, whose other end is compared by its bits alone
+        return F.element_at(F.col("e.below"), F.col(f"s.{name}_of") + 1).bitwiseAND(F.col(f"s.{name}_bit")) != 0
+
+    def leads(by):  # something below the child goes on as the word does after by more characters
+        of, bit = _rest_bit(text, pos + by, "x")
+        return F.col("e.child").isNull() | (F.element_at(F.col("e.below"), of + 1).bitwiseAND(bit) != 0)
+    edit = fresh & (ch != c)
+    own, mine = ch != end, c != end  # the edge's first character, and the word's, may be edited
+    ways = [(((ch == c) & (label == rest(0, m)) & (fresh | leads(m))), m, 0),
+            (edit & own & mine & F.when(m == 1, below("next")).otherwise((ch2 == c2) & (tail == rest(1, m - 1)) & leads(m)), m, 1),
+            (edit & own & F.when(m == 1, below("here")).otherwise((ch2 == c) & (tail == rest(0, m - 1)) & leads(m - 1)), m - 1, 1),
+            (edit & mine & (ch == c2) & (label == rest(1, m)) & leads(m + 1), m + 1, 1)]
+    any_way = ways[0][0] | ways[1][0] | ways[2][0] | ways[3][0]
     found = F.filter(F.array(*[F.struct(ok.alias("ok"), (pos + by).alias("pos"), (F.col("s.edits") + more).alias("edits"))
-                               for ok, by, more in ways.values()]), lambda x: x.ok)
+                               for ok, by, more in ways]), lambda x: x.ok)
     out = s.join(e, (F.col("s.node") == F.col("e.node")) & any_way).select(
         "s.wid", "s.text", F.col("e.child").alias("node"), "e.leaf", "e.leaf_n", F.inline(found))
     return out.drop("ok").where("leaf IS NULL OR edits = 1").select("wid", "text", "pos", "node", "edits", "leaf", "leaf_n")
