@@ -12,6 +12,7 @@ from feedlens.operators import reports as R
 from feedlens.operators import trends as T
 from feedlens.plans.catalog import ORACLES, register, rounded, scored_messages
 from feedlens.plans.oracle_sql import METRIC_SQL, METRIC_SQL_RAW, with_scored
+from feedlens.plans.stream_inputs import deal, run_dir, stream_scored
 from feedlens.sinks.encode import decode_metrics, encode_metrics
 from feedlens.sources.tables import read_table
 
@@ -227,8 +228,8 @@ def stream_windowed_metrics(spark, sf_dir):
     from feedlens.sinks import tables as ST
     from feedlens.streaming import jobs as J
 
-    run = _run_dir(spark, "stream_windowed")
-    win = J.windowed_stream(_stream_scored(spark, sf_dir, run), "timestamp", "1 day", "31 days", emotions=False)
+    run = run_dir(spark, "stream_windowed")
+    win = J.windowed_stream(stream_scored(spark, sf_dir, run), "timestamp", "1 day", "31 days", emotions=False)
     q = J.start(win, f"windowed_{run[-8:]}", mode="update",
                 foreach_batch=lambda b, i: ST.append_metrics(b, f"{run}/metrics", i),
                 trigger={"availableNow": True}, checkpoint_location=f"{run}/checkpoint")
@@ -240,39 +241,14 @@ def stream_windowed_metrics(spark, sf_dir):
                                 else F.col(c) for c in cols]))
 
 
-STREAM_FILES = 4  # part files of the streamed events, of which a micro-batch takes one
-
-
-def _stream_scored(spark, sf_dir, run):
-    """events as a stream of STREAM_FILES part files, one a micro-batch, joined
-    to the documents, which are scored once into a table keyed by doc_id."""
-    from feedlens.operators.enrich import enrich
-    from feedlens.operators.filters import clean
-    from feedlens.plans.catalog import DEFAULT_SCORER, SCORE_FIELDS
-    from feedlens.schemas import PROCESSED_FIELDS
-    from feedlens.sources.tables import document_columns, events_stream, message_base
-    read_table(spark, sf_dir, "events").repartition(STREAM_FILES).write.parquet(f"{run}/in/events.parquet")
-    enrich(clean(document_columns(spark, sf_dir)), DEFAULT_SCORER, keep=["doc_id"]) \
-        .select("doc_id", "text", "language", "source", *SCORE_FIELDS).write.parquet(f"{run}/scored")
-    base = message_base(spark, sf_dir, events_stream(spark, f"{run}/in", max_files=1))
-    docs = spark.read.parquet(f"{run}/scored")
-    return base.join(docs, "doc_id").select(*[c for c in PROCESSED_FIELDS if c != "metrics"])
-
-
-def _run_dir(spark, name):
-    import uuid
-    from feedlens.session import shared_path
-    return shared_path(spark, "queries", f"{name}_{uuid.uuid4().hex}")
-
-
 @register("stream_churn_alerts", with_scored("""
 SELECT id, round(churn_risk, 6) AS churn_risk, channel FROM scored WHERE churn_risk > 0.7"""))
 def stream_churn_alerts(spark, sf_dir):
     """T-7 as a real stream: alerts appended to a Parquet sink with a
     checkpoint, drained with availableNow, read back."""
     from feedlens.streaming import jobs as J
-    run = _run_dir(spark, "stream_alerts")
-    alerts = J.alert_stream(_stream_scored(spark, sf_dir, run)) \
+    run = run_dir(spark, "stream_alerts")
+    alerts = J.alert_stream(stream_scored(spark, sf_dir, run)) \
         .select("message.id", "message.churn_risk", "message.channel", "alert_timestamp")
     q = J.start(alerts, f"alerts_{run[-8:]}", sink="parquet", path=f"{run}/out",
                 trigger={"availableNow": True}, checkpoint_location=f"{run}/checkpoint")
@@ -292,8 +268,8 @@ def stream_history(spark, sf_dir):
     read back as typed documents."""
     from feedlens.sinks import tables as ST
     from feedlens.streaming import jobs as J
-    run = _run_dir(spark, "stream_history")
-    q = J.start(_stream_scored(spark, sf_dir, run), f"history_{run[-8:]}",
+    run = run_dir(spark, "stream_history")
+    q = J.start(stream_scored(spark, sf_dir, run), f"history_{run[-8:]}",
                 foreach_batch=lambda b, i: ST.write_history(b, f"{run}/history", batch_id=i),
                 trigger={"availableNow": True}, checkpoint_location=f"{run}/checkpoint")
     q.awaitTermination()
@@ -445,23 +421,25 @@ _LATEST_SQL = ORACLES["latest_metrics"]
 
 @register("stream_metrics_store", _LATEST_SQL)
 def stream_metrics_store(spark, sf_dir):
-    """The metrics store fed by a stream of several micro-batches and
-    compacted after each, so that it holds one row per (dim, key) and those of the
-    newest batch; its latest rows are those of the batch rollup."""
-    from feedlens.sinks import tables as ST
+    """The versioned metrics store fed by a stream of several micro-batches,
+    each put in twice as if replayed and compacted after; its latest rows are those of
+    the batch rollup."""
+    from feedlens.sinks.store import VersionedStore
     from feedlens.streaming import jobs as J
 
-    run = _run_dir(spark, "stream_store")
+    run = run_dir(spark, "stream_store")
+    metrics = VersionedStore(spark, f"{run}/metrics")
 
     def store(batch, i):
-        ST.append_metrics(batch, f"{run}/metrics", i)
-        ST.compact_metrics(spark, f"{run}/metrics", ttl_hours=None)
+        for _ in range(2):
+            metrics.upsert(batch, i)
+        metrics.compact()
 
-    win = J.windowed_stream(_stream_scored(spark, sf_dir, run), "timestamp", "1 day", "31 days", emotions=False)
+    win = J.windowed_stream(stream_scored(spark, sf_dir, run), "timestamp", "1 day", "31 days", emotions=False)
     q = J.start(win, f"store_{run[-8:]}", mode="update", foreach_batch=store,
                 trigger={"availableNow": True}, checkpoint_location=f"{run}/checkpoint")
     q.awaitTermination()
-    out = ST.read_latest_metrics(spark, f"{run}/metrics")
+    out = metrics.read()
     ntz = {"window_start", "window_end", "last_updated"}
     return rounded(out.select("dim", "key", *[F.col(c).cast("timestamp_ntz").alias(c) if c in ntz else F.col(c)
                                               for c in ["window_start", "window_end", *METRIC_VALUES, "last_updated"]]))
@@ -475,13 +453,13 @@ def stream_aggregate_history(spark, sf_dir):
     from feedlens.sinks import tables as ST
     from feedlens.streaming import jobs as J
 
-    run = _run_dir(spark, "stream_agg")
+    run = run_dir(spark, "stream_agg")
 
     def store(batch, i):
         for _ in range(2 if i == 1 else 1):
             ST.write_aggregate_history(batch, f"{run}/history", i)
 
-    win = J.windowed_stream(_stream_scored(spark, sf_dir, run), "timestamp", "1 day", "31 days", emotions=False)
+    win = J.windowed_stream(stream_scored(spark, sf_dir, run), "timestamp", "1 day", "31 days", emotions=False)
     q = J.start(win, f"agg_{run[-8:]}", mode="update", foreach_batch=store,
                 trigger={"availableNow": True}, checkpoint_location=f"{run}/checkpoint")
     q.awaitTermination()
@@ -497,10 +475,10 @@ def stream_dedupe(spark, sf_dir):
     from feedlens.sources.tables import events_stream
     from feedlens.streaming import jobs as J
 
-    run = _run_dir(spark, "stream_dedupe")
+    run = run_dir(spark, "stream_dedupe")
     ev = read_table(spark, sf_dir, "events")
-    ev.unionByName(ev.where("event_id % 3 = 0")).repartition(STREAM_FILES).write.parquet(f"{run}/in/events.parquet")
-    src = events_stream(spark, f"{run}/in", max_files=1).select(
+    files = deal(ev.unionByName(ev.where("event_id % 3 = 0")), "ts", f"{run}/in/events.parquet")
+    src = events_stream(spark, f"{run}/in", max_files=files).select(
         F.col("event_id").cast("string").alias("id"), "event_id", "event_type", F.col("ts").cast("timestamp").alias("timestamp"))
 
     def once(batch, i):
@@ -524,7 +502,7 @@ def stream_late_rows(spark, sf_dir):
     from feedlens.sources.tables import events_stream
     from feedlens.streaming import jobs as J
 
-    run = _run_dir(spark, "stream_late")
+    run = run_dir(spark, "stream_late")
     ev = read_table(spark, sf_dir, "events")
     for part in ("ts < '2024-01-20'", "ts >= '2024-01-20'", "ts < '2024-01-05'"):
         ev.where(part).write.mode("append").parquet(f"{run}/in/events.parquet")
@@ -548,7 +526,7 @@ def retention(spark, sf_dir):
 
     from feedlens.sinks import tables as ST
 
-    run = _run_dir(spark, "retention")
+    run = run_dir(spark, "retention")
     read_table(spark, sf_dir, "events").withColumn("index_date", F.to_date("ts")) \
         .write.partitionBy("index_date").parquet(f"{run}/history")
     ST.drop_expired(spark, f"{run}/history", days=7, as_of=datetime.date(2024, 1, 30))

@@ -96,3 +96,12 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     """A path below the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, *parts)
+
+
+def stored(df, name: str):
+    """``df`` written as Parquet below the shared folder and read back: cuts the
+    lineage of iterative jobs, and a lost executor loses nothing of it."""
+    import uuid
+    path = shared_path(df.sparkSession, "steps", f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
