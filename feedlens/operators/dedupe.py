@@ -24,10 +24,13 @@ def union_listings(a: DataFrame, b: DataFrame, id_col: str = "id",
 
 
 def dedupe(df: DataFrame, id_col: str = "id", order: list | None = None,
-           watermark_col: str | None = None, delay: str | None = None) -> DataFrame:
+           watermark_col: str | None = None, delay: str | None = None, slices: int = 1) -> DataFrame:
     """D3 / T-9: keep one row per id.
 
-    * stream: ``dropDuplicatesWithinWatermark`` (state bounded by the delay);
+    * stream: ``dropDuplicatesWithinWatermark`` (state bounded by the delay). With
+      ``slices`` over 1 in two steps: rows are dealt to so many slices at random, each lets
+      an id through once, and what is left, ``slices`` rows of an id at most, is
+      deduplicated for good. A hot id's rows are spread over as many tasks;
     * batch, no order: ``dropDuplicates`` (hash aggregate with partial dedupe
       before the shuffle, so a hot id collapses map-side);
     * batch with order: keep the first row per id by ``min_by`` over a struct,
@@ -37,6 +40,9 @@ def dedupe(df: DataFrame, id_col: str = "id", order: list | None = None,
     if df.isStreaming:
         if watermark_col and delay:
             df = df.withWatermark(watermark_col, delay)
+        if slices > 1:
+            dealt = df.withColumn("_slice", F.floor(F.rand(7) * slices).cast("int"))
+            df = dealt.dropDuplicatesWithinWatermark([*keys, "_slice"]).drop("_slice")
         return df.dropDuplicatesWithinWatermark(keys)
     if not order:
         return df.dropDuplicates(keys)

@@ -172,6 +172,14 @@ def emotion_shares(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
     return counts.withColumn("total", total).withColumn("share", F.col("n") / F.col("total"))
 
 
+def histogram_shares(df: DataFrame, keys: list[str], hist_col: str = "emotion_distribution") -> DataFrame:
+    """A4/F7 from stored histograms (maps of emotion to count): (keys, emotion, n, total,
+    share), without the entries that are zero."""
+    total = F.aggregate(F.map_values(hist_col), F.lit(0).cast("long"), lambda a, x: a + x)
+    return df.select(*keys, total.alias("total"), F.explode(hist_col).alias("emotion", "n")).where("n > 0") \
+        .select(*keys, "emotion", "n", "total", (F.col("n") / F.col("total")).alias("share"))
+
+
 def channel_performance(df: DataFrame, channel_col: str = "channel") -> DataFrame:
     """Per-channel volume and mean, plus the chart axis maximum
     ``max(count)`` or 100 when there is no data or every count is 0."""

@@ -7,25 +7,26 @@ from pyspark.sql import functions as F
 
 from feedlens.constants import CHANNELS, GEO_REPORT_CITIES, OVERALL_DIM, PRODUCTS
 from feedlens.operators import metrics as M
-from feedlens.operators.joins import spine
+from feedlens.operators.joins import broadcast_if_small, spine
 from feedlens.schemas import METRIC_VALUE_FIELDS
 
 
-def segment_report(spark: SparkSession, metrics: DataFrame, dim: str, values: list[str],
+def segment_report(spark: SparkSession, metrics: DataFrame, dim: str, values: list[str] | DataFrame,
                    with_histogram: bool = False) -> DataFrame:
     """J3 + A7: every spine value appears, zero metrics when there is no data.
 
+    ``values``: a list, or a frame (key, spine_pos) as read from a dimension table.
     ``metrics`` holds one row per (dim, key) (e.g. ``latest_metrics``). Its
-    rows are first cut to the spine's keys by a left semi join against the
-    broadcast spine (bounded by the parameter list), which leaves at most one
-    row per spine value for the spine-preserving left join."""
-    sp = spine(spark, values, "key")
+    rows are first cut to the spine's keys by a left semi join, which leaves at most one
+    row per spine value for the spine-preserving left join. A list is broadcast, being
+    bounded by its length; a frame only while its size estimate allows it."""
+    sp = broadcast_if_small(values) if isinstance(values, DataFrame) else spine(spark, values, "key")
     cols = ["key", *[c for c in METRIC_VALUE_FIELDS if c in metrics.columns]]
     for extra in ("last_updated", "emotion_distribution"):
         if extra in metrics.columns and (with_histogram or extra == "last_updated"):
             cols.append(extra)
     m = metrics.filter(F.col("dim") == dim).select(*cols) \
-        .join(F.broadcast(sp.select("key")), "key", "left_semi")
+        .join(sp.select("key"), "key", "left_semi")
     out = sp.join(m, "key", "left")
     out = M.fill_zero_metrics(out)
     return out.select(F.lit(dim).alias("dim"), *out.columns)

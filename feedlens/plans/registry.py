@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from feedlens.plans import catalog
-from feedlens.plans import live_q, reports_q, rollups, rows_q  # noqa: F401
+from feedlens.plans import live_q, open_q, reports_q, rollups, rows_q  # noqa: F401
 
 
 def queries():

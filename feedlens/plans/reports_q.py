@@ -10,6 +10,7 @@ from feedlens.constants import CHANNELS
 from feedlens.operators import metrics as M
 from feedlens.operators import reports as R
 from feedlens.operators import trends as T
+from feedlens.operators.joins import broadcast_if_small
 from feedlens.plans.catalog import ORACLES, register, rounded, scored_messages
 from feedlens.plans.oracle_sql import METRIC_SQL, METRIC_SQL_RAW, with_scored
 from feedlens.plans.stream_inputs import deal, run_dir, stream_scored
@@ -58,10 +59,13 @@ SPINE_SQL = {
   SELECT p_type FROM part WHERE p_type IS NOT NULL UNION SELECT '~nothing')) AS sp"""}
 
 
-def spine_values(spark, sf_dir, dim) -> list[str]:
+def spine_table(spark, sf_dir, dim):
+    """(key, spine_pos) of a dimension's values in their order, and one it has not; the
+    window sees the distinct values."""
     table, col, missing = {"geo": ("nation", "n_name", "~nowhere"), "product": ("part", "p_type", "~nothing")}[dim]
-    rows = read_table(spark, sf_dir, table).select(col).where(F.col(col).isNotNull()).distinct().collect()
-    return sorted({r[0] for r in rows} | {missing})
+    rows = read_table(spark, sf_dir, table).select(F.col(col).alias("key")).where("key IS NOT NULL") \
+        .unionByName(spark.range(1).select(F.lit(missing).alias("key"))).distinct()
+    return rows.select("key", (F.row_number().over(Window.orderBy("key")) - 1).alias("spine_pos"))
 
 
 def _spine_sql(values) -> str:
@@ -92,7 +96,11 @@ def dim_table(spark, sf_dir, dim, values):
     """(dim, key) metrics of the listed values of one dimension. Messages with
     other values are dropped before any text is scored."""
     col = DIM_COLUMN[dim]
-    s = scored_messages(spark, sf_dir, only=lambda base: base.where(F.col(col).isin(*values)))
+    if isinstance(values, list):
+        s = scored_messages(spark, sf_dir, only=lambda base: base.where(F.col(col).isin(*values)))
+    else:
+        listed = broadcast_if_small(values.select(F.col("key").alias(col)))
+        s = scored_messages(spark, sf_dir, only=lambda base: base.join(listed, col, "left_semi"))
     m = M.segment_metrics(s, [col], ts_col="timestamp", emotions=False)
     return m.select(F.lit(dim).alias("dim"),
                     F.coalesce(F.col(col).cast("string"), F.lit(M.NULL_KEY)).alias("key"),
@@ -101,7 +109,7 @@ def dim_table(spark, sf_dir, dim, values):
 
 def _report_q(dim, spine):
     def q(spark, sf_dir):
-        values = spine_values(spark, sf_dir, dim) if isinstance(spine, str) else spine
+        values = spine_table(spark, sf_dir, dim) if isinstance(spine, str) else spine
         rep = R.segment_report(spark, dim_table(spark, sf_dir, dim, values), dim, values)
         return rounded(rep.select("dim", "key", "spine_pos", *METRIC_VALUES, "last_updated"))
     return q
@@ -142,7 +150,7 @@ SELECT sp.key AS key, round(coalesce(s.avg_sentiment, 0.0), 2) AS avg_sentiment_
 FROM {_spine_sql("geo")} LEFT JOIN (SELECT * FROM seg WHERE dim = 'geo') s ON s.key = sp.key"""))
 def geo_view(spark, sf_dir):
     """Mean sentiment per listed city, two decimals."""
-    values = spine_values(spark, sf_dir, "geo")
+    values = spine_table(spark, sf_dir, "geo")
     rep = R.geo_report(spark, dim_table(spark, sf_dir, "geo", values), values)
     return R.geo_view(rep)
 
@@ -158,7 +166,7 @@ SELECT key, spine_pos, round(avg_sentiment, 6) AS avg_sentiment,
 FROM ({_PRODUCT_REPORT})"""))
 def rank_products(spark, sf_dir):
     """K1: products by mean sentiment, ties in spine order."""
-    values = spine_values(spark, sf_dir, "product")
+    values = spine_table(spark, sf_dir, "product")
     rep = R.product_report(spark, dim_table(spark, sf_dir, "product", values), values)
     return rounded(T.rank_products(rep.select("key", "spine_pos", "avg_sentiment")))
 
@@ -169,7 +177,7 @@ SELECT arg_max(key, spine_pos) FILTER (WHERE avg_sentiment = mx) AS best_product
 FROM (SELECT *, max(avg_sentiment) OVER () AS mx FROM ({_PRODUCT_REPORT}))"""))
 def best_product(spark, sf_dir):
     """K2: best product; on a tie the later one wins."""
-    values = spine_values(spark, sf_dir, "product")
+    values = spine_table(spark, sf_dir, "product")
     rep = R.product_report(spark, dim_table(spark, sf_dir, "product", values), values)
     return rounded(T.best_product(rep))
 
@@ -307,12 +315,11 @@ SELECT * FROM (
 WHERE last_updated > (SELECT max(timestamp) FROM scored) - INTERVAL 24 HOURS"""))
 def live_metrics(spark, sf_dir):
     """Latest metrics still within 24 h of the newest message, which is the
-    newest time of the overall row; one row per (dim, key) meets in the window."""
+    newest time of the overall row."""
     latest = T.latest_metrics(daily_windows(spark, sf_dir)) \
         .select("dim", "key", "count", "avg_sentiment", "last_updated")
-    newest = F.max("last_updated").over(Window.partitionBy())
-    return rounded(latest.withColumn("_newest", newest)
-                   .filter(F.col("last_updated") > F.col("_newest") - F.expr("INTERVAL 24 HOURS")).drop("_newest"))
+    newest = latest.agg(F.max("last_updated")).scalar()
+    return rounded(latest.filter(F.col("last_updated") > newest - F.expr("INTERVAL 24 HOURS")))
 
 
 _ENC_SQL = _with_seg("""
