@@ -119,7 +119,8 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.95) -> DataFrame:
     columns are ignored. Vectors that are null, empty, zero or hold null or
     non-finite components link with nothing; vectors of different lengths
     do not link. Rows without vec_id are left out. Rows alike in both columns are one vector;
-    a vec_id with several vectors gives a row for each. An empty table gives
+    a vec_id with several vectors gives a row for each, with the links and the
+    component of that vector. An empty table gives
     an empty result.
     """
     v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"),
@@ -132,8 +133,10 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.95) -> DataFrame:
         .withColumn("h", F.xxhash64("embedding"))
     v = written(v, "vectors")
     good = v.where("usable")
-    entries = written(good.groupBy("h", "embedding").agg(F.min("vec_id").alias("id"), F.count("*").alias("weight"))
-                      .select("id", "weight", "embedding", "h", F.size("embedding").cast("long").alias("dim")), "entries")
+    # an entry is named by a number of its own: a vec_id may have several vectors
+    entries = written(good.groupBy("h", "embedding").agg(F.min("vec_id").alias("low"), F.count("*").alias("weight"))
+                      .select(F.monotonically_increasing_id().alias("id"), "low", "weight", "embedding", "h",
+                              F.size("embedding").cast("long").alias("dim")), "entries")
     bits, tables = tables_for(entries.count(), threshold)
     keyed = written(entries.select("id", "dim", "embedding").mapInArrow(_keys(bits, tables), "id long, keys array<long>")
                     .join(entries, "id").select("id", "weight", "dim", "embedding", "keys"), "keyed")
@@ -150,10 +153,11 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.95) -> DataFrame:
         .groupBy(F.pmod(F.xxhash64("dim", "tab", "key", "i", "j"), F.lit(deal)).alias("task"))
         .applyInArrow(_bucket(threshold), "id long, n long, a long, b long"), "found")
     n = found.groupBy("id").agg(F.sum("n").alias("others"))
-    comp = components(found.select("a", "b")).withColumnRenamed("component", "c")
-    about = entries.join(n, "id", "left").join(comp, "id", "left") \
-        .select("h", F.col("embedding").alias("e"), (F.coalesce("others", F.lit(0)) + F.col("weight") - 1).alias("links"),
-                F.coalesce("c", "id").alias("c"))
+    comp = written(entries.select("id", "low").join(components(found.select("a", "b")), "id", "left")
+                   .select("id", "low", F.coalesce("component", "id").alias("component")), "components")
+    least = comp.groupBy("component").agg(F.min("low").alias("c"))
+    about = entries.join(n, "id", "left").join(comp.select("id", "component").join(least, "component"), "id") \
+        .select("h", F.col("embedding").alias("e"), (F.coalesce("others", F.lit(0)) + F.col("weight") - 1).alias("links"), "c")
     return v.join(about, v.usable & (v.h == about.h) & (v.embedding == about.e), "left").select(
         "vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("c", "vec_id").alias("component_id"),

@@ -14,6 +14,7 @@ from feedlens.llm import op11_suffix as op11
 from feedlens.llm import op12_spelling as op12
 from feedlens.llm import op13_negatives as op13
 from feedlens.llm import queries, seentwice
+from feedlens.llm.op1_embeddings import near_vectors
 from feedlens.llm.suffixes import permuted_prefixes, suffix_array
 
 SF = "/root/testdata/sf0.001"
@@ -246,6 +247,28 @@ def test_op13_of_nothing(spark):
     assert op13.hard_negatives(alone, F.col("vec_id") % 10 == 0).count() == 0
 
 
+# -- near vectors whose ids repeat ------------------------------------------
+
+def test_near_vectors_of_one_id_are_told_apart(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for group in range(6):
+        centre = rng.normal(size=16)
+        rows += [(int(rng.integers(0, 12)), (centre + rng.normal(size=16) * 0.02).tolist()) for _ in range(12)]
+    rows += rows[:3]  # the same row again is the same vector
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    seen = sorted({(i, tuple(v)) for i, v in rows})
+    unit = np.array([np.array(v) / np.linalg.norm(v) for _, v in seen])
+    near = unit @ unit.T >= 0.95
+    label = np.arange(len(seen))
+    for _ in seen:
+        label = np.array([min(label[j] for j in np.flatnonzero(r)) for r in near])
+    low = {c: min(seen[k][0] for k in np.flatnonzero(label == c)) for c in set(label)}
+    want = sorted((i, int(near[k].sum()) - 1, low[label[k]]) for k, (i, _) in enumerate(seen))
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in near_vectors(df).collect())
+    assert got == want and len(got) > len({i for i, _ in seen})
+
+
 # -- keys seen twice -------------------------------------------------------
 
 def test_keys_that_occur_twice_pass_wherever_they_are(spark, monkeypatch):
