@@ -18,9 +18,9 @@ OPEN_FIELDS = ["metrics", "entities", "metadata"]
 
 def parse_open(df: DataFrame, value_col: str = "value") -> DataFrame:
     """S2 with open fields: RAW_FIELDS, of which OPEN_FIELDS are VARIANT, and the value
-    itself in ``_corrupt_record`` if it is no JSON object. A field that is missing, or a
-    plain field that is a list or an object, is NULL; unknown fields are ignored; rows
-    without a value are left out. Runs on streams."""
+    itself in ``_corrupt_record`` if it is no JSON object. A field that is missing is NULL,
+    a plain field that is a list or an object is its JSON text; unknown fields are ignored;
+    rows without a value are left out. Runs on streams."""
     v = F.col("_v")
     parsed = df.where(F.col(value_col).isNotNull()).select(F.col(value_col).alias("_value"), F.try_parse_json(value_col).alias("_v"))
     whole = v.isNotNull() & F.schema_of_variant(v).startswith("OBJECT")
