@@ -10,13 +10,15 @@ from feedlens.operators import filters as FL
 from feedlens.operators import normalize as N
 from feedlens.operators import trends as T
 from feedlens.operators.arrival import arrival_metrics
-from feedlens.plans.catalog import register, rounded, scored_messages
+from feedlens.plans.catalog import DEFAULT_SCORER, register, rounded, scored_messages
 from feedlens.plans.oracle_sql import METRIC_SQL, scored_ctes, with_scored
 from feedlens.plans.reports_q import ORACLES
 from feedlens.plans.rows_q import _posts_comments
 from feedlens.plans.stream_inputs import BATCHES, deal, run_dir, stream_scored
 from feedlens.sinks import search as SE
 from feedlens.sinks.store import VersionedStore
+from feedlens.sources.landed import read_landed
+from feedlens.sources.tables import messages
 from feedlens.streaming import jobs as J
 from feedlens.streaming import stateful as SF
 from feedlens.streaming.joins import comments_of_posts
@@ -176,3 +178,45 @@ def search_stored_history(spark, sf_dir):
     q.awaitTermination()
     return SE.search(spark, f"{run}/history", ["The", "estion"], "2024-01-03", "2024-01-20", {"channel": "view"}) \
         .select("id", "platform", "index_date")
+
+
+_WIRE = ["id", "platform", "channel", "timestamp", "sentiment_label", "emotion"]
+
+
+@register("stream_scoring", with_scored(f"""
+SELECT {", ".join(_WIRE)}, round(sentiment_score, 6) AS sentiment_score, round(churn_risk, 6) AS churn_risk, length(text) AS n_chars
+FROM scored"""))
+def stream_scoring(spark, sf_dir):
+    """S1, S6, T-4, T-8, S5, S3: raw messages produced as JSON values, read as a stream, parsed,
+    cleaned and scored, handed on as wire JSON while they come, and read back from there."""
+    run = run_dir(spark, "scoring")
+    m = messages(spark, sf_dir, with_value=False).withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+    for k in range(2):  # two deliveries, a micro-batch each at least
+        J.publish_raw(m.where(F.pmod(F.xxhash64("id"), F.lit(2)) == k), "json", f"{run}/raw")
+    files = len(spark.read.schema("key string, value string").json(f"{run}/raw").inputFiles())
+    raw = spark.readStream.schema("key string, value string").option("maxFilesPerTrigger", max(1, files // 2)).json(f"{run}/raw")
+    feed = J.message_feed(J.score_stream(raw.select("value"), DEFAULT_SCORER, processed_at="2024-02-01 00:00:00"))
+    q = J.start(feed, f"scoring_{run[-8:]}", sink="json", path=f"{run}/scored", trigger={"availableNow": True},
+                checkpoint_location=f"{run}/checkpoint")
+    q.awaitTermination()
+    back = J.parse_processed(spark.read.schema("key string, value string").json(f"{run}/scored"))
+    return rounded(_ntz(back.select(*_WIRE, "sentiment_score", "churn_risk", F.length("text").alias("n_chars")), "timestamp"))
+
+
+@register("landed_comments", """
+SELECT 'reddit_comment_' || CAST(c.conv_id AS VARCHAR) || '_' || CAST(c.turn AS VARCHAR) AS id,
+       CAST(c.conv_id AS VARCHAR) AS parent_post_id, CASE WHEN c.role = 'user' THEN 1.0 ELSE 0.0 END AS is_submitter, length(c.text) AS n_chars
+FROM conversations c
+WHERE c.turn > 0 AND EXISTS (
+  SELECT 1 FROM conversations p WHERE p.turn = 0 AND p.conv_id = c.conv_id
+    AND (contains(lower(p.text), 'the') OR contains(lower(p.text), 'la')))""")
+def landed_comments(spark, sf_dir):
+    """Posts and comments landed as JSON files, read by their declared schemas, joined and
+    normalised."""
+    run = run_dir(spark, "landed")
+    for kind, df in zip(("post", "comment"), _posts_comments(spark, sf_dir)):
+        df.write.json(f"{run}/{kind}")
+    posts, comments = (read_landed(spark, f"{run}/{kind}", kind) for kind in ("post", "comment"))
+    matched = FL.contains_any(posts.withColumn("_t", F.concat_ws("\n", "title", "selftext")), "_t", ["the", "la"])
+    return N.normalize_comments(comments, matched, ingested_at="2024-02-01 00:00:00").select(
+        "id", "parent_post_id", F.col("metrics")["is_submitter"].alias("is_submitter"), F.length("text").alias("n_chars"))
