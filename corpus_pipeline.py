@@ -9,7 +9,9 @@ Parquet below spark.checkpoint.dir and read again.
 
 Rows without doc_id cannot be referred to: the stages that decide by pairs
 (near copies, benchmark questions) let them pass, the others treat them like
-any row. Null texts are empty texts.
+any row. Null texts are empty texts. Rows alike in doc_id and text are one
+document, of which near_duplicates keeps one row; unlike texts under one doc_id
+are documents of their own there, and go together in decontamination.
 """
 
 from __future__ import annotations
@@ -26,41 +28,58 @@ from feedlens.llm.op9_packing import cut_pieces, pack
 from feedlens.llm.queries import tokenizer
 
 
+def _set_aside(docs: DataFrame, *names: str) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with the columns of these names under free ones, and where they are."""
+    moved = {}
+    for name in names:
+        if name in docs.columns:
+            free = name
+            while free in docs.columns or free in names:
+                free = f"_{free}"
+            docs, moved[name] = docs.withColumnRenamed(name, free), free
+    return docs, moved
+
+
+def _put_back(out: DataFrame, moved: dict[str, str], columns: list[str]) -> DataFrame:
+    return out.select([F.col(moved.get(c, c)).alias(c) for c in columns])
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score is below the threshold."""
     model = toxic.fit(docs, table(spark, sf_dir, "labels"))
-    keep = docs.withColumnRenamed("score", "__score") if "score" in docs.columns else docs
-    out = model.score(keep).where(F.col("score") < toxic.TOXIC).drop("score")
-    return out.withColumnRenamed("__score", "score").select(docs.columns)
+    rows, moved = _set_aside(docs, "score")
+    return _put_back(model.score(rows).where(F.col("score") < toxic.TOXIC).drop("score"), moved, docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without their recurring lines, short ones included, long ones
     from two texts on; n_chars follows the text. A document of which nothing but
     white space is left goes."""
-    own = [c for c in ("n_lines", "n_dropped") if c in docs.columns]
-    for c in own:
-        docs = docs.withColumnRenamed(c, f"__{c}")
-    out = drop_recurring(docs, min_tokens=1, long_docs=2, all_templates=True).where(
+    rows, moved = _set_aside(docs, "n_lines", "n_dropped")
+    out = drop_recurring(rows, min_tokens=1, long_docs=2, all_templates=True).where(
         (F.col("n_dropped") == 0) | F.coalesce(F.col("text").rlike(r"[^\s]"), F.lit(True)))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("n_dropped") == 0, F.col("n_chars")).otherwise(
             F.char_length("text").cast(docs.schema["n_chars"].dataType)))
-    out = out.select(docs.columns)
-    for c in own:
-        out = out.withColumnRenamed(f"__{c}", c)
-    return out
+    return _put_back(out.drop("n_lines", "n_dropped"), moved, docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the one with the smallest doc_id, of each class of
     documents linked by a similarity of 0.8 or more over five-word shingles."""
-    copies = written(jaccard_classes(docs, words=5, num=4, den=5), "classes")
-    gone = copies.where("component_id <> doc_id").select("doc_id").distinct()
-    repeated = copies.groupBy("doc_id").count().where("count > 1").select("doc_id")
-    kept = docs.join(gone, "doc_id", "left_anti")
-    once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(repeated, "doc_id", "left_anti").unionByName(once).select(docs.columns)
+    rows, moved = _set_aside(docs, "one")
+    # a document is named by the hash of its id and text: one id may have several texts
+    rows = rows.withColumn("one", F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", F.coalesce("text", F.lit("")))))
+    classes = jaccard_classes(rows.select(F.col("one").alias("doc_id"), "text"), words=5, num=4, den=5)
+    named = rows.select("doc_id", "one").where("one IS NOT NULL").groupBy("one").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("rows"))
+    member = written(named.join(classes.select(F.col("doc_id").alias("one"), F.col("component_id").alias("class")).distinct(), "one"), "classes")
+    first = member.groupBy("class").agg(F.min(F.struct("doc_id", "one")).alias("first"))
+    gone = member.join(first, "class").where(F.col("one") != F.col("first.one")).select("one")
+    repeated = member.where(F.col("rows") > 1).select("one")
+    kept = rows.join(gone, "one", "left_anti")
+    once = kept.join(repeated, "one", "left_semi").dropDuplicates(["one"])
+    out = kept.join(repeated, "one", "left_anti").unionByName(once)
+    return _put_back(out.drop("one"), moved, docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
