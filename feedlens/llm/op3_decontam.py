@@ -138,6 +138,7 @@ def literal_windows(h: np.ndarray, slot: np.ndarray, doc: np.ndarray, n: int) ->
     return at, tb.mix(acc + _U(n + _LITERAL))
 
 
+LEAST = 2  # words; a single word may stand in any document
 _LITERAL = 1 << 20  # keeps the hashes of literal windows apart
 _SCHEMA = "id long, row long, key long, pos int, unit int, n int, vals array<long>, literal boolean"
 
@@ -171,7 +172,7 @@ def _emit(lengths: list[int] | None, keys: np.ndarray | None):
                         at, key = literal_windows(wh, wslot, wdoc, n)
                     else:
                         at, key = windows(wt, wslot, wdoc, n)
-                    if lengths is None and n < WINDOW:
+                    if n < LEAST or (lengths is None and n < WINDOW):
                         keep = counts[which][wdoc[at]] == n
                         at, key = at[keep], key[keep]
                     if keys is not None:
@@ -201,7 +202,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     Needs ``doc_id``, ``text`` and ``item_id``, ``text``; other columns are
     ignored. Null, empty and blank texts contain nothing and are contained in
     nothing. Windows of more than half slots match word for word only, and are
-    counted apart from the others.
+    counted apart from the others. An item of one word is found only in
+    texts that consist of nothing else.
     Repeated rows give one row; rows of a null id are reported under null.
     """
     short_batches(docs.sparkSession)
