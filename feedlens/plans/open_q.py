@@ -191,8 +191,8 @@ def stream_late_count(spark, sf_dir):
     _logged(spark, f"{run}/log", [lambda: J.start(once.select("event_id"), name, path=f"{run}/out", trigger={"availableNow": True},
                                                   checkpoint_location=f"{run}/checkpoint")])
     late = C.read_counters(spark, f"{run}/log", name).where("name = 'late'")
-    return late.select(F.col("n").alias("late")).join(
-        spark.read.parquet(f"{run}/out").agg(F.count("*").alias("kept")), F.lit(True)).select("kept", "late")
+    kept = spark.read.parquet(f"{run}/out").agg(F.count("*")).scalar()
+    return late.select(kept.alias("kept"), F.col("n").alias("late"))
 
 
 # -- D3 / T-9: a hot id ----------------------------------------------------
@@ -266,8 +266,8 @@ def rank_tied_products(spark, sf_dir):
     sp = spine_table(spark, sf_dir, "product")
     rep = R.segment_report(spark, dim_table(spark, sf_dir, "product", sp), "product", sp) \
         .select("key", "spine_pos", F.abs(F.round("avg_sentiment", 0)).alias("avg_sentiment"))
-    best = T.best_product(rep).select("best_product")
-    return T.rank_products(rep).join(F.broadcast(best), F.lit(True))
+    best = T.best_product(rep).select("best_product").scalar()
+    return T.rank_products(rep).withColumn("best_product", best)
 
 
 @register("optional_parts", with_scored("""
