@@ -92,53 +92,84 @@ def block_keys(tok: np.ndarray, bounds: np.ndarray, num: int, den: int) -> tuple
     return k[order], np.searchsorted(d[order], np.arange(d_count + 1))
 
 
-def links(tok: np.ndarray, bounds: np.ndarray, num: int, den: int, group: np.ndarray | None = None) -> list[tuple[int, int]]:
+HELD = 64  # sets whose answers are kept for those that are to be derived from them
+
+
+def links(tok: np.ndarray, bounds: np.ndarray, num: int, den: int, group: np.ndarray | None = None,
+          read: list[int] | None = None) -> list[tuple[int, int]]:
     """Spanning links of the graph of sets with intersection*den >= num*union.
 
-    The answers of each set are computed against all sets not yet reached;
-    the sets that answer are reached and become the next to be asked, so each
-    is compared only with what its similar sets have left. Overlaps come from
-    one pass over the remaining elements. ``group``: sets already known to be
-    connected; nothing is compared within one.
+    A set's answers are its overlaps with all other sets. They are counted from the lists
+    of its elements only where no similar set has been answered; the answers of a set
+    that a set ``q`` has found are derived from q's: the lists of the elements that only q
+    has are taken off, those of the elements that q lacks are added. Sets found are
+    reached and asked next, so whole groups of copies cost little more than what they
+    differ in. ``group``: sets already known to be connected; they are reached together.
+    ``read``: gets the number of list entries read for each set.
     """
     n = np.diff(bounds)
     count = len(n)
     ids, flat = np.unique(tok, return_inverse=True)
-    left = np.flatnonzero(n > 0)
+    post = np.repeat(np.arange(count), n)[np.argsort(flat, kind="stable")]  # the sets of each element
+    at = np.concatenate([[0], np.cumsum(np.bincount(flat, minlength=len(ids)))])
+    mark = np.zeros(len(ids), bool)
+    alive = n > 0
     out: list[tuple[int, int]] = []
-    seen = np.zeros(len(ids), bool)
-
-    def rest_of(left: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        size = n[left]
-        first = np.concatenate([[0], np.cumsum(size)])
-        return flat[np.repeat(bounds[left] - first[:-1], size) + np.arange(first[-1])], first, size
-
-    while len(left):
-        todo, left = [left[0]], left[1:]
-        if group is not None:
-            same = group[left] == group[todo[0]]
-            todo, left = [todo[0], *left[same]], left[~same]
-        rest, first, size = rest_of(left)
-        alive = np.ones(len(left), bool)
-        while todo and alive.any():
-            q = todo.pop()
-            if alive.sum() < len(left) // 2:
-                left = left[alive]
-                rest, first, size = rest_of(left)
-                alive = np.ones(len(left), bool)
-            mine = flat[bounds[q]:bounds[q + 1]]
-            seen[mine] = True
-            common = np.add.reduceat(seen[rest], first[:-1], dtype=np.int64)
-            seen[mine] = False
-            ok = alive & (common * den >= num * (size + n[q] - common))
-            for i in np.flatnonzero(ok):
-                out.append((int(q), int(left[i])))
-            alive &= ~ok
-            found = left[ok]
-            if group is not None and len(found):
-                kin = alive & np.isin(group[left], np.unique(group[found]))
-                alive &= ~kin
-                found = np.concatenate([found, left[kin]])
-            todo.extend(found.tolist())
-        left = left[alive]
+
+    def elements(q: int) -> np.ndarray:
+        return flat[bounds[q]:bounds[q + 1]]
+
+    def without(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        mark[y] = True
+        rest = x[~mark[x]]
+        mark[y] = False
+        return rest
+
+    def counted(e: np.ndarray) -> tuple[np.ndarray, int]:
+        """How many of the elements each set has."""
+        size = at[e + 1] - at[e]
+        first = np.cumsum(size) - size
+        total = int(size.sum())
+        where = np.repeat(at[e] - first, size) + np.arange(total)
+        return np.bincount(post[where], minlength=count).astype(np.int32), total
+
+    answers: dict[int, np.ndarray] = {}  # of the sets answered last
+
+    def overlaps(q: int, near: int | None) -> np.ndarray:
+        mine = elements(q)
+        if near in answers:
+            gained, lost = without(mine, elements(near)), without(elements(near), mine)
+            if len(gained) + len(lost) < len(mine):
+                (more, a), (less, b) = counted(gained), counted(lost)
+                if read is not None:
+                    read.append(a + b)
+                return answers[near] + more - less
+        common, total = counted(mine)
+        if read is not None:
+            read.append(total)
+        return common
+
+    for seed in range(count):
+        if not alive[seed]:
+            continue
+        alive[seed] = False
+        todo: list[tuple[int, int | None]] = [(seed, None)]
+        while todo:
+            q, near = todo.pop()
+            if not alive.any():
+                break
+            common = overlaps(q, near)
+            found = np.flatnonzero(alive & (common.astype(np.int64) * den >= num * (n + n[q] - common)))
+            out.extend((q, i) for i in found.tolist())
+            alive[found] = False
+            if group is not None:
+                kin = np.flatnonzero(alive & np.isin(group, group[np.append(found, q)]))
+                alive[kin] = False
+                found = np.concatenate([found, kin])
+            if len(found):
+                answers.pop(q, None)
+                answers[q] = common
+                if len(answers) > HELD:
+                    del answers[next(iter(answers))]
+                todo.extend((i, q) for i in found.tolist())
     return out
