@@ -10,10 +10,13 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+from feedlens.llm import op2_jaccard as op2
+from feedlens.llm import op3_decontam as op3
 from feedlens.llm import op11_suffix as op11
 from feedlens.llm import op12_spelling as op12
 from feedlens.llm import op13_negatives as op13
-from feedlens.llm import queries, seentwice
+from feedlens.llm import queries, seentwice, setrel
 from feedlens.llm.op1_embeddings import near_vectors
 from feedlens.llm.suffixes import permuted_prefixes, suffix_array
 
@@ -286,3 +289,76 @@ def test_keys_that_occur_twice_pass_wherever_they_are(spark, monkeypatch):
 def test_new_queries_run(spark):
     for name in ("op11_suffix", "op12_spelling", "op13_negatives"):
         assert queries.QUERIES[name](spark, SF).count() > 0
+
+
+# -- pipeline stages on awkward rows ---------------------------------------
+
+def test_near_duplicates_keep_unlike_texts_of_one_id(spark):
+    say = lambda k: " ".join(f"w{k}x{i}" for i in range(40))
+    rows = [(1, say(1)), (5, say(1)), (5, say(2)), (5, say(3)), (7, say(3)), (7, say(3)), (8, None), (8, ""), (9, say(4)), (9, say(4)), (None, say(4)), (None, None)]
+    df = spark.createDataFrame([(i, t, 1, "x") for i, t in rows], "doc_id long, text string, one int, _one string").repartition(3)
+    out = corpus_pipeline.near_duplicates(spark, df, SF)
+    assert out.columns == df.columns
+    got = collections.Counter((r.doc_id, r.text or "") for r in out.collect())
+    assert got == {(1, say(1)): 1, (5, say(2)): 1, (5, say(3)): 1, (8, ""): 1, (9, say(4)): 1, (None, say(4)): 1, (None, ""): 1}
+
+
+def test_stages_set_clashing_columns_aside(spark):
+    names = "doc_id long, text string, score double, _score int, __score int, n_lines int, _n_lines int, n_dropped int"
+    df = spark.createDataFrame([(1, "a fine text\nof two lines", 0.5, 1, 2, 3, 4, 5), (2, None, None, 1, 2, 3, 4, 5)], names)
+    for stage in (corpus_pipeline.toxicity, corpus_pipeline.line_dedup, corpus_pipeline.near_duplicates):
+        out = stage(spark, df, SF)
+        assert out.columns == df.columns and sorted(map(str, out.collect())) == sorted(map(str, df.collect()))
+
+
+def test_items_of_one_word_are_found_only_as_whole_texts(spark):
+    items = spark.createDataFrame([(1, "yes"), (2, "Paris"), (3, "no idea"), (4, "what is the capital of that large country")], "item_id long, text string")
+    texts = docs(spark, [(1, "yes"), (2, "oh yes they said in Paris"), (3, "no idea"), (4, "no idea at all"),
+                         (5, "tell me what is the capital of that large country please")])
+    got = sorted((r.doc_id, r.item_id) for r in op3.contaminated(texts, items).collect())
+    assert got == [(1, 1), (3, 3), (4, 3), (5, 4)]
+
+
+# -- incremental answers of similar sets -----------------------------------
+
+def test_answers_of_similar_sets_are_derived(monkeypatch):
+    rng = np.random.default_rng(3)
+    base = np.sort(rng.choice(10**9, 400, replace=False)).astype(np.uint64)
+    sets = []
+    for _ in range(120):  # near copies: a few elements differ
+        x = base.copy()
+        x[rng.choice(400, 4, replace=False)] = rng.integers(10**9, 2 * 10**9, 4)
+        sets.append(np.unique(x))
+    sets += [np.sort(rng.choice(10**9, 300, replace=False)).astype(np.uint64) for _ in range(20)] + [np.zeros(0, np.uint64)]
+    bounds = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+    for held in (64, 0):
+        monkeypatch.setattr(setrel, "HELD", held)
+        read: list[int] = []
+        got = setrel.links(np.concatenate(sets), bounds, 4, 5, read=read)
+        up = list(range(len(sets)))
+        for q, r in got:
+            a, b = set(sets[q].tolist()), set(sets[r].tolist())
+            assert len(a & b) * 5 >= 4 * len(a | b)
+            up = [min(up[q], up[r]) if u in (up[q], up[r]) else u for u in up]
+        assert up[:120] == [0] * 120 and up[120:] == list(range(120, 141))
+        if held:  # every copy after the first reads the lists of what it differs in
+            assert max(read[1:120]) < read[0] / 20
+
+
+def test_sketches_of_large_sets_never_exceed_the_difference():
+    rng = np.random.default_rng(8)
+    shared = rng.integers(1, 2**63, 4000, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([shared[:keep], rng.integers(1, 2**63, extra, dtype=np.uint64)]))
+            for keep, extra in ((4000, 0), (3900, 100), (4000, 900), (1500, 1500), (0, 3000), (900, 0))]
+    bounds = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+    sketch = op2._large_sketches(np.concatenate(sets), bounds).to_pylist()
+    assert sketch[-1] == [] and all(len(s) * 64 >= len(x) for s, x in zip(sketch[:-1], sets))
+    for i in range(5):
+        for j in range(i):
+            w = min(len(sketch[i]), len(sketch[j]))
+            a, b = (op2._fold(np.array(sketch[k], np.int64).view(np.uint64), w) for k in (i, j))
+            bits = int(np.bitwise_count(a ^ b).sum())
+            apart = len(np.setxor1d(sets[i], sets[j]))
+            assert bits <= apart
+            if apart > 5000:  # unlike sets are told apart: nothing may link at 0.8
+                assert bits * 9 > len(sets[i]) + len(sets[j])
