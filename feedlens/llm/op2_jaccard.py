@@ -294,7 +294,9 @@ def jaccard_classes(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5)
     small = toks.where(F.col("tokens") <= FAMILY_TOKENS).withColumn("i", F.lit(0)).withColumn("j", F.lit(0)) \
         .withColumn("grp", F.col("doc_id"))
     large = toks.where(F.col("tokens") > FAMILY_TOKENS)
-    star = large.join(large.where("doc_id = family").select("family", F.col("toks").alias("lt")), "family")
+    # one leader for a family of FAMILY_TOKENS or more: few, unless the input is very large
+    lead = broadcast_if_small(written(large.where("doc_id = family").select("family", F.col("toks").alias("lt")), "leaders"))
+    star = large.join(lead, "family")
     common = F.size(F.array_intersect("toks", "lt"))
     star = star.withColumn("odd", common * den < num * (F.size("toks") + F.size("lt") - common)) \
         .withColumn("nb", F.ceil(F.col("tokens") * 2 / FAMILY_TOKENS)) \
@@ -304,7 +306,6 @@ def jaccard_classes(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5)
     mixed = star.join(star.where("odd").select("family").distinct(), "family", "left_semi")
     # members of a large family go to several chunk pairs; they are sent as their difference from
     # the leader, which each pair gets once
-    lead = large.where("doc_id = family").select("family", F.col("toks").alias("lt"))
     near = large.select("doc_id", "family", "toks").join(broadcast_if_small(mixed), ["doc_id", "family"]).join(lead, "family") \
         .withColumns({"miss": F.array_except("lt", "toks"), "toks": F.array_except("toks", "lt")}).drop("lt")
     cols = ["family", "i", "j", "grp", "doc_id", "toks", "miss", "base"]
