@@ -267,14 +267,17 @@ def jaccard_classes(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5)
     rows = rows.join(lists, "key")
 
     short = rows.where(F.col("len") <= LIST_ROWS).withColumn("i", F.lit(0)).withColumn("j", F.lit(0))
-    lead = about.select(F.col("doc").alias("lead"), F.col("n").alias("ln"), F.col("sketch").alias("ls"), F.col("large").alias("ll"))
+    # long lists are few, so their leaders go to the rows and not the rows to their leaders
+    first = lists.where(F.col("len") > LIST_ROWS).select(F.col("lead").alias("doc")).distinct()
+    lead = broadcast_if_small(written(about.join(first, "doc", "left_semi").select(
+        F.col("doc").alias("lead"), F.col("n").alias("ln"), F.col("sketch").alias("ls"), F.col("large").alias("ll")), "leads"))
     apart = (F.size("large") == F.size("ll")) & ~_may_link(F.col("n"), F.col("ln"), F.col("large"), F.col("ll"), num, den)
-    long_ = rows.where(F.col("len") > LIST_ROWS).join(lead, "lead") \
-        .withColumn("odd", ~_may_link(F.col("n"), F.col("ln"), F.col("sketch"), F.col("ls"), num, den) | apart) \
-        .withColumn("nb", F.ceil(F.col("len") * 2 / LIST_ROWS))
-    long_ties = long_.where(~F.col("odd")).select(F.col("lead").alias("a"), F.col("doc").alias("b"))
-    mixed = long_.where("odd").select("key").distinct()
-    pieces = _chunk_pairs(long_.join(mixed, "key", "left_semi"), "key", "doc")
+    marked = written(rows.where(F.col("len") > LIST_ROWS).join(lead, "lead").select(
+        "key", "doc", "lead", (~_may_link(F.col("n"), F.col("ln"), F.col("sketch"), F.col("ls"), num, den) | apart).alias("odd"),
+        F.ceil(F.col("len") * 2 / LIST_ROWS).alias("nb")), "marked")
+    long_ties = marked.where(~F.col("odd")).select(F.col("lead").alias("a"), F.col("doc").alias("b"))
+    mixed = written(marked.join(marked.where("odd").select("key").distinct(), "key", "left_semi").drop("lead"), "mixed")
+    pieces = _chunk_pairs(rows.drop("lead").join(broadcast_if_small(mixed), ["key", "doc"]), "key", "doc")
     cols = ["key", "i", "j", "doc", "n", "sketch", "large"]
     work = short.select(cols).unionByName(pieces.select(cols))
     deal = max(1, lists.agg(F.sum("len")).first()[0] or 0) // TASK_ROWS + width(spark)
