@@ -96,6 +96,22 @@ def test_arrival_stream_equals_batch_with_rows_out_of_order(spark, tmp_path):
     assert rows(spark.read.parquet(f"{tmp_path}/out")) == rows(A.arrival_metrics(df, 60, ["k"]))
 
 
+def test_processors_run_in_a_session_with_the_default_store(spark, tmp_path):
+    rows, was = messages([("hot", 30), ("b", 10)]), spark.conf.get(SF.PROVIDER)
+    put(frame(spark, rows), f"{tmp_path}/in")
+    stream = spark.readStream.schema(frame(spark, rows).schema).parquet(f"{tmp_path}/in")
+    daily = stream.withWatermark("timestamp", "1 day").groupBy(F.window("timestamp", "1 day").alias("w"), F.col("k").alias("key")) \
+        .agg(F.avg("sentiment_score").alias("avg_sentiment")).select(F.lit("k").alias("dim"), "key", F.col("w.start").alias("window_start"), "avg_sentiment")
+    try:
+        for i, make in enumerate([lambda: SF.arrival_metrics_stream(stream, 60, "k"), lambda: SF.recent_points_stream(stream, "k", 5, slices=2),
+                                  lambda: SF.velocity_stream(daily)]):
+            spark.conf.set(SF.PROVIDER, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+            q = drain(spark, make(), f"store{i}", f"{tmp_path}/{i}", foreach_batch=lambda b, i: b.count(), mode="update" if i == 1 else "append")
+            assert q.exception() is None and sum(p["numInputRows"] for p in q.recentProgress) == 40
+    finally:
+        spark.conf.set(SF.PROVIDER, was)
+
+
 def test_comments_meet_posts_that_come_before_after_twice_or_never(spark, tmp_path):
     posts = "id string, created_utc double"
     comments = "id string, post_id string, created_utc double"
