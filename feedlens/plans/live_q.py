@@ -192,11 +192,11 @@ def stream_scoring(spark, sf_dir):
     run = run_dir(spark, "scoring")
     m = messages(spark, sf_dir, with_value=False).withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
     for k in range(2):  # two deliveries, a micro-batch each at least
-        J.publish_raw(m.where(F.pmod(F.xxhash64("id"), F.lit(2)) == k), "json", f"{run}/raw")
+        J.publish_raw(m.where(F.pmod(F.xxhash64("id"), F.lit(2)) == k), "json", f"{run}/raw", **J.PACKED)
     files = len(spark.read.schema("key string, value string").json(f"{run}/raw").inputFiles())
     raw = spark.readStream.schema("key string, value string").option("maxFilesPerTrigger", max(1, files // 2)).json(f"{run}/raw")
     feed = J.message_feed(J.score_stream(raw.select("value"), DEFAULT_SCORER, processed_at="2024-02-01 00:00:00"))
-    q = J.start(feed, f"scoring_{run[-8:]}", sink="json", path=f"{run}/scored", trigger={"availableNow": True},
+    q = J.start(feed, f"scoring_{run[-8:]}", sink="json", path=f"{run}/scored", options=J.PACKED, trigger={"availableNow": True},
                 checkpoint_location=f"{run}/checkpoint")
     q.awaitTermination()
     back = J.parse_processed(spark.read.schema("key string, value string").json(f"{run}/scored"))

@@ -20,6 +20,8 @@ from feedlens.session import shared_path
 from feedlens.sinks.encode import to_wire
 
 CHECKPOINT_INTERVAL = "60 seconds"
+# messages in files: JSON repeats its field names in every row and its text is whole
+PACKED = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
 
 
 def kafka_options(bootstrap: str, topic: str, group_id: str | None = None,
