@@ -263,3 +263,17 @@ def test_metrics_store_stays_small(spark, tmp_path):
     assert {(r.key, r["count"]) for r in ST.read_latest_metrics(spark, path).collect()} == {(k, 9) for k in "abc"}
     ST.append_metrics(b, path, 9)  # a replay of the newest batch
     assert {(r.key, r["count"]) for r in ST.read_latest_metrics(spark, path).collect()} == {(k, 9) for k in "abc"}
+
+
+def test_history_of_a_micro_batch_shuffles_no_text_but_of_repeated_ids(spark, tmp_path):
+    rows = [(f"m{i}", f"text {i}", i % 3) for i in range(30)]
+    df = spark.createDataFrame(rows, "id string, text string, d int").withColumn(
+        "timestamp", F.timestamp_seconds(F.lit(1_704_100_000) + 86_400 * F.col("d"))).repartition(4)
+    plan = ST.write_history(df.limit(30).coalesce(1), f"{tmp_path}/a", "timestamp", batch_id=0)._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and "Join" not in plan
+    again = df.unionByName(df.where("d = 1")).unionByName(df.limit(2).withColumn("id", F.lit(None).cast("string")).withColumn("timestamp", F.lit(None).cast("timestamp")))
+    for path, batch, n in ((f"{tmp_path}/a", df, 30), (f"{tmp_path}/b", again, 31)):
+        ST.write_history(batch, path, "timestamp", batch_id=0)
+        got = spark.read.parquet(path)
+        assert got.count() == n and {(r.id, r.text) for r in got.collect() if r.id} == {r[:2] for r in rows}
+        assert all(f.endswith(".zstd.parquet") for f in got.inputFiles())
