@@ -1,6 +1,8 @@
 """What runs while messages come in: arrival-anchored windows, comments joined to posts,
 newest points, the versioned store, the search index."""
 
+import glob
+import os
 import random
 import threading
 import time
@@ -9,12 +11,16 @@ import pytest
 from pyspark.sql import functions as F
 
 from feedlens.operators import arrival as A
+from feedlens.plans import live_q
+from feedlens.session import shared_path
 from feedlens.sinks import search as SE
 from feedlens.sinks.store import Conflict, VersionedStore
 from feedlens.streaming import jobs as J
 from feedlens.streaming import stateful as SF
 from feedlens.streaming.joins import comments_of_posts
 
+from .conftest import SF001
+
 SCORED = "k string, id string, t double, sentiment_score double, sentiment_label string, churn_risk double, toxicity double"
 
 
@@ -231,3 +237,24 @@ def test_search_opens_only_files_that_can_match(spark, tmp_path):
     assert ids(SE.search(spark, path, ["absent"])) == []
     with pytest.raises(ValueError):
         SE.search(spark, path, ["!"])
+
+
+@pytest.mark.parametrize("told", [0, 100])
+def test_index_splits_a_text_once_however_often_it_stands(spark, tmp_path, monkeypatch, told):
+    monkeypatch.setattr(SE, "TOLD", told)
+    texts = ["red apple", "Red apple", None, "", "red apple", "pear", "red apple"]
+    b = spark.createDataFrame([(str(k), t, k % 3) for k, t in enumerate(texts)], "id string, text string, d int") \
+        .withColumn("timestamp", F.timestamp_seconds(F.lit(1_704_100_000) + 86_400 * F.col("d"))).repartition(3)
+    SE.write_indexed_history(b, str(tmp_path), 0, "timestamp")
+    assert spark.read.parquet(f"{tmp_path}/words").count() == 2 * 2 + 1  # two words of two texts, one of another
+    assert sorted(r.id for r in SE.search(spark, str(tmp_path), ["red", "apple"]).collect()) == ["0", "1", "4", "6"]
+    found = SE.postings(spark, str(tmp_path), ["red"]).select("file", F.explode("rows")).collect()
+    assert len(found) == len(set(found)) == 4
+
+
+def test_scored_messages_are_kept_packed(spark):
+    live_q.stream_scoring(spark, SF001)
+    folder = max(glob.glob(shared_path(spark, "queries", "scoring_*")), key=os.path.getmtime)
+    for name in ("raw", "scored"):
+        files = glob.glob(f"{folder}/{name}/part-*")
+        assert files and all(f.endswith(".json.gz") for f in files)
