@@ -8,9 +8,11 @@ behind a word may be letters or nothing. Tokens that are plain
 have one path only and are not searched. A logistic model over the words of
 the restored text and their beginnings gives the score.
 
-Everything is learned from a sample of at most FIT_ROWS labelled rows, the
-ones with the smallest hashes of their ids; the sample is small enough to be
-broadcast, so no text is shuffled. Scoring is one scan of the texts.
+Everything is learned from all labelled rows that are not held out. Their texts
+are shuffled only if the labels are too many to be broadcast. The logistic model
+is fitted on the distinct word sets with their numbers of rows; where those have
+more than FIT_ENTRIES words together, every gradient step is a Spark job over
+them. Scoring is one scan of the texts.
 """
 
 from __future__ import annotations
@@ -26,10 +28,12 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from feedlens.llm import textbytes as tb
 from feedlens.llm.common import short_batches, written
+from feedlens.operators.joins import broadcast_if_small
 
-FIT_ROWS = 20_000    # labelled rows that the models are fitted on
 FIT_WORDS = 20_000   # words that the logistic model weighs, the most telling ones
-MIN_TOXIC = 2        # toxic rows of the sample that a weighed word occurs in
+FIT_ENTRIES = 1_000_000  # words of distinct word sets up to which the driver takes the gradient steps itself
+STEPS = 400          # gradient steps
+MIN_TOXIC = 2        # toxic rows that a weighed word occurs in
 BEGINNINGS = (4, 5, 6, 7, 8)  # bytes of the beginnings of longer words that count as words, too
 TOXIC = 0.3          # score from which a text counts as toxic
 PENALTY = 0.02       # of the squared weights
@@ -260,20 +264,49 @@ def _features(model_counts: np.ndarray, words: np.ndarray):
     return run
 
 
-def fit_logistic(rows: list[np.ndarray], label: np.ndarray, width: int) -> tuple[np.ndarray, float]:
-    """(weights, bias) of a logistic model over word presence, by gradient
-    steps with a diagonal scale; deterministic."""
-    n = max(1, len(rows))
-    r = np.repeat(np.arange(len(rows)), [len(x) for x in rows])
-    c = np.concatenate([*rows, np.zeros(0, np.int64)]).astype(np.int64)
-    rate = (label.sum() + 0.5) / (n + 1)
-    w, b = np.zeros(width), float(np.log(rate / (1 - rate)))
-    scale = np.bincount(c, minlength=width) / n * 0.25 + PENALTY / 10
-    for _ in range(400):
-        z = np.bincount(r, weights=w[c], minlength=len(rows)) + b
-        g = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - label
-        w -= 0.3 * (np.bincount(c, weights=g[r], minlength=width) / n + PENALTY / n * w) / scale
-        b -= 0.5 * g.mean() / 0.25
+def _slopes(words: np.ndarray, bounds: np.ndarray, n: np.ndarray, t: np.ndarray, w: np.ndarray, b: float) -> tuple[np.ndarray, float]:
+    """Gradient by weight and by bias of the loss over word sets that ``n`` rows
+    have, ``t`` of them toxic."""
+    r = np.repeat(np.arange(len(n)), np.diff(bounds))
+    z = np.bincount(r, weights=w[words], minlength=len(n)) + b
+    g = n / (1 + np.exp(-np.clip(z, -30, 30))) - t
+    return np.bincount(words, weights=g[r], minlength=len(w)), float(g.sum())
+
+
+def _arrays(batch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(words, bounds, n, t) of a batch of (words, n, t)."""
+    words, n, t = batch.columns
+    bounds = words.offsets.to_numpy()
+    return words.values.to_numpy()[bounds[0]:bounds[-1]].astype(np.int64), bounds - bounds[0], n.to_numpy(), t.to_numpy()
+
+
+def _spark_slopes(sets: DataFrame):
+    """``_slopes`` as a Spark job over ``sets(words, n, t)``; one row per word
+    comes back, and one for the bias."""
+    def slopes(w: np.ndarray, b: float) -> tuple[np.ndarray, float]:
+        def run(batches):
+            total, bias = np.zeros(len(w)), 0.0
+            for batch in batches:
+                g, g0 = _slopes(*_arrays(batch), w, b)
+                total, bias = total + g, bias + g0
+            at = np.flatnonzero(total)
+            yield pa.RecordBatch.from_pydict({"word": pa.array([-1, *at], pa.int64()), "g": pa.array([bias, *total[at]], pa.float64())})
+        found = sets.mapInArrow(run, "word long, g double").groupBy("word").agg(F.sum("g").alias("g")).toArrow()
+        word, g, out = found["word"].to_numpy(), found["g"].to_numpy(), np.zeros(len(w) + 1)
+        out[word] = g  # the bias is the last one
+        return out[:-1], float(out[-1])
+    return slopes
+
+
+def fit_logistic(slopes, seen: np.ndarray, total: int, toxic: int) -> tuple[np.ndarray, float]:
+    """(weights, bias) of a logistic model over word presence in ``total`` rows, of
+    which ``seen`` have a word, by gradient steps with a diagonal scale."""
+    rate = (toxic + 0.5) / (total + 1)
+    w, b = np.zeros(len(seen)), float(np.log(rate / (1 - rate)))
+    scale = seen / total * 0.25 + PENALTY / 10
+    for _ in range(STEPS):
+        g, g0 = slopes(w, b)
+        w, b = w - 0.3 * (g / total + PENALTY / total * w) / scale, b - 0.5 * g0 / total / 0.25
     return w, b
 
 
@@ -314,11 +347,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     id count once (the largest). Without labelled rows every score is 0.5.
     """
     short_batches(docs.sparkSession)
-    sample = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(~held_out("doc_id")) \
-        .groupBy("doc_id").agg(F.max("toxic").cast("long").alias("toxic")) \
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS)
+    known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(~held_out("doc_id")) \
+        .groupBy("doc_id").agg(F.max("toxic").cast("long").alias("toxic"))
     rows = written(docs.select("doc_id", "text").where("text IS NOT NULL")
-                   .join(F.broadcast(sample), "doc_id").select("text", "toxic"), "labelled")  # FIT_ROWS at most
+                   .join(broadcast_if_small(known), "doc_id").select("text", "toxic"), "labelled")
     counts = np.zeros(28 ** 3, np.int64)
     for r in rows.select("text").mapInArrow(_trigrams, "tri long, n long").groupBy("tri").agg(F.sum("n").alias("n")) \
             .collect():  # one row per trigram of 28 symbols
@@ -327,12 +359,18 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     if not toxic:
         return ToxicityModel(counts, np.zeros(0, np.uint64), np.zeros(0), -30.0 if total else 0.0)
     n, t, base = F.col("n"), F.col("t"), toxic / total
-    known = rows.mapInArrow(_word_counts(counts), "word long, n long, t long").groupBy("word") \
+    told = rows.mapInArrow(_word_counts(counts), "word long, n long, t long").groupBy("word") \
         .agg(F.sum("n").alias("n"), F.sum("t").alias("t")).where((t >= MIN_TOXIC) & (t > 2 * base * n)) \
         .orderBy(F.desc(t * F.log(t / (n * base))), "word").limit(FIT_WORDS).select("word").collect()
-    words = np.sort(np.array([r.word for r in known], np.int64).view(np.uint64))
-    found = rows.mapInArrow(_features(counts, words), "toxic long, words array<int>").toArrow()  # FIT_ROWS at most
-    order = [(tuple(w), y) for w, y in zip(found["words"].to_pylist(), found["toxic"].to_pylist())]
-    order.sort()  # the fit does not depend on the order of partitions
-    w, b = fit_logistic([np.array(x, np.int64) for x, _ in order], np.array([float(y) for _, y in order]), len(words))
-    return ToxicityModel(counts, words, w, b)
+    words = np.sort(np.array([r.word for r in told], np.int64).view(np.uint64))
+    sets = written(rows.mapInArrow(_features(counts, words), "toxic long, words array<int>").groupBy("words")
+                   .agg(F.count("*").alias("n"), F.sum("toxic").alias("t")), "sets")
+    if sets.agg(F.coalesce(F.sum(F.size("words") + 1), F.lit(0))).first()[0] <= FIT_ENTRIES:
+        # in order, so that the fit does not depend on the order of partitions
+        found = _arrays(sets.orderBy("words").toArrow().combine_chunks().to_batches()[0])  # FIT_ENTRIES at most
+        seen = np.bincount(found[0], weights=np.repeat(found[2], np.diff(found[1])), minlength=len(words))
+        return ToxicityModel(counts, words, *fit_logistic(lambda w, b: _slopes(*found, w, b), seen, total, toxic))
+    seen = np.zeros(len(words))
+    for r in sets.select(F.explode("words").alias("word"), "n").groupBy("word").agg(F.sum("n").alias("n")).collect():  # FIT_WORDS at most
+        seen[r.word] = r.n
+    return ToxicityModel(counts, words, *fit_logistic(_spark_slopes(sets), seen, total, toxic))

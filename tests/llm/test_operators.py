@@ -560,6 +560,29 @@ def test_marks_at_the_edges_are_letters_or_nothing():
         assert lm.restore(t) == want, t
 
 
+def test_toxicity_learns_from_every_labelled_row(spark):
+    ids = spark.range(27_500).select(F.col("id").alias("doc_id")).where(~op10.held_out("doc_id"))
+    late = [r.doc_id for r in ids.orderBy(F.xxhash64("doc_id"), "doc_id").offset(20_000).collect()]
+    assert len(late) > 100
+    bad = F.col("doc_id").isin(late)
+    d = ids.select("doc_id", F.when(bad, "the zornquist day").otherwise("the good day").alias("text"))
+    model = op10.fit(d, ids.select("doc_id", bad.cast("int").alias("toxic")))
+    got = model.score(d).groupBy("text").agg(F.min("score"), F.max("score")).collect()
+    assert all((r[1] >= op10.TOXIC, r[2] >= op10.TOXIC) == ((True, True) if "zornquist" in r.text else (False, False)) for r in got)
+
+
+def test_gradient_steps_of_spark_equal_those_of_the_driver(spark, monkeypatch):
+    monkeypatch.setattr(op10, "STEPS", 4)
+    r = random.Random(4)
+    rows = [(i, " ".join(r.sample(["day", "good", "rain", "town"], 2) + r.sample(["idiot", "stupid", "clown"], 2 if i % 5 == 0 else 0))) for i in range(200)]
+    d = docs(spark, rows)
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    here = op10.fit(d, labels)
+    monkeypatch.setattr(op10, "FIT_ENTRIES", 0)
+    there = op10.fit(d, labels)
+    assert len(here.weights) and np.allclose(here.weights, there.weights, atol=1e-12) and abs(here.bias - there.bias) < 1e-12
+
+
 def test_toxicity_held_out_accuracy(spark):
     d, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     got = op10.fit(d, labels).score(d.select("doc_id", "text")).where(op10.held_out("doc_id")).join(labels, "doc_id").toPandas()
