@@ -46,7 +46,7 @@ def op4_pii(spark, sf_dir):
 
 
 def op5_lines(spark, sf_dir):
-    return drop_recurring(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return drop_recurring(table(spark, sf_dir, "documents").select("doc_id", "text"), all_templates=True)
 
 
 def op6_ppm(spark, sf_dir):

@@ -342,6 +342,15 @@ def test_templates_of_one_leaf(spark):
     assert got == {i: int(i > 0 and i % 8 != 1) for i, _ in rows}
 
 
+def test_query_compares_lines_with_all_templates_of_a_leaf(spark, tmp_path):
+    fill = ["ash", "birchwood", "cedars", "dogwood", "elm", "firs"]
+    kinds = ["the user of this {} has left the room again today", "the user of this {} cannot open any of his files"]
+    rows = [(10 * k + i, kind.format(f) + f"\nown {f} of {k} here") for k, kind in enumerate(kinds) for i, f in enumerate(fill)]
+    docs(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {x.doc_id: x.n_dropped for x in queries.op5_lines(spark, str(tmp_path)).collect()}
+    assert got == {i: int(i % 10 > 0) for i, _ in rows}
+
+
 def test_line_dedup_runs_no_python(spark):
     plan = op5.drop_recurring(docs(spark, [(1, "a")]))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
