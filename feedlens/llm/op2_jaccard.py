@@ -8,8 +8,9 @@ a link out are tied into families; then the answers inside a family are
 computed set by set, those of a set similar to an answered one being derived
 from its answers (setrel.links). Equal sets are one entry throughout.
 
-Scale: a shuffle row is a key and an id; texts are read twice, the second
-time only those in a family. Long lists and large families are cut into
+Scale: a shuffle row is a key and an id; sketches meet them when lists with
+the same sets have become one. Of the texts that are read last, only those in
+a family count. Long lists and large families are cut into
 chunks of a bounded size: everything is compared with one leader first, and
 only what differs from the leader is compared chunk by chunk, so a group of
 copies costs linear work and no pair rows.
@@ -249,45 +250,51 @@ def jaccard_classes(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5)
     member = sets.select("doc_id", "n", "h1", "h2")
     reps = member.where("n > 0").groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("rep"))
     reps = written(reps, "reps")
-    about = written(sets.select("doc_id", "n", "h1", "h2", "sketch", "large").join(
-        reps.withColumnRenamed("rep", "doc_id"), ["doc_id", "n", "h1", "h2"], "left_semi")
-        .dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("doc"), "n", "h1", "sketch", "large"), "entries")
 
     # lists with two sets at least; lists with the same sets are one
     # most keys are in one list only and are left out before the shuffle; of the others there
     # is one shuffle: a window spills the rows of a long list, so no task has to hold one, and
-    # copies within a task have listed their keys once
+    # copies within a task have listed their keys once. What tells a list from others is found
+    # in the same shuffle, and lists with the same sets get the same key, so that they are one
+    # before anything wider than a key and a digest is moved
     repeated = seentwice.repeated_slots(docs.mapInArrow(_list_keys(words, num, den), seentwice.SLOT_ROWS))
-    post = docs.mapInArrow(_list_keys(words, num, den, repeated), "key long, h1 long") \
-        .withColumn("c", F.count("*").over(Window.partitionBy("key"))).where("c > 1").select("key", "h1")
-    rows = written(post.distinct().join(about, "h1").drop("h1"), "postings")
-    lists = rows.groupBy("key").agg(F.count("*").alias("len"), F.min("doc").alias("lead"),
-                                    F.bit_xor(F.xxhash64("doc")).alias("x")).where("len > 1")
-    lists = written(lists.groupBy("len", "lead", "x").agg(F.min("key").alias("key")), "lists")
-    rows = rows.join(lists, "key")
-
-    short = rows.where(F.col("len") <= LIST_ROWS).withColumn("i", F.lit(0)).withColumn("j", F.lit(0))
+    by_key = Window.partitionBy("key")
+    post = docs.mapInArrow(_list_keys(words, num, den, repeated), "key long, h1 long").repartition("key").distinct() \
+        .select("h1", F.count("*").over(by_key).alias("len"), F.min("h1").over(by_key).alias("lead"),
+                F.bit_xor(F.xxhash64("h1")).over(by_key).alias("x")).where("len > 1")
+    rows = written(post.select(F.xxhash64("len", "lead", "x").alias("key"), "h1", "len",
+                               F.when(F.col("len") > LIST_ROWS, F.col("lead")).alias("lead")).distinct(), "postings")
+
+    # the sets that are in a list, with what tells whether a link may be
+    used = broadcast_if_small(rows.select("h1").distinct())
+    about = written(sets.where("n > 0").join(used, "h1", "left_semi").groupBy("n", "h1", "h2").agg(
+        F.min("doc_id").alias("doc"), F.first("sketch").alias("sketch"), F.first("large").alias("large"))
+        .select("doc", "n", "h1", "sketch", "large"), "entries")
+
+    short = rows.where("lead IS NULL").join(about, "h1").withColumn("i", F.lit(0)).withColumn("j", F.lit(0))
     # long lists are few, so their leaders go to the rows and not the rows to their leaders
-    first = lists.where(F.col("len") > LIST_ROWS).select(F.col("lead").alias("doc")).distinct()
-    lead = broadcast_if_small(written(about.join(first, "doc", "left_semi").select(
-        F.col("doc").alias("lead"), F.col("n").alias("ln"), F.col("sketch").alias("ls"), F.col("large").alias("ll")), "leads"))
+    long_rows = rows.where("lead IS NOT NULL")
+    first = long_rows.select(F.col("lead").alias("h1")).distinct()
+    lead = broadcast_if_small(written(about.join(broadcast_if_small(first), "h1", "left_semi").select(
+        F.col("h1").alias("lead"), F.col("doc").alias("ld"), F.col("n").alias("ln"), F.col("sketch").alias("ls"),
+        F.col("large").alias("ll")), "leads"))
     apart = (F.size("large") == F.size("ll")) & ~_may_link(F.col("n"), F.col("ln"), F.col("large"), F.col("ll"), num, den)
-    marked = written(rows.where(F.col("len") > LIST_ROWS).join(lead, "lead").select(
-        "key", "doc", "lead", (~_may_link(F.col("n"), F.col("ln"), F.col("sketch"), F.col("ls"), num, den) | apart).alias("odd"),
+    marked = written(long_rows.join(about, "h1").join(lead, "lead").select(
+        "key", "h1", "doc", "ld", (~_may_link(F.col("n"), F.col("ln"), F.col("sketch"), F.col("ls"), num, den) | apart).alias("odd"),
         F.ceil(F.col("len") * 2 / LIST_ROWS).alias("nb")), "marked")
-    long_ties = marked.where(~F.col("odd")).select(F.col("lead").alias("a"), F.col("doc").alias("b"))
-    mixed = written(marked.join(marked.where("odd").select("key").distinct(), "key", "left_semi").drop("lead"), "mixed")
-    pieces = _chunk_pairs(rows.drop("lead").join(broadcast_if_small(mixed), ["key", "doc"]), "key", "doc")
+    long_ties = marked.where(~F.col("odd")).select(F.col("ld").alias("a"), F.col("doc").alias("b"))
+    mixed = marked.join(marked.where("odd").select("key").distinct(), "key", "left_semi").drop("doc", "ld")
+    pieces = _chunk_pairs(mixed.join(about, "h1"), "key", "doc")
     cols = ["key", "i", "j", "doc", "n", "sketch", "large"]
     work = short.select(cols).unionByName(pieces.select(cols))
-    deal = max(1, lists.agg(F.sum("len")).first()[0] or 0) // TASK_ROWS + width(spark)
+    deal = rows.count() // TASK_ROWS + width(spark)
     ties = work.groupBy(F.pmod(F.xxhash64("key", "i", "j"), F.lit(deal)).alias("task")) \
         .applyInArrow(_ties(num, den), "a long, b long")
     family = components(ties.unionByName(long_ties))
 
     # whole sets, of the families only: few texts, so they are picked where they are read as
     # long as the list of them is small, and by a join that moves all texts beyond that
-    fam = written(about.select(F.col("doc").alias("doc_id"), "n").join(
+    fam = written(about.groupBy(F.col("doc").alias("doc_id")).agg(F.sum("n").alias("n")).join(
         family.withColumnRenamed("id", "doc_id"), "doc_id").withColumnRenamed("component", "family"), "families")
     size = fam.groupBy("family").agg(F.sum("n").alias("tokens"))
     listed = written(fam.join(size, "family").select("doc_id", "family", "tokens"), "members")

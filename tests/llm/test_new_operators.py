@@ -362,3 +362,42 @@ def test_sketches_of_large_sets_never_exceed_the_difference():
             assert bits <= apart
             if apart > 5000:  # unlike sets are told apart: nothing may link at 0.8
                 assert bits * 9 > len(sets[i]) + len(sets[j])
+
+
+# -- what the join moves ---------------------------------------------------
+
+def test_lists_with_the_same_sets_are_one_before_sketches_are_moved(spark, monkeypatch):
+    kept = {}
+
+    def written(df, name, *by):
+        kept[name] = op2_written(df, name, *by)
+        return kept[name]
+    op2_written = op2.written
+    monkeypatch.setattr(op2, "written", written)
+    near = [f"w{i}" for i in range(600)]
+    rows = [(1, " ".join(near)), (2, " ".join([*near, "one", "more"])), (3, " ".join(f"a{i}" for i in range(600)))]
+    got = sorted(map(tuple, op2.jaccard_classes(docs(spark, rows), 3, 9, 10).collect()))
+    assert got == [(1, 598, 1), (2, 600, 1), (3, 598, 3)]
+    # the two near copies agree on many blocks, but these are one list of two sets
+    assert kept["postings"].count() == 2
+    assert not {"sketch", "large"} & set(kept["postings"].columns)
+    assert kept["entries"].count() == 2
+
+
+def test_lists_of_one_document_with_several_texts(spark, monkeypatch):
+    say = lambda k, n=60: " ".join(f"w{k}x{i}" for i in range(n))
+    rows = [(5, say(1)), (5, say(2)), (5, say(1)), (7, say(1, 61)), (8, say(2, 61)), (9, say(3)), (9, say(3)), (10, None)]
+    want = [(5, 58, 5), (5, 58, 5), (5, 58, 5), (7, 59, 5), (8, 59, 5), (9, 58, 9), (9, 58, 9), (10, 0, 10)]
+    assert sorted(map(tuple, op2.jaccard_classes(docs(spark, rows), 3, 9, 10).collect())) == want
+    monkeypatch.setattr(op2, "LIST_ROWS", 1)
+    assert sorted(map(tuple, op2.jaccard_classes(docs(spark, rows), 3, 9, 10).collect())) == want
+
+
+def test_keys_alone_on_a_fine_slot_do_not_pass(spark):
+    high = np.arange(1, 2001, dtype=np.uint64) << np.uint64(50)
+    apart = np.concatenate([high, high | np.uint64(1) << np.uint64(35)])  # one slot of the bitmap, two fine ones
+    twice = np.array([3, 3 << 62], np.uint64)
+    df = spark.createDataFrame([(int(np.int64(np.uint64(k))),) for k in np.concatenate([apart, twice, twice])], "key long").repartition(3)
+    rows = df.mapInArrow(lambda bs: seentwice.slot_rows(b["key"].to_numpy().view(np.uint64) for b in bs), seentwice.SLOT_ROWS)
+    bits = seentwice.repeated_slots(rows).value
+    assert seentwice.passes(bits, twice).all() and not seentwice.passes(bits, apart).any()
