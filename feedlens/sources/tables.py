@@ -29,7 +29,8 @@ def row_count(spark: SparkSession, sf_dir: str, name: str) -> F.Column:
 
 
 def _pick(values: list[str], idx) -> F.Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (idx + 1).cast("int"))
+    """The value at ``idx``, from 0; NULL where there is none, as for the remainder of a negative number."""
+    return F.get(F.array(*[F.lit(v) for v in values]), idx.cast("int"))
 
 
 def message_base(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:

@@ -15,6 +15,7 @@ from feedlens.plans import live_q
 from feedlens.session import shared_path
 from feedlens.sinks import search as SE
 from feedlens.sinks.store import Conflict, VersionedStore
+from feedlens.sources.tables import message_base
 from feedlens.streaming import jobs as J
 from feedlens.streaming import stateful as SF
 from feedlens.streaming.joins import comments_of_posts
@@ -258,3 +259,11 @@ def test_scored_messages_are_kept_packed(spark):
     for name in ("raw", "scored"):
         files = glob.glob(f"{folder}/{name}/part-*")
         assert files and all(f.endswith(".json.gz") for f in files)
+
+
+def test_the_heartbeat_of_a_stream_can_go_through_any_plan(spark, tmp_path):
+    at = "timestamp_ntz'2024-01-05 10:00:00'"
+    rows = [(3, 7), (-1, None), (-2, -3), (None, 4)]
+    ev = spark.createDataFrame(rows, "event_id long, user_id long").select("event_id", F.expr(at).alias("ts"), "user_id", F.lit("view").alias("event_type"), F.lit(1.0).alias("value"))
+    got = message_base(spark, SF001, ev.repartition(3)).select("event_id", "platform", "device").collect()
+    assert {r.event_id: (r.platform, r.device) for r in got} == {3: ("facebook", "Web"), -1: (None, None), -2: (None, None), None: (None, "Desktop")}
