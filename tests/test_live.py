@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from feedlens.operators import arrival as A
+from feedlens.operators.joins import broadcast_if_small
 from feedlens.plans import live_q
 from feedlens.session import shared_path
 from feedlens.sinks import search as SE
@@ -267,3 +268,10 @@ def test_the_heartbeat_of_a_stream_can_go_through_any_plan(spark, tmp_path):
     ev = spark.createDataFrame(rows, "event_id long, user_id long").select("event_id", F.expr(at).alias("ts"), "user_id", F.lit("view").alias("event_type"), F.lit(1.0).alias("value"))
     got = message_base(spark, SF001, ev.repartition(3)).select("event_id", "platform", "device").collect()
     assert {r.event_id: (r.platform, r.device) for r in got} == {3: ("facebook", "Web"), -1: (None, None), -2: (None, None), None: (None, "Desktop")}
+
+
+def test_a_table_of_many_rows_is_no_broadcast_however_well_it_packs(spark, tmp_path):
+    spark.range(50_000).select(F.col("id").alias("k"), F.lit("x").alias("v")).write.parquet(f"{tmp_path}/t")
+    t = spark.read.parquet(f"{tmp_path}/t")
+    plan = lambda **kw: spark.range(5).join(broadcast_if_small(t, 1 << 20, **kw), F.col("id") == F.col("k"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in plan() and "strategy=broadcast" in plan(rows=100) and "strategy=broadcast" not in plan(rows=50_000)
