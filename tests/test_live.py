@@ -270,6 +270,25 @@ def test_the_heartbeat_of_a_stream_can_go_through_any_plan(spark, tmp_path):
     assert {r.event_id: (r.platform, r.device) for r in got} == {3: ("facebook", "Web"), -1: (None, None), -2: (None, None), None: (None, "Desktop")}
 
 
+@pytest.mark.parametrize("piece", [7, 200_000])
+def test_arrival_rows_wait_packed_by_their_time(spark, tmp_path, monkeypatch, piece):
+    monkeypatch.setattr(SF, "PIECE_ROWS", piece)
+    monkeypatch.setattr(SF, "SPAN_US", 90_000_000)
+    rows = messages([("hot", 150), ("b", 30)], seed=8)
+    rows += rows[20:30] + [("hot", None, rows[40][2], 0.5, None, 0.1, 0.2)]
+    rows.sort(key=lambda r: r[2])
+    for i in range(3):
+        put(frame(spark, rows[i * 64:(i + 1) * 64]), f"{tmp_path}/in")
+    put(frame(spark, [(None, None, 1_900_000_000.0, None, None, None, None)]), f"{tmp_path}/in")
+    stream = spark.readStream.schema(frame(spark, rows).schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    q = drain(spark, SF.arrival_metrics_stream(stream, 60, "k", delay="1 minute"), f"packed{piece}", str(tmp_path))
+    want = {r: n for r, n in ((str((r.k, r.window_start, r.window_end, r["count"])), 1) for r in A.arrival_metrics(frame(spark, rows), 60, ["k"]).collect())}
+    got = [str((r.k, r.window_start, r.window_end, r["count"])) for r in spark.read.parquet(f"{tmp_path}/out").collect()]
+    assert sorted(got) == sorted(want)
+    kept = max(op["numRowsTotal"] for p in q.recentProgress for op in p["stateOperators"])
+    assert piece == 7 or kept < 64  # not a state row for each message
+
+
 def test_a_table_of_many_rows_is_no_broadcast_however_well_it_packs(spark, tmp_path):
     spark.range(50_000).select(F.col("id").alias("k"), F.lit("x").alias("v")).write.parquet(f"{tmp_path}/t")
     t = spark.read.parquet(f"{tmp_path}/t")
