@@ -270,6 +270,29 @@ def test_the_heartbeat_of_a_stream_can_go_through_any_plan(spark, tmp_path):
     assert {r.event_id: (r.platform, r.device) for r in got} == {3: ("facebook", "Web"), -1: (None, None), -2: (None, None), None: (None, "Desktop")}
 
 
+def one_line(spark, texts, i):
+    return spark.createDataFrame([(f"{i}_{k}", t) for k, t in enumerate(texts)], "id string, text string") \
+        .withColumn("timestamp", F.timestamp_seconds(F.lit(1_704_100_000 + 86_400 * i))).repartition(2)
+
+
+@pytest.mark.parametrize("told", [0, 100])
+def test_index_splits_a_text_once_in_all_micro_batches(spark, tmp_path, monkeypatch, told):
+    monkeypatch.setattr(SE, "TOLD", told)
+    path, batches = str(tmp_path), [["red apple", "pear"], ["pear", "red apple", None, "red pear"], ["red apple"]]
+    for i in (0, 1, 1, 2):  # one is replayed
+        SE.write_indexed_history(one_line(spark, batches[i], i), path, i, "timestamp")
+    assert spark.read.parquet(f"{path}/words").count() == 2 + 1 + 2  # of three texts
+    ids = lambda *w, **kw: sorted(r.id for r in SE.search(spark, path, [*w], **kw).collect())
+    assert ids("red", "apple") == ["0_0", "1_1", "2_0"] and ids("pear") == ["0_1", "1_0", "1_3"]
+    assert ids("red", date_from="2024-01-02") == ["1_1", "1_3", "2_0"]
+    monkeypatch.setattr(SE, "RECENT", 1)  # a text that is split again is found once
+    for i, texts in ((3, ["x"]), (4, ["red apple"])):
+        SE.write_indexed_history(one_line(spark, texts, i), path, i, "timestamp")
+    assert ids("red", "apple") == ["0_0", "1_1", "2_0", "4_0"]
+    found = SE.postings(spark, path, ["red"]).select("file", F.explode("rows")).collect()
+    assert len(found) == len(set(found)) == 5
+
+
 @pytest.mark.parametrize("piece", [7, 200_000])
 def test_arrival_rows_wait_packed_by_their_time(spark, tmp_path, monkeypatch, piece):
     monkeypatch.setattr(SF, "PIECE_ROWS", piece)
